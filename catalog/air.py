@@ -14,6 +14,7 @@ from rillstone.functions import air_index
 from rillstone.functions.columns import hour_of, lookup
 from rillstone.operators import fill
 from rillstone.operators.aggregates import pivot_max
+from rillstone.session import stage
 from rillstone.plans import air_quality as aq
 
 KIND_OF_EVENT = {"error": "PM2.5", "click": "PM10", "view": "NO2", "signup": "SO2", "purchase": "OZONE"}
@@ -38,7 +39,7 @@ def readings(spark, sf):
 
 
 def star_tables(spark, sf):
-    clean = aq.clean_readings(readings(spark, sf))
+    clean = stage(aq.clean_readings(readings(spark, sf)))  # a table of its own: three others read it
     return aq.index_fact(clean), aq.time_dim(clean), aq.location_dim(clean)
 
 

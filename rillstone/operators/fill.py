@@ -5,8 +5,8 @@ sends all rows of an entity - for the whole-table level, all rows - to one
 task. Here the rows are cut into ranges of the common time order. Each range
 is filled on its own, starting from the value carried into it:
 
-1. range-partition by the order columns and write the rows with their range
-   number (``session.stage``), so the cut is the same in every later pass;
+1. range-partition by the order columns and write the rows with their place in
+   that order (``session.stage``), so the cut is the same in every later pass;
 2. per range and entity keep the first and last known value of each measure
    (combined map-side), and fill that small table over the ranges;
 3. put these carried values in as extra first and last rows of each range,
@@ -18,112 +18,101 @@ timestamp can make one range large.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillstone.session import stage
 
-BLOCK, SLOT, LEVEL = "_block", "_slot", "_level"
+BLOCK, POSITION, LEVEL = "_block", "_position", "_level"
+# positions of the carried rows: before and after every row of a block
+FIRST, LAST = -(2**63), 2**63 - 1
 
 
-def with_blocks(df: DataFrame, order: list[str], blocks: int | None = None) -> DataFrame:
-    """Rows with the number of their range of the sort order, fixed by a write."""
+def with_positions(df: DataFrame, order: list[str], blocks: int | None = None) -> DataFrame:
+    """Rows with their place in the sort order, and the range it falls in, fixed by a write.
+
+    The place is one number, so later sorts compare a long, not all order columns.
+    """
     ranged = df.repartitionByRange(blocks, *order) if blocks else df.repartitionByRange(*order)
-    return stage(ranged.withColumn(BLOCK, F.spark_partition_id()))
+    numbered = ranged.sortWithinPartitions(*order).withColumn(POSITION, F.monotonically_increasing_id())
+    # the id holds the partition, that is the range, above its lowest 33 bits
+    return stage(numbered).withColumn(BLOCK, F.shiftright(POSITION, 33).cast("int"))
+
 
+def _edge_rows(rows: DataFrame, levels: list[list[str]], measures: list[str]) -> DataFrame:
+    """Two rows per block and entity: the last values known before it, the first known after it.
 
-def _carried(rows: DataFrame, keys: list[str], order: list[str], measures: list[str]) -> DataFrame:
-    """Per block and entity: the last value known before it and the first known after it."""
-    position = F.struct(*order)
-    known = {m: F.when(F.col(m).isNotNull(), position) for m in measures}
-    ends = rows.groupBy(BLOCK, *keys).agg(
-        *[F.max_by(m, known[m]).alias(f"{m}_end") for m in measures],
-        *[F.min_by(m, known[m]).alias(f"{m}_start") for m in measures],
+    All levels are aggregated in one pass over the rows, as grouping sets.
+    """
+    keys = list(dict.fromkeys(k for level in levels for k in level))
+    # a bit of the grouping id is set when its column (block, *keys) is not grouped by
+    ids = [sum(1 << (len(keys) - 1 - j) for j, k in enumerate(keys) if k not in level) for level in levels]
+    ends = rows.groupingSets([[BLOCK, *level] for level in levels], BLOCK, *keys).agg(
+        F.grouping_id().alias("_gid"),
+        *[F.expr(f"max_by(`{m}`, if(`{m}` is null, null, {POSITION}))").alias(f"{m}_end") for m in measures],
+        *[F.expr(f"min_by(`{m}`, if(`{m}` is null, null, {POSITION}))").alias(f"{m}_start") for m in measures],
     )
-    entity = Window.partitionBy(*(keys or [F.lit(0)]))
+    # one row per block and entity is left, so these windows are short
+    entity = Window.partitionBy("_gid", *keys)
     before = entity.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     after = entity.orderBy(F.col(BLOCK).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    return ends.select(
-        BLOCK, *keys,
-        *[F.last(f"{m}_end", True).over(before).alias(f"{m}_in") for m in measures],
-        *[F.last(f"{m}_start", True).over(after).alias(f"{m}_out") for m in measures],
-    )
+    carried = ends.withColumns({
+        "_in": F.struct(F.lit(FIRST).alias(POSITION), *[F.last(f"{m}_end", True).over(before).alias(m) for m in measures]),
+        "_out": F.struct(F.lit(LAST).alias(POSITION), *[F.last(f"{m}_start", True).over(after).alias(m) for m in measures]),
+    })
+    number = F.array_position(F.array(*[F.lit(i) for i in ids]), F.col("_gid").cast("int")).cast("int") - 1
+    edges = carried.select(BLOCK, *keys, number.alias(LEVEL), F.inline(F.array("_in", "_out")))
+    return edges.filter(" or ".join(f"`{m}` is not null" for m in measures))
 
 
-def _edge_rows(carried: DataFrame, keys: list[str], measures: list[str], level: int, slot: int) -> DataFrame:
-    side = "in" if slot < 0 else "out"
-    known = F.coalesce(*[F.col(f"{m}_{side}") for m in measures]).isNotNull()
-    return carried.filter(known).select(
-        BLOCK, *keys, F.lit(slot).alias(SLOT), F.lit(level).alias(LEVEL),
-        *[F.col(f"{m}_{side}").alias(m) for m in measures],
-    )
+def _scan(rows: DataFrame, measures: list[str], level: int, keys: list[str], back: bool) -> DataFrame:
+    """Add ``_near_<measure>``: the nearest known value so far, or onward when ``back``.
 
+    The backward scan runs over the reversed order, because a frame reaching
+    forward would be evaluated from scratch for every row.
+    """
+    sort = F.col(POSITION).desc() if back else F.col(POSITION)
+    frame = Window.partitionBy(BLOCK, *keys).orderBy(sort).rowsBetween(Window.unboundedPreceding, 0)
+    own = {m: f"if({LEVEL} in (-1, {level}), `{m}`, null)" for m in measures}
+    return rows.withColumns({f"_near_{m}": F.last(F.expr(own[m]), True).over(frame) for m in measures})
 
-def neighbour_values(
-    df: DataFrame, measures: list[str], levels: list[list[str]], order: list[str],
-    blocks: int | None = None, backward: bool = True, forward: bool = True,
-) -> tuple[DataFrame, dict[str, list[tuple[Column, Column]]]]:
-    """Rows with, per level, the last known value so far and the next known value.
 
-    Returns the rows and, for each measure, its (forward, backward) columns from
-    the finest to the coarsest level. ``order`` must be unique within a level's
-    entity. An empty level means the whole table.
-    """
-    rows = with_blocks(df, order, blocks).withColumn(SLOT, F.lit(0)).withColumn(LEVEL, F.lit(-1))
-    parts = rows
-    for i, keys in enumerate(levels):
-        carried = _carried(rows, keys, order, measures)
-        for slot in (-1, 1):
-            edges = _edge_rows(carried, keys, measures, i, slot)
-            parts = parts.unionByName(edges, allowMissingColumns=True)
-    parts = parts.repartition(BLOCK)
-
-    columns: dict[str, list[tuple[Column, Column]]] = {m: [] for m in measures}
-    added: dict[str, Column] = {}
-    for i, keys in enumerate(levels):
-        scope = Window.partitionBy(BLOCK, *keys)
-        sofar = scope.orderBy(SLOT, *order).rowsBetween(Window.unboundedPreceding, 0)
-        # the same order backwards: a frame reaching forward would be re-read for every row
-        onward = scope.orderBy(F.col(SLOT).desc(), *[F.col(c).desc() for c in order]).rowsBetween(
-            Window.unboundedPreceding, 0
-        )
-        for m in measures:
-            own = F.when(F.col(LEVEL).isin(-1, i), F.col(m))
-            names = (f"_{m}_f{i}", f"_{m}_b{i}")
-            if forward:
-                added[names[0]] = F.last(own, True).over(sofar)
-            if backward:
-                added[names[1]] = F.last(own, True).over(onward)
-            columns[m].append((
-                F.col(names[0]) if forward else F.lit(None).cast(df.schema[m].dataType),
-                F.col(names[1]) if backward else F.lit(None).cast(df.schema[m].dataType),
-            ))
-    filled = parts.withColumns(added).filter(F.col(SLOT) == 0)
-    return filled, columns
+def _filled(
+    df: DataFrame, measures: list[str], levels: list[list[str]], order: list[str], blocks: int | None,
+    scans: tuple[bool, ...], own_first: bool,
+) -> DataFrame:
+    rows = with_positions(df, order, blocks).withColumn(LEVEL, F.lit(-1))
+    parts = rows.unionByName(_edge_rows(rows, levels, measures), allowMissingColumns=True).repartition(BLOCK)
+    kept = parts.columns
+    found = "`{}`" if own_first else "null"
+    parts = parts.selectExpr("*", *[f"{found.format(m)} as `_got_{m}`" for m in measures])
+    for level, keys in enumerate(levels):
+        for back in scans:
+            # keep one answer per measure, so rows do not widen with every scan
+            parts = _scan(parts, measures, level, keys, back).selectExpr(
+                *[f"`{c}`" for c in kept],
+                *[f"coalesce(`_got_{m}`, `_near_{m}`) as `_got_{m}`" for m in measures],
+            )
+    return parts.filter(F.col(POSITION).between(FIRST + 1, LAST - 1)).selectExpr(
+        *[f"`_got_{c}` as `{c}`" if c in measures else f"`{c}`" for c in df.columns]
+    )
 
 
 def hierarchical_fill(
-    df: DataFrame, measures: list[str], levels: list[list[str]], order: list[str],
-    blocks: int | None = None, suffix: str = "",
+    df: DataFrame, measures: list[str], levels: list[list[str]], order: list[str], blocks: int | None = None,
 ) -> DataFrame:
-    """Fill each measure from its own row, then forward and backward at each level in turn."""
-    rows, columns = neighbour_values(df, measures, levels, order, blocks)
-    filled = {
-        m: F.coalesce(F.col(m), *[c for pair in columns[m] for c in pair]).alias(f"{m}{suffix}") for m in measures
-    }
-    kept = [c for c in df.columns if suffix or c not in measures]
-    return rows.select(*kept, *filled.values())
+    """Fill each measure from its own row, then backwards and onwards in time at each level in turn.
+
+    ``order`` must be unique within each entity. An empty level is the whole table.
+    """
+    return _filled(df, measures, levels, order, blocks, scans=(False, True), own_first=True)
 
 
 def forward_fill(df: DataFrame, measures: list[str], keys: list[str], order: list[str], blocks: int | None = None) -> DataFrame:
     """Last known value of the entity up to each row."""
-    rows, columns = neighbour_values(df, measures, [keys], order, blocks, backward=False)
-    kept = [c for c in df.columns if c not in measures]
-    return rows.select(*kept, *[columns[m][0][0].alias(m) for m in measures])
+    return _filled(df, measures, [keys], order, blocks, scans=(False,), own_first=False)
 
 
 def backward_fill(df: DataFrame, measures: list[str], keys: list[str], order: list[str], blocks: int | None = None) -> DataFrame:
     """Next known value of the entity from each row on."""
-    rows, columns = neighbour_values(df, measures, [keys], order, blocks, forward=False)
-    kept = [c for c in df.columns if c not in measures]
-    return rows.select(*kept, *[columns[m][0][1].alias(m) for m in measures])
+    return _filled(df, measures, [keys], order, blocks, scans=(True,), own_first=False)

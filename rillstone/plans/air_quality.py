@@ -88,8 +88,8 @@ def clean_readings(readings: DataFrame, whole: bool = False, blocks: int | None
     return filled.withColumn("record_pk", hash_key("record_ts", "latitude", "longitude"))
 
 
-def index_inputs() -> dict[str, Column]:
-    return {INDEX_NAMES[m]: F.col(m) for m in MEASURES}
+def index_inputs() -> dict[str, str]:
+    return {INDEX_NAMES[m]: m for m in MEASURES}
 
 
 def index_fact(clean: DataFrame, snap: bool = True) -> DataFrame:
