@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["air"]
+MODULES = ["air", "relational", "elt"]
 
 
 def load():
