@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["air", "relational", "elt"]
+MODULES = ["air", "relational", "elt", "features", "learning", "series", "generated"]
 
 
 def load():

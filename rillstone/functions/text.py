@@ -44,10 +44,13 @@ def plain_words(c: Column | str, stop_words: list[str] = ENGLISH_STOP_WORDS) ->
 
 def with_bigrams(words: Column) -> Column:
     """The words followed by each pair of neighbours joined by a space."""
-    # slice() is given a length that cannot be negative, so short texts give no pair
-    pairs = F.zip_with(
-        F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))),
-        F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda a, b: F.concat(a, F.lit(" "), b),
-    )
-    return F.concat(words, pairs)
+
+    def both(w: Column) -> Column:
+        # slice() is given a length that cannot be negative, so short texts give no pair
+        n = F.greatest(F.size(w) - 1, F.lit(0))
+        pairs = F.zip_with(
+            F.slice(w, F.lit(1), n), F.slice(w, F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))
+        return F.concat(w, pairs)
+
+    # bound as a lambda variable, so the words are extracted once and not once per use
+    return F.get(F.transform(F.array(words), both), F.lit(0))
