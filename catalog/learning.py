@@ -210,7 +210,7 @@ def classify_proba(spark, sf):
     parts = split(orders, {"train": 0.95, "infer": 0.05}, ["o_orderkey"], seed=1)
     scored = md.class_probabilities(parts["train"], parts["infer"], ["o_totalprice", "year"], "o_orderstatus")
     p = F.col("probability")
-    return scored.select("o_orderkey", "class", *[F.round(F.try_element_at(p, F.lit(c)), 4).alias(f"p_{c}") for c in ("F", "O", "P")])
+    return scored.select("o_orderkey", "predicted_class", *[F.round(F.try_element_at(p, F.lit(c)), 4).alias(f"p_{c}") for c in ("F", "O", "P")])
 
 
 # ---------------------------------------------------------------- text models
@@ -241,8 +241,8 @@ def nb_text(spark, sf):
 
 
 def _text_svm(spark, sf):
-    docs = md.text_features(labelled_documents(spark, sf), "doc_id", "text")
-    model = md.fit_vectors(docs.filter("grp = 'train'"), "linear_svm", "quality", regParam=0.01, maxIter=20)
+    docs = md.text_features(labelled_documents(spark, sf), "text", size=1 << 16)
+    model = md.fit_vectors(docs.filter("grp = 'train'"), "linear_svm", "quality", regParam=0.01, maxIter=10)
     return model, docs.filter("grp = 'test'")
 
 

@@ -19,7 +19,7 @@ def new_rows(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> DataF
     A NULL key matches nothing, so such rows are always new; ``NOT IN`` would
     instead return no rows at all once the target holds a NULL.
     """
-    return incoming.join(existing.select(*keys), keys, "left_anti")
+    return incoming.join(existing.select(*keys), keys, "left_anti").select(*incoming.columns)
 
 
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:

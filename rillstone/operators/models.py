@@ -95,7 +95,7 @@ def class_probabilities(
     for step in model.stages[1:]:
         rows = step.transform(rows)
     return rows.select(
-        *scored.columns, F.get(classes, F.col("prediction").cast("int")).alias("class"),
+        *scored.columns, F.get(classes, F.col("prediction").cast("int")).alias("predicted_class"),
         F.map_from_arrays(classes, probabilities).alias("probability"))
 
 
@@ -118,7 +118,7 @@ def random_fourier_features(df: DataFrame, vector: str, dims: int, size: int = 2
 
 # ---------------------------------------------------------------- text
 
-def text_features(df: DataFrame, key: str, text: str, max_share: float = 0.02, size: int = 1 << 18) -> DataFrame:
+def text_features(df: DataFrame, text: str, max_share: float = 0.02, size: int = 1 << 18) -> DataFrame:
     """Binary one- and two-word features, without those in more than ``max_share`` of the texts.
 
     Fewer than (mean terms per text / max_share) terms can be that common, so

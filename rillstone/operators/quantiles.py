@@ -33,6 +33,9 @@ def _bracketed(rows: DataFrame, probs: dict[str, float], by: list[str], largest:
     margin = 4.0 / accuracy
     points = [min(1.0, max(0.0, p + d)) for p in probs.values() for d in (-margin, margin)]
 
+    # in a group this small the margin is less than a few rows: take all of its values
+    tiny = F.col("_n") * margin < 4
+
     # rows of no group at all still need a key to join on
     keys = by or ["_all"]
     if not by:
@@ -47,8 +50,8 @@ def _bracketed(rows: DataFrame, probs: dict[str, float], by: list[str], largest:
             F.struct(
                 F.lit(name).alias("name"),
                 (F.lit(p) * (F.col("_n") - 1)).alias("pos"),
-                (F.col("_min") if points[2 * i] <= 0 else F.col("_q")[2 * i]).alias("lo"),
-                (F.col("_max") if points[2 * i + 1] >= 1 else F.col("_q")[2 * i + 1]).alias("hi"),
+                F.when(tiny | F.lit(points[2 * i] <= 0), F.col("_min")).otherwise(F.col("_q")[2 * i]).alias("lo"),
+                F.when(tiny | F.lit(points[2 * i + 1] >= 1), F.col("_max")).otherwise(F.col("_q")[2 * i + 1]).alias("hi"),
             )
             for i, (name, p) in enumerate(probs.items())
         ])))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.functions import air_index
@@ -11,7 +11,9 @@ from rillstone.functions.columns import (
 )
 from rillstone.operators import aggregates as agg
 from rillstone.operators.fill import hierarchical_fill
-from rillstone.operators.joins import star
+from rillstone.operators.joins import new_rows, star
+from rillstone.sources.files import read_documents
+from rillstone.sources.tables import VersionedTable, exists, write_table
 
 # Kind of reading -> measure column, and measure column -> name in the index table.
 KIND_COLUMNS = {
@@ -250,3 +252,35 @@ def heat_map(mart: DataFrame, measure: str, year: int) -> DataFrame:
     return rows.select(
         "state", "month", month_name(period_start("year", "month")).alias("month_name"), measure
     ).orderBy("state", "month")
+
+
+# ---------------------------------------------------------------- layered build into a warehouse folder
+
+def build(spark: SparkSession, landing: str, warehouse: str, blocks: int | None = None) -> dict[str, DataFrame]:
+    """Raw readings -> clean rows -> dimensions -> fact -> marts, each layer read from the one before.
+
+    New files add to the raw layer. The layers above are rebuilt, because a new
+    reading can change how older gaps are filled from the later side.
+    """
+    raw_path = f"{warehouse}/raw_readings"
+    stored = spark.read.parquet(raw_path) if exists(spark, raw_path) else None
+    docs = read_documents(spark, landing, stored)
+    if docs is not None:
+        readings = flatten_documents(docs).dropDuplicates(["record_id"])
+        if stored is not None:
+            readings = new_rows(readings, stored, ["record_id"])
+        write_table(readings, raw_path, "append" if stored is not None else "overwrite")
+
+    def layer(name: str, df: DataFrame) -> DataFrame:
+        table = VersionedTable(spark, f"{warehouse}/{name}")
+        table.replace(df)
+        return table.read()
+
+    clean = layer("clean_readings", clean_readings(spark.read.parquet(raw_path), blocks=blocks))
+    locations, times = layer("dim_location", location_dim(clean)), layer("dim_time", time_dim(clean))
+    fact = layer("fact_index", index_fact(clean))
+    return {
+        "clean_readings": clean, "dim_location": locations, "dim_time": times, "fact_index": fact,
+        "monthly_by_state": layer("monthly_by_state", monthly_by_state(fact, times, locations)),
+        "daily_by_city": layer("daily_by_city", daily_by_city(fact, times, locations)),
+    }
