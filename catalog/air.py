@@ -40,7 +40,7 @@ def readings(spark, sf):
 
 def star_tables(spark, sf):
     clean = stage(aq.clean_readings(readings(spark, sf)))  # a table of its own: three others read it
-    return aq.index_fact(clean), aq.time_dim(clean), aq.location_dim(clean)
+    return aq.index_fact(clean), stage(aq.time_dim(clean)), stage(aq.location_dim(clean))
 
 
 PIVOT = """

@@ -10,6 +10,7 @@ from rillstone.functions import text as tx
 from rillstone.functions.columns import ordinal
 from rillstone.operators import features as fe
 from rillstone.operators import textvec as tv
+from rillstone.session import spread
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 _KEY = ", ".join(LINE_KEY)
@@ -118,7 +119,8 @@ _TOKENS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')"
 
 @query("tokenize_stop", f"select doc_id, array_to_string({_PLAIN}, ' ') as words from documents")
 def tokenize_stop(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.concat_ws(" ", tx.plain_words("text")).alias("words"))
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", F.concat_ws(" ", tx.plain_words("text")).alias("words"))
 
 
 _BAG = f"bag as (select doc_id, term, count(*) as n from (select doc_id, unnest({_TOKENS}) as term from documents) group by all)"
@@ -126,7 +128,7 @@ _BAG = f"bag as (select doc_id, term, count(*) as n from (select doc_id, unnest(
 
 def _bag(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return tv.bag_of_words(docs, "doc_id", tx.tokens("text")), docs
+    return tv.bag_of_words(spread(docs), "doc_id", tx.tokens("text")), docs
 
 
 @query("bow_counts", f"with {_BAG} select * from bag")
@@ -146,7 +148,8 @@ def bow_stats(spark, sf):
     select term, count(*) as df from g group by term having count(*) <= 0.02 * (select count(*) from documents)""")
 def ngram_df(spark, sf):
     terms = tx.with_bigrams(tx.tokens("text", tx.WORDS_WITH_APOSTROPHE))
-    return tv.document_frequency(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", terms, max_share=0.02)
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return tv.document_frequency(docs, "doc_id", terms, max_share=0.02)
 
 
 @query("tfidf", f"""with {_BAG}, d as (select term, count(*) as df from bag group by term),

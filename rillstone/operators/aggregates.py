@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillstone.operators.quantiles import exact_quantiles
+from rillstone.session import stage
 
 
 def pivot_max(df: DataFrame, keys: list[str | Column], kind: str, value: Column, columns: dict[str, str]) -> DataFrame:
@@ -170,7 +171,7 @@ def histogram_2d(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
 
 def box_summary(df: DataFrame, column: str, by: str) -> DataFrame:
     """Quartiles, whiskers (last value within 1.5 IQR) and outlier count per group."""
-    quartiles = exact_quantiles(df, column, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by])
+    quartiles = stage(exact_quantiles(df, column, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by]))
     value, iqr = F.col("_v"), F.col("q3") - F.col("q1")
     inside = value.between(F.col("q1") - iqr * 1.5, F.col("q3") + iqr * 1.5)
     rows = df.select(by, F.col(column).cast("double").alias("_v")).filter("_v is not null")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.operators.aggregates import mode
+from rillstone.session import stage
 
 
 def mismatches(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -81,5 +82,5 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, by: list[str]
 
 def cluster_agreement(df: DataFrame, cluster: str, label: str) -> DataFrame:
     """Confusion after giving each cluster the label most of its rows have."""
-    majority = mode(df, [cluster], label, name="_majority")
+    majority = stage(mode(df, [cluster], label, name="_majority"))
     return confusion(df.join(majority, cluster), label, "_majority")

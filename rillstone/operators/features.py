@@ -6,14 +6,16 @@ tables, so fitting is one aggregate and transforming is a projection.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rillstone.operators.aggregates import mode
 from rillstone.operators.numbering import number_rows
 from rillstone.operators.quantiles import exact_quantiles
+from rillstone.session import stage
 
-ONE_TASK_ROWS = 10_000  # distinct values that may be ranked in one task
+LOCAL_VALUES = 10_000  # distinct values of a column that may pass through the driver
 
 
 # ---------------------------------------------------------------- imputers
@@ -30,7 +32,7 @@ def impute_median(df: DataFrame, columns: list[str], by: list[str] | None = None
     for c in columns:
         medians = exact_quantiles(df, c, {"_median": 0.5}, by)
         if by:
-            out = out.join(medians, by, "left")
+            out = out.join(stage(medians), by, "left")
         else:
             out = out.withColumn("_median", medians.scalar())
         out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.col("_median"))).drop("_median")
@@ -79,13 +81,15 @@ def min_max_scale(df: DataFrame, columns: list[str], suffix: str = "_norm", fitt
 def categories(df: DataFrame, column: str) -> DataFrame:
     """Sorted distinct values with their zero-based code.
 
-    A few thousand values are ranked in one task after being counted; more are
-    ranked range by range.
+    Up to a limit the values are fetched and become a local table, which joins
+    as a broadcast; more are numbered range by range.
     """
     values = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    if values.limit(ONE_TASK_ROWS + 1).count() <= ONE_TASK_ROWS:
-        return values.withColumn("_code", F.row_number().over(Window.orderBy(column)) - 1)
-    return number_rows(values, [column], "_code", start=0)
+    fetched = values.orderBy(column).limit(LOCAL_VALUES + 1).collect()
+    if len(fetched) > LOCAL_VALUES:
+        return number_rows(values, [column], "_code", start=0)
+    schema = T.StructType([df.schema[column], T.StructField("_code", T.LongType())])
+    return F.broadcast(df.sparkSession.createDataFrame([(r[0], i) for i, r in enumerate(fetched)], schema))
 
 
 def ordinal_encode(df: DataFrame, columns: list[str], suffix: str = "_code") -> DataFrame:

@@ -2,7 +2,8 @@
 
 No broadcast hints are given: the optimizer broadcasts a side only when its
 measured size is under ``spark.sql.autoBroadcastJoinThreshold``, which keeps
-working when a dimension grows. Hot keys on the large side of a shuffled join
+working when a dimension grows. Aggregated sides are staged first, so that
+their size is known before a large side is shuffled. Hot keys on the large side of a shuffled join
 are split at run time by ``spark.sql.adaptive.skewJoin``; ``salted_join`` is
 for joins whose plan gives the optimizer no room to do that.
 """
@@ -12,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillstone.session import stage
+
 
 def new_rows(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Incoming rows whose key the target does not hold yet.
@@ -33,9 +36,8 @@ def flag_day_after(
 ) -> DataFrame:
     """Label rows whose date falls ``shift`` days after a listed calendar date."""
     listed = days.select(F.date_add(F.col(day), shift).alias("_on")).filter("_on is not null").distinct()
-    joined = df.withColumn("_on", F.to_date(ts)).join(
-        listed.withColumn("_hit", F.lit(True)), "_on", "left"
-    )
+    listed = stage(listed.withColumn("_hit", F.lit(True)))
+    joined = df.withColumn("_on", F.to_date(ts)).join(listed, "_on", "left")
     return joined.withColumn(flag, F.when(F.col("_hit"), F.lit(hit)).otherwise(F.lit(miss))).drop("_on", "_hit")
 
 

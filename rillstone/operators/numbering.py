@@ -19,7 +19,7 @@ def _consecutive(numbered: DataFrame, name: str, start: int) -> DataFrame:
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     index = F.col("_mid") - F.shiftleft(F.col("_part").cast("long"), _BITS)
-    return rows.join(offsets, "_part").withColumn(name, F.col("_offset") + index + start).drop(
+    return rows.join(stage(offsets), "_part").withColumn(name, F.col("_offset") + index + start).drop(
         "_mid", "_part", "_offset"
     )
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillstone.session import stage
+
 
 def exact_quantiles(
     df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None,
-    in_memory: int = 1_000_000,
+    in_memory: int = 100_000,
 ) -> DataFrame:
     """Interpolated quantiles of ``value`` per group, one column per entry of ``probs``.
 
@@ -40,7 +42,7 @@ def _bracketed(rows: DataFrame, probs: dict[str, float], by: list[str], largest:
     keys = by or ["_all"]
     if not by:
         rows = rows.withColumn("_all", F.lit(0))
-    brackets = (
+    brackets = stage(
         rows.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),

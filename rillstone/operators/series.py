@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.operators.evaluate import regression_metrics
+from rillstone.session import stage
 
 
 def z_score(level: float) -> float:
@@ -51,6 +52,7 @@ def fit_trend(df: DataFrame, keys: list[str], ts: str, y: str, weekly: bool = Fa
     })
     flat = df.groupBy(*keys).agg(F.avg(y).alias("_level"))
     line = _join(line, flat, keys).withColumn("intercept", F.coalesce("intercept", "_level")).drop("_level", "sse")
+    line = stage(line)  # read again by every join of rows with their model
     if not weekly:
         return line
     residual = _join(df, line, keys).withColumn("_e", F.col(y) - F.col("intercept") - F.col("slope") * t)
@@ -64,7 +66,7 @@ def fit_trend(df: DataFrame, keys: list[str], ts: str, y: str, weekly: bool = Fa
     left = F.greatest(F.col("_all") * F.col("_m") - explained, F.lit(0.0))
     days = days.select(*keys, season.alias("season"),
                        F.sqrt(F.try_divide(left, F.greatest(F.col("_m") - 8, F.lit(1)))).alias("sigma"))
-    return _join(line.drop("sigma"), days, keys)
+    return stage(_join(line.drop("sigma"), days, keys))
 
 
 def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -122,7 +124,7 @@ def deviation_flags(df: DataFrame, keys: list[str], ts: str, y: str, cut, z: flo
     """Rows from ``cut`` on, flagged when further than z deviations from the mean before it."""
     cut = F.lit(cut).cast(df.schema[ts].dataType)
     base = df.filter(F.col(ts) < cut).groupBy(*keys).agg(F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"))
-    rows = _join(df.filter(F.col(ts) >= cut), base, keys)
+    rows = _join(df.filter(F.col(ts) >= cut), stage(base), keys)
     return rows.withColumn("is_anomaly", F.abs(F.col(y) - F.col("mean")) > F.col("std") * z).drop("mean", "std")
 
 
@@ -161,7 +163,7 @@ def fit_linear(df: DataFrame, keys: list[str], features: dict[str, Column], y: s
             out["sigma"] = np.sqrt(sse / np.maximum(n - p - 1, 1))
             yield out
 
-    return sums.mapInPandas(solve, schema)
+    return stage(sums.mapInPandas(solve, schema))
 
 
 def predict_linear(model: DataFrame, df: DataFrame, keys: list[str], features: dict[str, Column], level: float = 0.95) -> DataFrame:

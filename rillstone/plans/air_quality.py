@@ -96,12 +96,10 @@ def index_inputs() -> dict[str, str]:
 
 def index_fact(clean: DataFrame, snap: bool = True) -> DataFrame:
     """Measures with their index, leading pollutant and category, keyed to the dimensions."""
-    return clean.select(
+    keyed = clean.select(
         "record_pk", hash_key("record_ts").alias("date_fk"),
-        hash_key("latitude", "longitude").alias("location_fk"), *MEASURES,
-        air_index.leading_pollutant(index_inputs(), snap).alias("prominent_pollutant"),
-        air_index.air_quality_index(index_inputs(), snap).alias("aqi"),
-    ).withColumn("aqi_category", air_index.index_category(F.col("aqi")))
+        hash_key("latitude", "longitude").alias("location_fk"), *MEASURES)
+    return air_index.with_index(keyed, index_inputs(), snap)
 
 
 def location_dim(clean: DataFrame) -> DataFrame:

@@ -53,9 +53,22 @@ def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Unlike a cache this survives lost executors, and unlike an RDD checkpoint
-    the readers still prune columns and push filters.
+    the readers still prune columns and push filters. It also gives the
+    optimizer the true size of an aggregate, which it would otherwise take to
+    be as large as the aggregate's input: a join with a small one is then
+    planned as a broadcast, and one that turned out large is not.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give work that is heavy per row to all cores when its scan has fewer splits than that.
+
+    A table of many files or row groups comes back unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df if splits >= cores else df.repartition(cores)

@@ -274,7 +274,7 @@ def test_unknown_category_gets_zeros(spark):
 def test_codes_agree_above_the_one_task_size(spark, monkeypatch):
     df = spark.createDataFrame([(f"v{i % 37:02d}",) for i in range(200)], "c string")
     small = dict(fe.categories(df, "c").collect())
-    monkeypatch.setattr(fe, "ONE_TASK_ROWS", 5)
+    monkeypatch.setattr(fe, "LOCAL_VALUES", 5)
     assert dict(fe.categories(df, "c").select("c", "_code").collect()) == small
     assert small["v00"] == 0 and small["v36"] == 36
 
