@@ -15,6 +15,7 @@ from rillstone.operators import models as md
 from rillstone.operators import neighbors as nn
 from rillstone.operators import textvec as tv
 from rillstone.operators.select import split, with_split
+from rillstone.session import spread
 
 LINE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
 TWO = {"train": 0.7, "test": 0.3}
@@ -217,7 +218,7 @@ def classify_proba(spark, sf):
 
 def labelled_documents(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text").join(table(spark, sf, "labels"), "doc_id")
-    return with_split(docs, TWO, ["doc_id"], seed=5)
+    return with_split(spread(docs), TWO, ["doc_id"], seed=5)
 
 
 _NB = rf"""d as (select d.doc_id, quality, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}') as t, {uniform_sql(5, 'd.doc_id')} < 0.7 as is_train
@@ -241,19 +242,18 @@ def nb_text(spark, sf):
 
 
 def _text_svm(spark, sf):
-    docs = md.text_features(labelled_documents(spark, sf), "text", size=1 << 16)
-    model = md.fit_vectors(docs.filter("grp = 'train'"), "linear_svm", "quality", regParam=0.01, maxIter=10)
-    return model, docs.filter("grp = 'test'")
+    docs = labelled_documents(spark, sf)
+    model = md.TextClassifier.fit(
+        docs.filter("grp = 'train'"), "text", "quality", size=1 << 16, regParam=0.01, maxIter=10)
+    return model.transform(docs.filter("grp = 'test'"))
 
 
 @query("svm_linear")
 def svm_linear(spark, sf):
-    model, test = _text_svm(spark, sf)
-    return model.transform(test).select("doc_id", "quality", F.col("prediction").cast("int").alias("prediction"))
+    return _text_svm(spark, sf).select("doc_id", "quality", F.col("prediction").cast("int").alias("prediction"))
 
 
 @query("score_text")
 def score_text(spark, sf):
     """Wrongly scored texts of the held-out part, with their label."""
-    model, test = _text_svm(spark, sf)
-    return ev.mismatches(model.transform(test), "quality", "prediction").select("doc_id", "quality", "prediction")
+    return ev.mismatches(_text_svm(spark, sf), "quality", "prediction").select("doc_id", "quality", "prediction")

@@ -18,14 +18,14 @@ timestamp can make one range large.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.session import stage
 
 BLOCK, POSITION, LEVEL = "_block", "_position", "_level"
 # positions of the carried rows: before and after every row of a block
-FIRST, LAST = -(2**63), 2**63 - 1
+FIRST, LAST = -(2**62), 2**62
 
 
 def with_positions(df: DataFrame, order: list[str], blocks: int | None = None) -> DataFrame:
@@ -53,28 +53,34 @@ def _edge_rows(rows: DataFrame, levels: list[list[str]], measures: list[str]) ->
         *[F.expr(f"min_by(`{m}`, if(`{m}` is null, null, {POSITION}))").alias(f"{m}_start") for m in measures],
     )
     # one row per block and entity is left, so these windows are short
-    entity = Window.partitionBy("_gid", *keys)
-    before = entity.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    after = entity.orderBy(F.col(BLOCK).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.withColumns({
-        "_in": F.struct(F.lit(FIRST).alias(POSITION), *[F.last(f"{m}_end", True).over(before).alias(m) for m in measures]),
-        "_out": F.struct(F.lit(LAST).alias(POSITION), *[F.last(f"{m}_start", True).over(after).alias(m) for m in measures]),
-    })
+    entity = ", ".join(["_gid", *[f"`{k}`" for k in keys]])
+    sides = {"_in": (FIRST, "end", ""), "_out": (LAST, "start", " desc")}
+    structs = []
+    for name, (position, edge, direction) in sides.items():
+        over = f"over (partition by {entity} order by {BLOCK}{direction} rows between unbounded preceding and 1 preceding)"
+        near = [f"last(`{m}_{edge}`, true) {over} as `{m}`" for m in measures]
+        structs.append(f"struct({position}L as {POSITION}, {', '.join(near)}) as {name}")
+    carried = ends.selectExpr("*", *structs)
     number = F.array_position(F.array(*[F.lit(i) for i in ids]), F.col("_gid").cast("int")).cast("int") - 1
     edges = carried.select(BLOCK, *keys, number.alias(LEVEL), F.inline(F.array("_in", "_out")))
     return edges.filter(" or ".join(f"`{m}` is not null" for m in measures))
 
 
-def _scan(rows: DataFrame, measures: list[str], level: int, keys: list[str], back: bool) -> DataFrame:
-    """Add ``_near_<measure>``: the nearest known value so far, or onward when ``back``.
+def _scan(rows: DataFrame, kept: list[str], measures: list[str], level: int, keys: list[str], back: bool) -> DataFrame:
+    """Give measures still unknown the nearest value so far, or onward when ``back``.
 
     The backward scan runs over the reversed order, because a frame reaching
-    forward would be evaluated from scratch for every row.
+    forward would be evaluated from scratch for every row. One answer per
+    measure is kept, so rows do not widen with every scan.
     """
-    sort = F.col(POSITION).desc() if back else F.col(POSITION)
-    frame = Window.partitionBy(BLOCK, *keys).orderBy(sort).rowsBetween(Window.unboundedPreceding, 0)
-    own = {m: f"if({LEVEL} in (-1, {level}), `{m}`, null)" for m in measures}
-    return rows.withColumns({f"_near_{m}": F.last(F.expr(own[m]), True).over(frame) for m in measures})
+    entity = ", ".join([BLOCK, *[f"`{k}`" for k in keys]])
+    over = (f"over (partition by {entity} order by {POSITION}{' desc' if back else ''} "
+            "rows between unbounded preceding and current row)")
+    return rows.selectExpr(
+        *[f"`{c}`" for c in kept],
+        *[f"coalesce(`_got_{m}`, last(if({LEVEL} in (-1, {level}), `{m}`, null), true) {over}) as `_got_{m}`"
+          for m in measures],
+    )
 
 
 def _filled(
@@ -88,11 +94,7 @@ def _filled(
     parts = parts.selectExpr("*", *[f"{found.format(m)} as `_got_{m}`" for m in measures])
     for level, keys in enumerate(levels):
         for back in scans:
-            # keep one answer per measure, so rows do not widen with every scan
-            parts = _scan(parts, measures, level, keys, back).selectExpr(
-                *[f"`{c}`" for c in kept],
-                *[f"coalesce(`_got_{m}`, `_near_{m}`) as `_got_{m}`" for m in measures],
-            )
+            parts = _scan(parts, kept, measures, level, keys, back)
     return parts.filter(F.col(POSITION).between(FIRST + 1, LAST - 1)).selectExpr(
         *[f"`_got_{c}` as `{c}`" if c in measures else f"`{c}`" for c in df.columns]
     )

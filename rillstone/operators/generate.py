@@ -6,7 +6,7 @@ the same values.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.functions.columns import normal, uniform, uniform_int
@@ -86,3 +86,9 @@ def hourly_readings(template: DataFrame, keys: list[str], base: str, start, end,
     grid = template.withColumn("record_ts", F.explode(hours))
     factor = 1.0 + (uniform(seed, *keys, F.date_format("record_ts", "yyyy-MM-dd HH")) * 2.0 - 1.0) * noise
     return grid.withColumn("reading", F.greatest(F.round(F.col(base) * factor, 1), F.lit(0.0)))
+
+
+def people_job(spark: SparkSession, rows: int, path: str, first_id: int = 0, seed: int = 0, mode: str = "append") -> str:
+    """Write that many synthetic people; another range of ids gives other people."""
+    people(spark.range(first_id, first_id + rows), "id", seed).write.mode(mode).parquet(path)
+    return f"Inserted {rows} rows into {path}"

@@ -123,3 +123,23 @@ def test_generated_values_do_not_depend_on_partitions(spark):
     a = gen.people(spark.range(100).repartition(5), "id").collect()
     b = gen.people(spark.range(100).coalesce(1), "id").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and all(r["email"].endswith("@example.com") for r in a)
+
+
+def test_text_jobs(spark, tmp_path):
+    words = {"positive": "good great fine lovely superb", "negative": "bad awful poor dull horrid"}
+    rows = [(i, " ".join(words[s].split()[j] for j in (i % 5, (i + 2) % 5)) + f" film number{i} the the", s)
+            for i, s in enumerate(["positive", "negative"] * 40)]
+    df = spark.createDataFrame(rows, "id int, review string, sentiment string")
+    source, path = str(tmp_path / "reviews"), str(tmp_path / "model")
+    df.write.parquet(source)
+    out = md.train_text_job(spark, source, "review", "sentiment", "positive", path, max_share=0.5, size=1 << 10, maxIter=10)
+    assert out["status"] == "SUCCESS" and out["accuracy"] > 0.95
+    assert "the" in {r["term"] for r in md.TextClassifier.load(spark, path).common.collect()}
+    assert md.score_text_job(spark, source, "review", "sentiment", "positive", path)["accuracy"] == out["accuracy"]
+
+
+def test_people_are_appended(spark, tmp_path):
+    path = str(tmp_path / "people")
+    gen.people_job(spark, 10, path)
+    gen.people_job(spark, 5, path, first_id=10)
+    assert spark.read.parquet(path).select("id").distinct().count() == 15
