@@ -13,7 +13,6 @@ from catalog.base import query, table
 from rillstone.functions import air_index
 from rillstone.functions.columns import hour_of, lookup
 from rillstone.operators import fill
-from rillstone.operators.aggregates import pivot_max
 from rillstone.session import stage
 from rillstone.plans import air_quality as aq
 

@@ -11,7 +11,6 @@ from functools import reduce
 from statistics import NormalDist
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
