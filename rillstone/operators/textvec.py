@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillstone.session import stage
+
 
 def terms_long(df: DataFrame, key: str, terms: Column) -> DataFrame:
     return df.select(key, F.explode(terms).alias("term"))
@@ -39,6 +41,7 @@ def bag_statistics(bag: DataFrame, documents: DataFrame, key: str) -> DataFrame:
 def tf_idf(bag: DataFrame, documents: DataFrame, key: str) -> DataFrame:
     """Counts weighted by ln((1 + docs) / (1 + df)) + 1, each document scaled to length 1."""
     docs = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
+    bag = stage(bag)  # read twice: the texts should not be taken apart twice
     df = bag.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weighted = bag.join(df, "term").withColumn(
         "w", F.col("n") * (F.ln((docs + 1.0) / (F.col("df") + 1.0)) + 1.0))
@@ -67,9 +70,9 @@ class NaiveBayes:
         log_prior = {c: math.log(per_class[c] / total) for c in classes}
 
         rows = bag.join(labels.select(key, label), key)
-        by_term = rows.groupBy("term").agg(*[
+        by_term = stage(rows.groupBy("term").agg(*[
             F.sum(F.when(F.col(label) == c, F.col(weight)).otherwise(0)).cast("double").alias(f"c{i}")
-            for i, c in enumerate(classes)])
+            for i, c in enumerate(classes)]))
         totals = by_term.agg(F.struct(
             F.count(F.lit(1)).alias("v"), *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(classes))]).alias("t")).scalar()
         model = by_term.withColumn("_t", totals).select("term", *[
