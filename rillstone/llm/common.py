@@ -59,6 +59,20 @@ def joined(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data.tobytes(), kind), np.diff(offsets) // np.dtype(kind).itemsize
 
 
+def thin(values: np.ndarray) -> bytes:
+    """Integers, best in rising order, as planes of their differences' bytes: what is always zero compresses away."""
+    steps = np.diff(values.astype(np.int64), prepend=np.int64(0))
+    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def wide(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """What ``thin`` packed into each cell, end to end, and how many items each cell held."""
+    data, offsets = utf8(column)
+    cells = [np.ascontiguousarray(data[a:b].reshape(8, -1).T).view(np.int64).ravel().cumsum()
+             for a, b in zip(offsets[:-1], offsets[1:], strict=True) if b > a]
+    return np.concatenate(cells) if cells else np.zeros(0, np.int64), np.diff(offsets) // 8
+
+
 def cut_by(bucket: np.ndarray, columns: list[np.ndarray]) -> Iterator[tuple[int, list[np.ndarray]]]:
     """The columns' items for each bucket, in the order in which they stand."""
     order = np.argsort(bucket, kind="stable")

@@ -29,16 +29,29 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import RollingHash, block_of, cut_by, flat, joined, parts_for, text_size, utf8
+from rillstone.llm.common import (
+    RollingHash,
+    block_of,
+    cut_by,
+    flat,
+    joined,
+    parts_for,
+    text_size,
+    thin,
+    utf8,
+    wide,
+)
 
 TRIGGER = 32
 SLICE = 1 << 20  # bytes hashed at a time
 _PLACE = 24  # bits that hold a place within a slice
 
-_MARKS = "block int, kind int, doc binary, start binary, count binary"
+# A place is a byte's number within its block, whose documents stand in corpus order.
+_MARKS = "block int, kind int, place binary, count binary"
 _PHRASES = ("bucket int, kind int, block int, trigger binary, phrase binary, before binary, after binary, "
-            "id binary, doc binary, start binary, count binary, back binary")
-_STRINGS = "bucket int, kind int, block int, string binary, id binary, doc binary, start binary, count binary"
+            "id binary, place binary, count binary, back binary")
+_STRINGS = "bucket int, kind int, block int, string binary, id binary, place binary, count binary"
+_STRING = 12  # bytes of a string's hash
 
 
 def _nothing(schema: str) -> dict[str, list]:
@@ -61,10 +74,8 @@ class Block:
         self.data, self.offsets = utf8(self.table["text"])
         self.ids = pc.fill_null(flat(self.table["id"]).cast(pa.int64()), np.iinfo(np.int64).max).to_numpy()
 
-    def place(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Document number within the block, and position within the document."""
-        doc = np.searchsorted(self.offsets, at, side="right") - 1
-        return doc, at - self.offsets[doc]
+    def ids_at(self, place: np.ndarray) -> np.ndarray:
+        return self.ids[np.searchsorted(self.offsets, place, side="right") - 1]
 
 
 def phrases(data: np.ndarray, offsets: np.ndarray, length: int):
@@ -123,14 +134,12 @@ def _parse(table: pa.Table, length: int, buckets: int) -> pa.Table:
         t, p = trigger[order], phrase[order]
         again = np.zeros(len(order), bool)
         again[order] = np.r_[False, (t[1:] == t[:-1]) & (p[1:] == p[:-1])]
-        doc, start = block.place(place)
-        doc, start = doc.astype(np.int32), start.astype(np.int64)
         if again.any():
-            _add(out, number % buckets, 1, number, doc=doc[again], start=start[again], count=count[again])
+            _add(out, number % buckets, 1, number, place=place[again], count=count[again])
         new = ~again
         deal = (trigger[new] % np.uint64(buckets)).astype(np.int64)
-        columns = [trigger, phrase, before, after, block.ids[doc], doc, start, count, back]
-        names = ["trigger", "phrase", "before", "after", "id", "doc", "start", "count", "back"]
+        columns = [trigger, phrase, before, after, block.ids_at(place), place, count, back]
+        names = ["trigger", "phrase", "before", "after", "id", "place", "count", "back"]
         for bucket, values in cut_by(deal, [c[new] for c in columns]):
             _add(out, bucket, 0, number, **dict(zip(names, values, strict=True)))
     return _arrow(out, _PHRASES)
@@ -140,6 +149,8 @@ def _add(out: dict[str, list], bucket: int | None, kind: int, block: int, **valu
     for name, column in out.items():
         if name in ("bucket", "kind", "block"):
             column.append({"bucket": bucket, "kind": kind, "block": block}[name])
+        elif name in ("id", "place"):
+            column.append(thin(values[name]) if name in values else b"")
         else:
             column.append(values[name].tobytes() if name in values else b"")
 
@@ -147,14 +158,15 @@ def _add(out: dict[str, list], bucket: int | None, kind: int, block: int, **valu
 def _passed_on(table: pa.Table, out: dict[str, list]) -> pa.Table:
     """Marks that blocks made themselves go through; what is left is still to be ordered."""
     done = table.filter(pc.equal(table["kind"], 1))
-    for name in ("block", "kind", "doc", "start", "count"):
+    for name in ("block", "kind", "place", "count"):
         out[name] += done[name].to_pylist()
     return table.filter(pc.equal(table["kind"], 0))
 
 
-def _marked(out: dict[str, list], kind: int, block: np.ndarray, doc, start, count) -> None:
-    for number, (d, s, c) in cut_by(block, [doc, start, count]):
-        _add(out, None, kind, number, doc=d, start=s, count=c)
+def _marked(out: dict[str, list], kind: int, block: np.ndarray, place: np.ndarray, count: np.ndarray) -> None:
+    order = np.argsort(place, kind="stable")
+    for number, (p, c) in cut_by(block[order], [place[order], count[order]]):
+        _add(out, None, kind, number, place=p, count=c)
 
 
 def _dictionary(table: pa.Table, length: int) -> pa.Table:
@@ -166,16 +178,15 @@ def _dictionary(table: pa.Table, length: int) -> pa.Table:
     half = (length - TRIGGER) // 2
     trigger, sizes = joined(table["trigger"], np.uint64)
     block = np.repeat(table["block"].to_numpy(), sizes)
-    phrase, ids = joined(table["phrase"], np.uint64)[0], joined(table["id"], np.int64)[0]
+    phrase, ids, place = joined(table["phrase"], np.uint64)[0], wide(table["id"])[0], wide(table["place"])[0]
     before, after = joined(table["before"], np.uint16)[0], joined(table["after"], np.uint16)[0]
-    doc, start = joined(table["doc"], np.int32)[0], joined(table["start"], np.int64)[0]
     count, back = joined(table["count"], np.uint8)[0], joined(table["back"], np.uint8)[0]
 
-    order = np.lexsort((start, doc, ids, phrase, trigger))
+    order = np.lexsort((place, ids, phrase, trigger))
     t, p = trigger[order], phrase[order]
     again = np.r_[False, (t[1:] == t[:-1]) & (p[1:] == p[:-1])]
     later = order[again]
-    _marked(out, 1, block[later], doc[later], start[later], count[later])
+    _marked(out, 1, block[later], place[later], count[later])
 
     first = order[~again]
     # strings that reach `half` bytes or more before the trigger, and the others
@@ -187,18 +198,24 @@ def _dictionary(table: pa.Table, length: int) -> pa.Table:
         lead = back[opened].astype(np.int64)
         many = count[opened].astype(np.int64)
         split = np.clip(lead - half + 1, 0, many)  # so many strings reach that far
-        begin = start[opened] + (0 if reaching else split)
+        begin = place[opened] + (0 if reaching else split)
         size = split if reaching else many - split
         keep = size > 0
-        _marked(out, 2, block[opened][keep], doc[opened][keep], begin[keep], size[keep].astype(np.uint8))
+        _marked(out, 2, block[opened][keep], begin[keep], size[keep].astype(np.uint8))
     return _arrow(out, _MARKS)
 
 
-def _spots(marks: pa.Table, block: Block, kind: int) -> tuple[np.ndarray, np.ndarray]:
+def _spots(marks: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Places in the block's bytes, and how many strings begin there in a row."""
-    marks = marks.filter(pc.equal(marks["kind"], kind))
-    doc, start = joined(marks["doc"], np.int32)[0], joined(marks["start"], np.int64)[0]
-    return block.offsets[doc] + start, joined(marks["count"], np.uint8)[0].astype(np.int64)
+    return wide(marks["place"])[0], joined(marks["count"], np.uint8)[0].astype(np.int64)
+
+
+def _runs(keys: np.ndarray, *ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order by key, then by the ranks (the last counts least), and what in it repeats the key before."""
+    words = keys.view(np.uint32).reshape(-1, 3)
+    order = np.lexsort((*ranks[::-1], words[:, 2], words[:, 1], words[:, 0]))
+    ranked = words[order]
+    return order, np.r_[False, (ranked[1:] == ranked[:-1]).all(1)] if len(order) else np.zeros(0, bool)
 
 
 def _open(docs: pa.Table, marks: pa.Table, length: int, buckets: int) -> pa.Table:
@@ -206,25 +223,21 @@ def _open(docs: pa.Table, marks: pa.Table, length: int, buckets: int) -> pa.Tabl
     out = _nothing(_STRINGS)
     if docs.num_rows and marks.num_rows:
         block, number = Block(docs), docs["block"][0].as_py()
-        begin, many = _spots(marks, block, 2)
+        begin, many = _spots(marks)
         spots = np.unique(np.repeat(begin - np.cumsum(many) + many, many) + np.arange(many.sum()))
         if len(spots):
             data = block.data.tobytes()
             digest = xxhash.xxh3_128_digest
-            keys = np.frombuffer(b"".join([digest(data[p : p + length]) for p in spots.tolist()]), "V16")
-            head = keys.view(np.uint64)[::2]
-            order = np.lexsort((spots, keys.view(np.uint64)[1::2], head))
-            ranked = keys[order]
-            again = np.zeros(len(order), bool)
-            again[order] = np.r_[False, ranked[1:] == ranked[:-1]]
-            doc, start = block.place(spots)
-            doc, one = doc.astype(np.int32), np.ones(len(spots), np.uint8)
+            keys = np.frombuffer(b"".join([digest(data[p : p + length])[:_STRING] for p in spots.tolist()]), "V12")
+            order, again = _runs(keys, spots)
+            again[order] = again.copy()
+            one = np.ones(len(spots), np.uint8)
             if again.any():
-                _add(out, number % buckets, 1, number, doc=doc[again], start=start[again], count=one[again])
+                _add(out, number % buckets, 1, number, place=spots[again], count=one[again])
             new = ~again
-            columns = [keys, block.ids[doc], doc, start, one]
-            for bucket, values in cut_by((head[new] % np.uint64(buckets)).astype(np.int64), [c[new] for c in columns]):
-                _add(out, bucket, 0, number, **dict(zip(["string", "id", "doc", "start", "count"], values, strict=True)))
+            deal = keys[new].view(np.uint32)[::3] % np.uint32(buckets)
+            for bucket, (key, ids, place) in cut_by(deal, [keys[new], block.ids_at(spots[new]), spots[new]]):
+                _add(out, bucket, 0, number, string=key, id=ids, place=place)
     return _arrow(out, _STRINGS)
 
 
@@ -233,21 +246,19 @@ def _ordered(table: pa.Table) -> pa.Table:
     out = _nothing(_MARKS)
     table = _passed_on(table, out)
     if table.num_rows:
-        keys, sizes = joined(table["string"], np.uint64)
-        block = np.repeat(table["block"].to_numpy(), sizes // 2)
-        ids, doc = joined(table["id"], np.int64)[0], joined(table["doc"], np.int32)[0]
-        start = joined(table["start"], np.int64)[0]
-        a, b = keys[::2], keys[1::2]
-        order = np.lexsort((start, doc, ids, b, a))
-        again = order[np.r_[False, (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1])]]
-        _marked(out, 1, block[again], doc[again], start[again], np.ones(len(again), np.uint8))
+        keys, sizes = joined(table["string"], "V12")
+        block = np.repeat(table["block"].to_numpy(), sizes)
+        ids, place = wide(table["id"])[0], wide(table["place"])[0]
+        order, again = _runs(keys, ids, place)
+        later = order[again]
+        _marked(out, 1, block[later], place[later], np.ones(len(later), np.uint8))
     return _arrow(out, _MARKS)
 
 
 def _cut(docs: pa.Table, marks: pa.Table, length: int) -> pa.Table:
     """Each document without its marked bytes."""
     block = Block(docs)
-    begin, many = _spots(marks, block, 1)
+    begin, many = _spots(marks)
     bounds = np.zeros(len(block.data) + 1, np.int64)
     np.add.at(bounds, begin, 1)
     np.add.at(bounds, begin + many - 1 + length, -1)
