@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.llm import repeats, simhash
+from rillstone.llm import packing, repeats, simhash, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,12 +24,33 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = tokens.encode(docs, ranks, public_tokenizers.PATTERN).drop("text")
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(tokens.decode("ids", ranks), 256).alias("decoded_sha256"))
+
+
 @query
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"), width=4, distance=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.packed_documents(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end=1)
+
+
 @query
 def op8_repeats(spark: SparkSession, folder: str) -> DataFrame:
     found = repeats.without_repeats(table(spark, folder, "documents").select("doc_id", "text"), length=100)
