@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.llm import packing, repeats, simhash, tokens
+from rillstone.llm import backoff, language, packing, repeats, simhash, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,12 +37,28 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(tokens.decode("ids", ranks), 256).alias("decoded_sha256"))
 
 
+@query
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    out = language.held_out("doc_id", 3, 1)
+    model = language.fit(docs.filter(~out & F.col("doc_id").isNotNull()))
+    found = language.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"), width=4, distance=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op5_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    out = language.held_out("doc_id", 7, 2)
+    found = backoff.score(table(spark, folder, "documents"), ~out & F.col("doc_id").isNotNull(), out)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
