@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.llm import backoff, language, packing, repeats, simhash, tokens
+from rillstone.llm import backoff, imatch, language, licences, packing, repeats, simhash, tokens, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,8 +67,31 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end=1)
 
 
+RULES = [urls.Rule("allow", "com"), urls.Rule("block", "example.com", "/en/"),
+         urls.Rule("allow", "www.example.com", "/en/"), urls.Rule("block", "net", "/es/"),
+         urls.Rule("block", "net", "/fr/")]
+
+
+@query
+def op7_urls(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    found = urls.fit(pages, RULES).judge(pages)
+    return found.select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
 @query
 def op8_repeats(spark: SparkSession, folder: str) -> DataFrame:
     found = repeats.without_repeats(table(spark, folder, "documents").select("doc_id", "text"), length=100)
     return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans",
                         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op9_imatch(spark: SparkSession, folder: str) -> DataFrame:
+    return imatch.compare(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return licences.fit(docs).scan(docs).withColumnRenamed("id", "doc_id")
