@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.llm import backoff, imatch, language, licences, packing, repeats, simhash, tokens, urls
+from rillstone.llm import backoff, imatch, language, licences, neargraph, packing, repeats, simhash, tokens, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,11 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op3_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return neargraph.near_duplicates(table(spark, folder, "embeddings"), settings=neargraph.Settings(threshold=0.93))
+
+
 @query
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"), width=4, distance=4)

@@ -157,7 +157,11 @@ def links(prints: DataFrame, distance: int = 4, group: int = 4096) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4, distance: int = 4,
 ) -> DataFrame:
-    """``doc_id, fp, component_id`` for each row: the smallest id among the texts whose fingerprints are linked.
+    """``doc_id, fp, component_id, text_hash, root`` for each row.
+
+    ``component_id`` is the smallest id among the texts whose fingerprints are
+    linked, ``root`` the smallest fingerprint of the group, ``text_hash`` tells
+    rows apart that share an id.
 
     Equal fingerprints are one node, so copies of one text cost one row. NULL
     and wordless texts have fingerprint 0 and link like any other. Rows without
@@ -165,13 +169,30 @@ def near_duplicates(
     NULL component. Rows that repeat an id are one document. An empty table
     gives an empty one; other columns are not looked at.
     """
-    prints = stage(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text")), "_text", width)
-                   .drop("_text"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"), F.xxhash64(text).alias("text_hash"))
+    prints = stage(fingerprints(rows, "_text", width).drop("_text"))
     nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(nodes.select("fp"), distance))
     placed = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     placed = stage(placed)
     named = stage(placed.join(placed.groupBy("root").agg(F.min("least").alias("component_id")), "root")
-                  .select("fp", "component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+                  .select("fp", "component_id", "root"))
+    return prints.join(named, "fp").select("doc_id", "fp", "component_id", "text_hash", "root")
+
+
+def without_near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4, distance: int = 4,
+) -> DataFrame:
+    """The rows of one document of each group: the smallest id, of equal ids one text.
+
+    Rows without an id stay only in groups without any id. Rows equal in id and
+    text are one document and stay together.
+    """
+    found = near_duplicates(docs, doc_id, text, width, distance)
+    one = F.struct("doc_id", "text_hash")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    keep = stage(found.groupBy("root").agg(F.min_by(one, first).alias("one")).select(
+        F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_hash")))
+    here = F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")) & (F.xxhash64(f"`{text}`") == F.col("_hash"))
+    return docs.join(keep, here, "left_semi")
