@@ -107,13 +107,13 @@ def _vocabulary(frame, buckets: int):
         texts = pa.Table.from_batches([batch.filter(batch["learned"])])
         values, _, count = _distinct(hashes := Stream(texts["text"]).hash, np.ones(len(hashes)))
         for bucket, (h, c) in cut_by(_bucket(values, buckets), [values, count]):
-            for name, cell in zip(rows, (bucket, 0, _WORDS, thin(h.view(np.int64)), thin(c)), strict=True):
+            for name, cell in zip(rows, (bucket, 0, _WORDS, thin(h.view(np.int64)), thin(c, False)), strict=True):
                 rows[name].append(cell)
         yield from _table(rows, _ENTRIES).to_batches()
 
 
 def _vocabulary_sums(table: pa.Table) -> pa.Table:
-    hashes, counts = wide(table["hash"])[0], wide(table["count"])[0]
+    hashes, counts = wide(table["hash"])[0], wide(table["count"], False)[0]
     return pa.table({"tokens": pa.array([int(counts.sum())], pa.int64()),
                      "words": pa.array([len(np.unique(hashes))], pa.int64())})
 
@@ -126,7 +126,7 @@ def _entries(table: pa.Table, buckets: int) -> pa.Table:
     for kind, hashes in ((_WORDS, stream.hash), (_PAIRS, stream.pair)):
         values, _, count = _distinct(hashes, learned)
         for bucket, (h, c) in cut_by(_bucket(values, buckets), [values, count]):
-            for name, cell in zip(rows, (bucket, block, kind, thin(h.view(np.int64)), thin(c)), strict=True):
+            for name, cell in zip(rows, (bucket, block, kind, thin(h.view(np.int64)), thin(c, False)), strict=True):
                 rows[name].append(cell)
     return _table(rows, _ENTRIES)
 
@@ -140,14 +140,14 @@ def _answers(table: pa.Table) -> pa.Table:
         if not part.num_rows:
             continue
         hashes, sizes = wide(part["hash"])
-        counts = wide(part["count"])[0]
+        counts = wide(part["count"], False)[0]
         block = np.repeat(part["block"].to_numpy(), sizes)
         item = np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         _, at, blocks = np.unique(hashes, return_inverse=True, return_counts=True)
         total = np.bincount(at, weights=counts).astype(np.int64)
         told = (blocks[at] > 1) & (total[at] != counts)
         for number, (i, c) in cut_by(block[told], [item[told], total[at][told]]):
-            for name, cell in zip(rows, (number, bucket, kind, thin(i), thin(c)), strict=True):
+            for name, cell in zip(rows, (number, bucket, kind, thin(i), thin(c, False)), strict=True):
                 rows[name].append(cell)
     return _table(rows, _ANSWERS)
 
@@ -159,7 +159,7 @@ def _told(kind: int, values: np.ndarray, count: np.ndarray, answers: pa.Table, b
     if part.num_rows:
         first = np.searchsorted(_bucket(values, buckets), part["bucket"].to_numpy().astype(np.uint64))
         items, sizes = wide(part["item"])
-        count[np.repeat(first, sizes) + items] = wide(part["count"])[0]
+        count[np.repeat(first, sizes) + items] = wide(part["count"], False)[0]
     return count
 
 

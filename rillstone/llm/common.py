@@ -59,17 +59,19 @@ def joined(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data.tobytes(), kind), np.diff(offsets) // np.dtype(kind).itemsize
 
 
-def thin(values: np.ndarray) -> bytes:
-    """Integers, best in rising order, as planes of their differences' bytes: what is always zero compresses away."""
-    steps = np.diff(values.astype(np.int64), prepend=np.int64(0))
+def thin(values: np.ndarray, rising: bool = True) -> bytes:
+    """Integers as planes of their bytes: what is always zero compresses away. Rising ones as their differences."""
+    values = values.astype(np.int64)
+    steps = np.diff(values, prepend=np.int64(0)) if rising else values
     return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def wide(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+def wide(column: pa.ChunkedArray, rising: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """What ``thin`` packed into each cell, end to end, and how many items each cell held."""
     data, offsets = utf8(column)
-    cells = [np.ascontiguousarray(data[a:b].reshape(8, -1).T).view(np.int64).ravel().cumsum()
+    cells = [np.ascontiguousarray(data[a:b].reshape(8, -1).T).view(np.int64).ravel()
              for a, b in zip(offsets[:-1], offsets[1:], strict=True) if b > a]
+    cells = [c.cumsum() for c in cells] if rising else cells
     return np.concatenate(cells) if cells else np.zeros(0, np.int64), np.diff(offsets) // 8
 
 
