@@ -27,7 +27,7 @@ class Words(dict):
     ``most`` words.
     """
 
-    def __init__(self, encode: Callable[[str], list[int]], most: int = 400_000):
+    def __init__(self, encode: Callable[[str], list[int]], most: int = 200_000):
         super().__init__()
         self.encode, self.most = encode, most
 
