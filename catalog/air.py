@@ -31,7 +31,9 @@ def readings(spark, sf):
         F.lit("World").alias("country"), F.col("r_name").alias("state"), F.col("n_name").alias("city"),
         F.col("user_id").cast("string").alias("station"),
         F.col("c_nationkey").cast("decimal(12,7)").alias("latitude"),
-        (F.col("c_custkey") % 100000).cast("decimal(12,7)").alias("longitude"),
+        # five whole digits and seven decimals hold any customer's number, so no two share a place
+        F.expr("cast(c_custkey % 100000 as decimal(12,7)) + cast(c_custkey div 100000 as decimal(12,0)) * 0.0000001BD")
+        .cast("decimal(12,7)").alias("longitude"),
         lookup("event_type", KIND_OF_EVENT).alias("pollutant_id"),
         F.col("value").cast("string").alias("pollutant_avg"),
     )
@@ -45,7 +47,7 @@ def star_tables(spark, sf):
 PIVOT = """
 readings as (
   select date_trunc('hour', ts) as record_ts, r_name as state, n_name as city,
-         cast(user_id as varchar) as station, c_nationkey as lat, c_custkey % 100000 as lon, event_type, value
+         cast(user_id as varchar) as station, c_nationkey as lat, c_custkey % 100000 + (c_custkey // 100000) / 10000000.0 as lon, event_type, value
   from events
   join customer on user_id = c_custkey
   join nation on c_nationkey = n_nationkey

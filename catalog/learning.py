@@ -163,7 +163,7 @@ def rf_predict(spark, sf):
 
 @query("gbt_predict")
 def gbt_predict(spark, sf):
-    return _predictions(spark, sf, "gradient_boosting", "low", maxIter=10)
+    return _predictions(spark, sf, "gradient_boosting", "low", maxIter=100)
 
 
 @query("kmeans_assign")
@@ -194,14 +194,14 @@ def rf_regress(spark, sf):
 
     parts = split(rows, {"train": 0.9, "test": 0.1}, ["p_partkey"], seed=0)
     stages = md.preprocessing(parts["train"], ["p_size"], ["p_type", "p_brand"])
-    model = Pipeline(stages=[*stages, md.ESTIMATORS["forest_regression"](labelCol="p_retailprice", numTrees=20)]).fit(parts["train"])
+    model = Pipeline(stages=[*stages, md.ESTIMATORS["forest_regression"](labelCol="p_retailprice", numTrees=100)]).fit(parts["train"])
     return model.transform(parts["test"]).select("p_partkey", "p_retailprice", "prediction")
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
     rows = table(spark, sf, "lineitem").withColumn("large", (F.col("l_extendedprice") > 40000).cast("int"))
-    model = md.fit(rows, "random_forest", LINE_FEATURES, "large", numTrees=20)
+    model = md.fit(rows, "random_forest", LINE_FEATURES, "large", numTrees=100)
     return md.feature_importance(spark, model, LINE_FEATURES)
 
 
@@ -244,7 +244,7 @@ def nb_text(spark, sf):
 def _text_svm(spark, sf):
     docs = labelled_documents(spark, sf)
     model = md.TextClassifier.fit(
-        docs.filter("grp = 'train'"), "text", "quality", size=1 << 16, regParam=0.01, maxIter=10)
+        docs.filter("grp = 'train'"), "text", "quality", size=1 << 16, regParam=0.01, maxIter=100)
     return model.transform(docs.filter("grp = 'test'"))
 
 

@@ -62,7 +62,8 @@ def parse_number(c: Column | str, whole: bool = False) -> Column:
     trimmed = F.trim(_col(c).cast("string"))
     if whole:
         return F.round(trimmed.try_cast("decimal(38,10)"), 0).cast("double")
-    return trimmed.try_cast("double")
+    plain = trimmed.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")  # no 'NaN', 'Infinity' or '12d'
+    return F.when(plain, trimmed.try_cast("double"))
 
 
 def parse_timestamp(c: Column | str, pattern: str = "dd-MM-yyyy HH:mm:ss") -> Column:
@@ -144,9 +145,7 @@ def month_name(c: Column | str, full: bool = False) -> Column:
 # ---------------------------------------------------------------- lookups
 
 def lookup(c: Column | str, mapping: dict) -> Column:
-    """Value of a small literal dictionary; unknown keys give NULL."""
-    if len(mapping) > 50:
-        raise ValueError("use a joined dimension table above 50 keys")
+    """Value of a literal dictionary; unknown keys give NULL. For a table of keys see ``joins.lookup_table``."""
     pairs = [F.lit(x) for pair in mapping.items() for x in pair]
     return F.try_element_at(F.create_map(*pairs), _col(c))
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rillstone.operators.joins import join_groups
 from rillstone.operators.quantiles import exact_quantiles
 from rillstone.session import stage
 
@@ -175,7 +176,7 @@ def box_summary(df: DataFrame, column: str, by: str) -> DataFrame:
     value, iqr = F.col("_v"), F.col("q3") - F.col("q1")
     inside = value.between(F.col("q1") - iqr * 1.5, F.col("q3") + iqr * 1.5)
     rows = df.select(by, F.col(column).cast("double").alias("_v")).filter("_v is not null")
-    return rows.join(quartiles, by).groupBy(by, "q1", "median", "q3").agg(
+    return join_groups(rows, quartiles, [by]).groupBy(by, "q1", "median", "q3").agg(
         F.min(F.when(inside, value)).alias("whisker_low"),
         F.max(F.when(inside, value)).alias("whisker_high"),
         F.count(F.when(~inside, 1)).alias("outliers"),
@@ -197,13 +198,13 @@ def share_of_stack(df: DataFrame, stack: list[str], value: str, name: str = "sha
     sorted through one task.
     """
     totals = df.groupBy(*stack).agg(F.sum(value).alias("_total"))
-    return df.join(totals, stack, "left").withColumn(name, F.try_divide(F.col(value), F.col("_total"))).drop("_total")
+    return join_groups(df, totals, stack, "left").withColumn(name, F.try_divide(F.col(value), F.col("_total"))).drop("_total")
 
 
 def leaderboard(df: DataFrame, by: str, score: str, category: str) -> DataFrame:
     """Mean score and most frequent category per group."""
     scores = df.groupBy(by).agg(F.avg(score).alias(score))
-    return scores.join(mode(df, [by], category, name=category), by, "left")
+    return join_groups(scores, mode(df, [by], category, name=category), [by], "left")
 
 
 def ranked_extremes(df: DataFrame, metric: str, k: int, tie: list[str], label: str = "side") -> DataFrame:

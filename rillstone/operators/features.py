@@ -6,18 +6,16 @@ tables, so fitting is one aggregate and transforming is a projection.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rillstone.operators.aggregates import mode
+from rillstone.operators.joins import join_groups
 from rillstone.operators.numbering import number_rows
 from rillstone.operators.quantiles import exact_quantiles
 from rillstone.session import stage
 
-LOCAL_VALUES = 10_000  # distinct values of a column that may pass through the driver
-
-
 # ---------------------------------------------------------------- imputers
 
 def impute_constant_by_group(df: DataFrame, column: str, group: str, constants: dict) -> DataFrame:
@@ -32,7 +30,7 @@ def impute_median(df: DataFrame, columns: list[str], by: list[str] | None = None
     for c in columns:
         medians = exact_quantiles(df, c, {"_median": 0.5}, by)
         if by:
-            out = out.join(stage(medians), by, "left")
+            out = join_groups(out, stage(medians), by, "left")
         else:
             out = out.withColumn("_median", medians.scalar())
         out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.col("_median"))).drop("_median")
@@ -79,17 +77,13 @@ def min_max_scale(df: DataFrame, columns: list[str], suffix: str = "_norm", fitt
 # ---------------------------------------------------------------- encoders
 
 def categories(df: DataFrame, column: str) -> DataFrame:
-    """Sorted distinct values with their zero-based code.
+    """Sorted distinct values with their zero-based code, numbered range by range.
 
-    Up to a limit the values are fetched and become a local table, which joins
-    as a broadcast; more are numbered range by range.
+    The table is stored, so the optimizer knows its size and broadcasts it only
+    where that is small.
     """
     values = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    fetched = values.orderBy(column).limit(LOCAL_VALUES + 1).collect()
-    if len(fetched) > LOCAL_VALUES:
-        return number_rows(values, [column], "_code", start=0)
-    schema = T.StructType([df.schema[column], T.StructField("_code", T.LongType())])
-    return F.broadcast(df.sparkSession.createDataFrame([(r[0], i) for i, r in enumerate(fetched)], schema))
+    return stage(number_rows(values, [column], "_code", start=0))
 
 
 def ordinal_encode(df: DataFrame, columns: list[str], suffix: str = "_code") -> DataFrame:
@@ -101,8 +95,29 @@ def ordinal_encode(df: DataFrame, columns: list[str], suffix: str = "_code") ->
     return out
 
 
+def one_hot_vector(df: DataFrame, column: str, name: str, codes: DataFrame | None = None, drop_first: bool = False) -> DataFrame:
+    """One sparse 0/1 vector in place of a column per value, for any number of values.
+
+    ``codes`` is a fitted ``categories`` table; NULL and unseen values give a vector of zeros.
+    """
+    codes = categories(df, column) if codes is None else codes
+    size = codes.count()
+    first = int(drop_first)
+    place = F.col("_code").cast("int") - first
+    rows = df.join(codes, column, "left").withColumn(
+        "_code", F.when(place >= 0, place.cast("double")).otherwise(F.lit(float(size - first))))
+    return _one_hot_model(size - first, name).transform(rows).drop("_code").select(*df.columns, name)
+
+
+def _one_hot_model(size: int, name: str) -> OneHotEncoderModel:
+    # the category after the last one stands for no value; it is the one dropped
+    spark = SparkSession.active()
+    last = spark.range(1).select(F.lit(float(size)).alias("_code"))
+    return OneHotEncoder(inputCol="_code", outputCol=name, dropLast=True).fit(last)
+
+
 def fitted_values(df: DataFrame, column: str, limit: int = 1000) -> list:
-    """Distinct values for one-hot columns, sorted; refuses a column with too many."""
+    """Distinct values for one-hot columns, sorted; refuses a column with too many (see ``one_hot_vector``)."""
     rows = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"{column} has more than {limit} values; one column per value is not feasible")

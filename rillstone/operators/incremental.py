@@ -13,17 +13,15 @@ from rillstone.operators.joins import new_rows
 __all__ = ["new_rows", "above_watermark", "in_window", "latest_per_key", "upsert_latest", "scd2_merge",
            "require_same_schema", "require_whole_days"]
 
-EPOCH = dt.datetime(1970, 1, 1)
-
 
 def above_watermark(incoming: DataFrame, target: DataFrame, column: str) -> DataFrame:
-    """Rows newer than everything in the target; an empty target takes all rows.
+    """Rows newer than everything in the target; a target without any value takes all rows.
 
     The watermark is a scalar subquery: one aggregate over the target, then a
     plain filter that can reach the scan.
     """
-    mark = target.agg(F.coalesce(F.max(column), F.lit(EPOCH).cast(target.schema[column].dataType))).scalar()
-    return incoming.filter(F.col(column) > mark)
+    mark = target.agg(F.max(column)).scalar()
+    return incoming.filter(mark.isNull() | (F.col(column) > mark))
 
 
 def in_window(df: DataFrame, column: str, start, end) -> DataFrame:

@@ -10,12 +10,27 @@ for joins whose plan gives the optimizer no room to do that.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.session import stage
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join rows with what was aggregated for their group; NULL is a group like any other."""
+    theirs = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(theirs, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
+def lookup_table(df: DataFrame, column: str, table: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """Value of ``column`` in a two-column table of any size; unknown keys give NULL."""
+    known = table.select(F.col(key).alias("_key"), F.col(value).alias(name)).filter("_key is not null")
+    return df.join(known, F.col(column) == F.col("_key"), "left").drop("_key")
+
+
 def new_rows(incoming: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Incoming rows whose key the target does not hold yet.
 
@@ -63,15 +78,21 @@ def salted_join(
     """Inner or left join that spreads the hot keys of ``left`` over ``salts`` tasks.
 
     Only hot keys are salted; only their right-hand rows are copied. The salt
-    comes from the row itself, so a retried task assigns the same one.
+    comes from ``row_key``, which tells rows apart, or from the row's place in a
+    stored copy, so a retried task assigns the same one and equal rows part.
+    Rows without a key match nothing and are spread as well.
     """
     if how not in ("inner", "left", "left_anti", "left_semi"):
         raise ValueError(f"cannot salt a {how} join")
     hot = hot_keys(left, key, share)
     if not hot:
         return left.join(right, key, how)
-    spread = F.pmod(F.xxhash64(row_key if row_key is not None else F.struct("*")), F.lit(salts))
-    left = left.withColumn("_salt", F.when(F.col(key).isin(hot), spread.cast("int")).otherwise(F.lit(0)))
+    if row_key is None:
+        left = stage(left).withColumn("_place", F.monotonically_increasing_id())
+        row_key = F.col("_place")
+    spread = F.pmod(F.xxhash64(row_key), F.lit(salts)).cast("int")
+    split = F.col(key).isin(hot) | F.col(key).isNull()
+    left = left.withColumn("_salt", F.when(split, spread).otherwise(F.lit(0))).drop("_place")
     copies = F.when(F.col(key).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = right.withColumn("_salt", F.explode(copies))
     return left.join(right, [key, "_salt"], how).drop("_salt")

@@ -80,8 +80,12 @@ def _one(name: str, column: str, df: DataFrame, failures: Column, severity: str
 
 
 def unique(df: DataFrame, keys: list[str], severity: str = "error") -> DataFrame:
-    """Number of keys that occur more than once; keys holding a NULL are not compared."""
-    counts = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    """Number of keys that occur more than once.
+
+    For one column NULLs are not compared; in a combination NULL is a value like any other.
+    """
+    rows = df.dropna(subset=keys) if len(keys) == 1 else df
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return _one("unique", ",".join(keys), counts, F.count_if(F.col("n") > 1), severity)
 
 

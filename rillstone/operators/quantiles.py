@@ -5,33 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillstone.operators.joins import join_groups
 from rillstone.session import stage
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None,
-    in_memory: int = 100_000,
+    df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None, accuracy: int = 10_000,
 ) -> DataFrame:
     """Interpolated quantiles of ``value`` per group, one column per entry of ``probs``.
 
     The built-in ``percentile`` keeps every distinct value of a group in the
-    memory of one task. It is used only when the largest group is counted and
-    found small. Above that each quantile is bracketed with a sketch, rows
+    memory of one task. Here each quantile is bracketed with a sketch, rows
     outside the bracket are merely counted, and the exact order statistics are
-    read from the few values left inside it.
+    read from the values left inside it, a share of ``8 / accuracy`` of the
+    group. NULL is a group like any other.
     """
     by = by or []
     rows = df.select(*by, F.col(value).cast("double").alias("_v")).filter("_v is not null")
-    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0] or 0
-    if largest <= in_memory:
-        return rows.groupBy(*by).agg(*[F.percentile("_v", p).alias(name) for name, p in probs.items()])
-    return _bracketed(rows, probs, by, largest, in_memory)
-
-
-def _bracketed(rows: DataFrame, probs: dict[str, float], by: list[str], largest: int, in_memory: int) -> DataFrame:
     # The bracket reaches `margin` to both sides of the sketch's own error (1 / accuracy).
-    accuracy = int(min(1_000_000, max(10_000, 16 * largest // in_memory)))
     margin = 4.0 / accuracy
     points = [min(1.0, max(0.0, p + d)) for p in probs.values() for d in (-margin, margin)]
 
@@ -63,7 +54,7 @@ def _bracketed(rows: DataFrame, probs: dict[str, float], by: list[str], largest:
     # One row per bracket for everything below it, one per distinct value inside it.
     inside = F.when(F.col("_v") >= F.col("lo"), F.col("_v"))
     cells = (
-        rows.join(brackets, keys)
+        join_groups(rows, brackets, keys)
         .filter(F.col("_v") <= F.col("hi"))
         .groupBy(*keys, "name", "pos", inside.alias("_cell"))
         .agg(F.count(F.lit(1)).alias("_c"))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.operators.evaluate import regression_metrics
+from rillstone.operators.joins import join_groups
 from rillstone.session import stage
 
 
@@ -41,7 +42,7 @@ def fit_trend(df: DataFrame, keys: list[str], ts: str, y: str, weekly: bool = Fa
     """
     t = day_number(ts)
     line = df.groupBy(*keys).agg(
-        F.regr_count(F.col(y), t).alias("n"), F.max(ts).alias("last_ts"),
+        F.avg(y).alias("_level"), F.regr_count(F.col(y), t).alias("n"), F.max(ts).alias("last_ts"),
         F.regr_slope(F.col(y), t).alias("slope"), F.regr_intercept(F.col(y), t).alias("intercept"),
         (F.regr_syy(F.col(y), t) - F.coalesce(F.regr_slope(F.col(y), t), F.lit(0.0)) * F.regr_sxy(F.col(y), t)).alias("sse"),
     ).withColumns({
@@ -49,8 +50,7 @@ def fit_trend(df: DataFrame, keys: list[str], ts: str, y: str, weekly: bool = Fa
         "slope": F.coalesce("slope", F.lit(0.0)),
         "sigma": F.sqrt(F.greatest(F.try_divide(F.col("sse"), F.col("n") - 2), F.lit(0.0))),
     })
-    flat = df.groupBy(*keys).agg(F.avg(y).alias("_level"))
-    line = _join(line, flat, keys).withColumn("intercept", F.coalesce("intercept", "_level")).drop("_level", "sse")
+    line = line.withColumn("intercept", F.coalesce("intercept", "_level")).drop("_level", "sse")
     line = stage(line)  # read again by every join of rows with their model
     if not weekly:
         return line
@@ -70,7 +70,7 @@ def fit_trend(df: DataFrame, keys: list[str], ts: str, y: str, weekly: bool = Fa
 
 def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     if keys:
-        return left.join(right, keys)
+        return join_groups(left, right, keys)
     # a single series: the other side is one aggregated row
     return left.withColumn("_one", right.select(F.struct("*")).scalar()).select(*left.columns, "_one.*")
 

@@ -79,8 +79,8 @@ def test_bracketed_quantiles_equal_the_builtin(spark, by):
     groups = np.where(np.arange(6000) % 3 == 0, "hot", (np.arange(6000) % 7).astype(str))
     df = spark.createDataFrame(pd.DataFrame({"g": groups, "v": values}))
     probs = {"lo": 0.0, "q1": 0.25, "med": 0.5, "p99": 0.99, "hi": 1.0}
-    large = exact_quantiles(df, "v", probs, by, in_memory=10).toPandas()
-    small = exact_quantiles(df, "v", probs, by).toPandas()
+    large = exact_quantiles(df, "v", probs, by).toPandas()
+    small = df.groupBy(*(by or [])).agg(*[F.percentile("v", p).alias(n) for n, p in probs.items()]).toPandas()
     if by:
         large, small = large.sort_values("g"), small.sort_values("g")
     np.testing.assert_allclose(large[list(probs)].to_numpy(float), small[list(probs)].to_numpy(float), rtol=1e-12)
@@ -271,12 +271,68 @@ def test_unknown_category_gets_zeros(spark):
     assert [(r["c_a"], r["c_b"]) for r in rows] == [(1, 0), (0, 0), (0, 0)]
 
 
-def test_codes_agree_above_the_one_task_size(spark, monkeypatch):
+def test_codes_follow_the_sorted_values(spark):
     df = spark.createDataFrame([(f"v{i % 37:02d}",) for i in range(200)], "c string")
-    small = dict(fe.categories(df, "c").collect())
-    monkeypatch.setattr(fe, "LOCAL_VALUES", 5)
-    assert dict(fe.categories(df, "c").select("c", "_code").collect()) == small
-    assert small["v00"] == 0 and small["v36"] == 36
+    assert dict(fe.categories(df, "c").select("c", "_code").collect()) == {f"v{i:02d}": i for i in range(37)}
+
+
+def test_one_hot_vector_of_any_cardinality(spark):
+    df = spark.createDataFrame([(f"v{i:04d}",) for i in range(1500)] + [(None,)], "c string")
+    out = {r["c"]: r["v"] for r in fe.one_hot_vector(df, "c", "v").collect()}
+    assert out["v0003"].size == 1500 and out["v0003"].indices.tolist() == [3] and out[None].numNonzeros() == 0
+    less = {r["c"]: r["v"] for r in fe.one_hot_vector(df, "c", "v", drop_first=True).collect()}
+    assert less["v0000"].numNonzeros() == 0 and less["v0003"].indices.tolist() == [2] and less["v0003"].size == 1499
+
+
+# ---------------------------------------------------------------- NULL is a group
+
+@pytest.fixture(scope="module")
+def with_null_group(spark):
+    rows = [("a", float(i), i) for i in range(6)] + [(None, float(10 * i), i) for i in range(5)] + [("a", None, 9), (None, None, 9)]
+    return spark.createDataFrame(rows, "g string, v double, d int")
+
+
+def test_null_group_keeps_its_statistics(with_null_group):
+    assert {r["g"]: r["m"] for r in exact_quantiles(with_null_group, "v", {"m": 0.5}, ["g"]).collect()} == {"a": 2.5, None: 20.0}
+    assert {r["g"]: r["median"] for r in agg.box_summary(with_null_group, "v", "g").collect()} == {"a": 2.5, None: 20.0}
+    filled = fe.impute_median(with_null_group, ["v"], ["g"]).filter("d = 9").collect()
+    assert {r["g"]: r["v"] for r in filled} == {"a": 2.5, None: 20.0}
+    shares = agg.share_of_stack(with_null_group.filter("v is not null"), ["g"], "v")
+    assert shares.filter("g is null and share is null").count() == 0
+    board = agg.leaderboard(with_null_group, "g", "v", "d")
+    assert board.filter("d is null").count() == 0
+
+
+def test_null_series_has_a_trend(with_null_group):
+    rows = with_null_group.filter("v is not null").withColumn("ts", F.expr("timestamp'2024-01-01' + make_dt_interval(d)"))
+    model = {r["g"]: r["slope"] for r in series.fit_trend(rows, ["g"], "ts", "v").collect()}
+    assert model == pytest.approx({"a": 1.0, None: 10.0})
+
+
+def test_watermark_without_a_value_keeps_old_and_null_times(spark):
+    rows = spark.createDataFrame([(dt.datetime(1950, 1, 1),), (None,), (dt.datetime(2020, 1, 1),)], "ts timestamp")
+    assert incremental.above_watermark(rows, rows.limit(0), "ts").count() == 3
+
+
+def test_repeated_combination_with_a_null_is_no_key(spark):
+    rows = spark.createDataFrame([("a", None), ("a", None), ("b", 1)], "x string, y int")
+    assert quality.unique(rows, ["x", "y"]).first()["failures"] == 1
+    assert quality.unique(rows, ["y"]).first()["failures"] == 0
+
+
+def test_numbers_are_spelled_as_numbers(spark):
+    from rillstone.functions.columns import parse_number
+
+    rows = spark.createDataFrame([(t,) for t in ["1.5", " -2 ", "3e2", ".5", "NaN", "Infinity", "12d", "", "NA"]], "t string")
+    got = [r[0] for r in rows.select(parse_number("t")).collect()]
+    assert got == [1.5, -2.0, 300.0, 0.5, None, None, None, None, None]
+
+
+def test_equal_rows_of_a_hot_key_part(spark):
+    left = spark.createDataFrame([("h", 1)] * 400 + [(None, 2)] * 50 + [("x", 3)], "k string, v int")
+    right = spark.createDataFrame([("h", "H"), ("x", "X")], "k string, name string")
+    got = joins.salted_join(left, right, "k", "left", salts=8, share=0.1)
+    assert sorted(map(str, got.collect())) == sorted(map(str, left.join(right, "k", "left").collect()))
 
 
 def test_naive_bayes_against_numpy(spark):
