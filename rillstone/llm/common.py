@@ -77,9 +77,11 @@ def wide(column: pa.ChunkedArray, rising: bool = True) -> tuple[np.ndarray, np.n
 
 def cut_by(bucket: np.ndarray, columns: list[np.ndarray]) -> Iterator[tuple[int, list[np.ndarray]]]:
     """The columns' items for each bucket, in the order in which they stand."""
+    if not len(bucket):
+        return
     order = np.argsort(bucket, kind="stable")
     ranked = bucket[order]
-    edges = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]]) if len(ranked) else np.zeros(0, int)
+    edges = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
     sorted_columns = [c[order] for c in columns]
     for a, b in zip(edges, np.r_[edges[1:], len(ranked)], strict=True):
         yield int(ranked[a]), [c[a:b] for c in sorted_columns]

@@ -67,7 +67,8 @@ def in_blocks(docs: DataFrame, doc_id: str, text: str, each: int) -> DataFrame:
     array = lambda v: F.from_json(F.lit(str(v)), "array<bigint>")
     inside = F.least(F.floor((at - cell) * F.get(array(cut), cell)), F.get(array(cut), cell) - 1)
     number = F.get(array(first), cell) + inside.cast("long")
-    return rows.select(F.coalesce(-number, F.lit(1).cast("long")).alias("block"), "id", "text")
+    number = F.when(F.col("id").isNull(), F.lit(1).cast("long")).otherwise(-number)  # least() skips NULLs
+    return rows.select(number.alias("block"), "id", "text")
 
 
 def with_next(docs: DataFrame, doc_id: str, text: str, each: int = 16 << 20) -> DataFrame:

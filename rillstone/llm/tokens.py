@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,38 +14,44 @@ from pyspark.sql import functions as F
 from rillstone.llm.common import worker_cache
 
 
-class _Uneven(Exception):
-    """White space that a single blank does not explain."""
-
-
 class Words(dict):
     """Encoded words with the blank before them, kept as packed ids.
 
     Pre-tokens hold at most one blank, in front: a blank with no white space
     behind it always begins one, whatever stands before. So a text may be cut
-    there, and equal pieces have equal ids. The memory is emptied once it holds
-    ``most`` words.
+    there, and equal pieces have equal ids. Words not met yet are encoded
+    together; in their ids, each begins at a token that begins with a blank
+    (``leads`` tells which do). The memory is emptied once it holds ``most`` words.
     """
 
-    def __init__(self, encode: Callable[[str], list[int]], most: int = 200_000):
+    def __init__(self, encode: Callable[[str], list[int]], leads: np.ndarray, most: int = 500_000):
         super().__init__()
-        self.encode, self.most = encode, most
-
-    def __missing__(self, word: str) -> bytes:
-        if not word or word[0].isspace():
-            raise _Uneven
-        if len(self) >= self.most:
-            self.clear()
-        ids = self[word] = array("i", self.encode(" " + word)).tobytes()
-        return ids
+        self.encode, self.leads, self.most = encode, leads, most
+
+    def _learn(self, words: list[str]) -> bool:
+        """Whether the words could be told apart in their common ids."""
+        if any(not w or w[0].isspace() for w in words):
+            return False
+        ids = np.array(self.encode(" " + " ".join(words)), np.int32)
+        starts = np.flatnonzero(self.leads[ids])
+        if len(starts) != len(words):
+            return False
+        packed = ids.tobytes()
+        bounds = [*(4 * starts).tolist(), len(packed)]
+        for word, a, b in zip(words, bounds[:-1], bounds[1:], strict=True):
+            self[word] = packed[a:b]
+        return True
 
     def ids(self, text: str) -> bytes:
         """Ids of a whole text as packed 32-bit integers."""
         head, *rest = text.split(" ")
-        try:
-            return array("i", self.encode(head)).tobytes() + b"".join(map(self.__getitem__, rest))
-        except _Uneven:
+        fresh = [w for w in dict.fromkeys(rest) if w not in self]
+        if fresh and len(self) + len(fresh) > self.most:
+            self.clear()
+            fresh = list(dict.fromkeys(rest))
+        if fresh and not self._learn(fresh):
             return array("i", self.encode(text)).tobytes()
+        return array("i", self.encode(head)).tobytes() + b"".join(map(self.__getitem__, rest))
 
 
 def _read_ranks(path: str) -> dict[bytes, int]:
@@ -53,14 +59,22 @@ def _read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def _leads(tokens: Iterable[tuple[int, bool]]) -> np.ndarray:
+    known = dict(tokens)
+    out = np.zeros(max(known) + 1, bool)
+    out[[i for i, lead in known.items() if lead]] = True
+    return out
+
+
 def rank_words(path: str, pattern: str) -> Words:
     """Words encoded by the ranks of a file, each match of the pattern separately, without special tokens."""
     found = worker_cache("rank_words")
     if (path, pattern) not in found:
         import tiktoken
 
-        bpe = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=_read_ranks(path), special_tokens={})
-        found[path, pattern] = Words(bpe.encode_ordinary)
+        ranks = _read_ranks(path)
+        bpe = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        found[path, pattern] = Words(bpe.encode_ordinary, _leads((i, t[:1] == b" ") for t, i in ranks.items()))
     return found[path, pattern]
 
 
@@ -198,7 +212,9 @@ def file_words(path: str) -> tuple[Words, tuple[str, ...], Callable[[str], list[
             return made.encode(text, add_special_tokens=False).ids
 
         special = tuple(t.content for t in made.get_added_tokens_decoder().values())
-        found[path] = Words(whole), special, whole
+        # byte-level vocabularies write a blank as U+0120
+        leads = _leads((i, t[:1] == "\u0120") for t, i in made.get_vocab().items())
+        found[path] = Words(whole, leads), special, whole
     return found[path]
 
 
