@@ -127,7 +127,7 @@ def _overlap_begins(text: Column, stride: int, overlap: int, pattern: str) -> Co
 
 def encode(
     docs: DataFrame, ranks: str, pattern: str, text: str = "text", name: str = "ids",
-    stride: int = 16384, overlap: int = 512,
+    stride: int = 32768, overlap: int = 512,
 ) -> DataFrame:
     """Add the ids of each whole text: each match of ``pattern`` is merged by ``ranks`` on its own.
 
