@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.operators.incremental import in_window, new_rows, require_same_schema, require_whole_days
+from rillstone.session import stage
 
 
 def _fs(spark: SparkSession, path: str):
@@ -44,7 +45,7 @@ def replace_window(df: DataFrame, path: str, ts: str, start: dt.datetime, end: d
     """Replace the days from ``start`` up to ``end`` by the rows of that window; running it twice changes nothing."""
     require_whole_days(start, end)
     spark = df.sparkSession
-    rows = in_window(df, ts, start, end).withColumn("day", F.to_date(ts))
+    rows = stage(in_window(df, ts, start, end).withColumn("day", F.to_date(ts)))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
     # days that no longer have rows keep no old ones
     kept = {r["day"] for r in rows.select("day").distinct().collect()}
@@ -59,15 +60,15 @@ def replace_window(df: DataFrame, path: str, ts: str, start: dt.datetime, end: d
 def append_new_by_day(df: DataFrame, path: str, keys: list[str], ts: str) -> None:
     """Append rows with new keys to the daily partition they belong to, however late they are.
 
-    Only the days that occur in the batch are compared.
+    Only the days that occur in the batch are compared: one late row adds its own day, not all days since.
     """
     spark = df.sparkSession
     rows = df.withColumn("day", F.to_date(ts)).dropDuplicates(keys)
     if exists(spark, path):
-        stored = spark.read.parquet(path)
-        span = rows.agg(F.min("day"), F.max("day")).first()
-        if span[0] is not None:
-            stored = stored.filter(F.col("day").between(F.lit(span[0]), F.lit(span[1])))
+        rows = stage(rows)
+        days = [r["day"] for r in rows.select("day").distinct().collect()]
+        same_day = F.col("day").isin([d for d in days if d is not None])
+        stored = spark.read.parquet(path).filter(same_day | F.col("day").isNull() if None in days else same_day)
         rows = new_rows(rows, stored, keys)
     rows.write.mode("append").partitionBy("day").parquet(path)
 
@@ -75,8 +76,8 @@ def append_new_by_day(df: DataFrame, path: str, keys: list[str], ts: str) -> Non
 class VersionedTable:
     """A table whose content is replaced as a whole, also from a query that reads it.
 
-    Each write goes to a folder of its own; a pointer file is switched after the
-    write is complete, so readers see the old or the new content.
+    Each write goes to a folder of its own; a new pointer file is renamed over the
+    old one after the write is complete, so readers see the old or the new content.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -104,8 +105,15 @@ class VersionedTable:
         version = f"v-{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(f"{self.path}/{version}")
         fs, path_of = _fs(self.spark, self.path)
-        stream = fs.create(path_of(self._pointer), True)
+        written = path_of(f"{self.path}/_next-{version}")
+        stream = fs.create(written, True)
         try:
             stream.write(bytearray(version, "utf-8"))
         finally:
             stream.close()
+        gateway, hadoop = self.spark.sparkContext._gateway, self.spark._jvm.org.apache.hadoop.fs
+        rename = getattr(hadoop, "Options$Rename")
+        options = gateway.new_array(rename, 1)
+        options[0] = rename.valueOf("OVERWRITE")
+        files = hadoop.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration())
+        files.rename(written, path_of(self._pointer), options)

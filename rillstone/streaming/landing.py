@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rillstone.plans.air_quality import flatten_documents
 from rillstone.sources.files import DOCUMENT_SCHEMA
+from rillstone.session import stage
 from rillstone.sources.tables import append_new_by_day
 
 
@@ -34,11 +35,14 @@ def distinct_readings(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
 def ingest(spark: SparkSession, landing: str, table: str, checkpoint: str, files_per_trigger: int = 1000) -> StreamingQuery:
     """Append new readings to the daily partitions of ``table``; late ones go to their own day.
 
-    A batch that is run again after a failure finds its readings stored and adds none.
+    A batch that is run again after a failure finds its readings stored and adds none. Readings
+    whose time cannot be read go to ``<table>_rejected``, in a folder per batch.
     """
 
-    def store(batch: DataFrame, _: int) -> None:
+    def store(batch: DataFrame, number: int) -> None:
+        batch = stage(batch)  # the files are read once
         append_new_by_day(batch.filter(F.col("record_ts").isNotNull()), table, ["record_id"], "record_ts")
+        batch.filter(F.col("record_ts").isNull()).write.mode("overwrite").parquet(f"{table}_rejected/batch={number}")
 
     return (
         document_stream(spark, landing, files_per_trigger).writeStream.foreachBatch(store)
