@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.classification import LinearSVC
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from catalog.base import query, table
@@ -130,95 +128,157 @@ def score_numeric(spark, sf):
                         F.round(score("l_quantity", "l_discount"), 2).alias("predicted"))
 
 
-# ---------------------------------------------------------------- classifiers and regressors, rows only
+# ---------------------------------------------------------------- classifiers and regressors
+#
+# The labels are rules over columns that any correct fit must find again, so SQL can state the predictions.
 
-def labelled_vectors(spark, sf):
-    """Embeddings as vectors, with a binary label, split by key."""
-    rows = table(spark, sf, "embeddings").select(
-        "vec_id", "label", (F.col("label") < 5).cast("int").alias("low"), array_to_vector("embedding").alias("features"))
-    parts = split(rows, TWO, ["vec_id"], seed=101)
-    return parts["train"], parts["test"]
+LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+CODES = ["l_linenumber", "l_discount", "l_tax"]
+STEPS = "case when l_linenumber >= 5 then 2 when l_discount >= 0.055 then 1 else 0 end"
+CORNER = "case when l_linenumber >= 5 and l_discount >= 0.055 then 1 else 0 end"
 
 
-def _predictions(spark, sf, name, label, **params):
-    train, test = labelled_vectors(spark, sf)
-    model = md.fit_vectors(train, name, label, **params)
-    return model.transform(test).select("vec_id", F.col(label).alias("label"), F.col("prediction").cast("int").alias("prediction"))
+def _held_out_lines(rule):
+    return f"""select {', '.join(LINE_KEYS)}, {rule} as label, {rule} as prediction from lineitem
+    where {uniform_sql(101, 'l_orderkey')} >= 0.7"""
 
 
-@query("logreg_predict")
-def logreg_predict(spark, sf):
-    return _predictions(spark, sf, "logistic_regression", "label", regParam=0.01)
+def _line_predictions(spark, sf, name, rule, **params):
+    """Predictions for held-out lines of a model that has to learn ``rule``."""
+    lines = table(spark, sf, "lineitem").select(*LINE_KEYS, "l_discount", "l_tax", F.expr(rule).alias("label"))
+    parts = split(lines, TWO, ["l_orderkey"], seed=101)
+    model = md.fit(parts["train"], name, CODES, "label", **params)
+    return md.predict(model, parts["test"]).select(*LINE_KEYS, "label", F.col("prediction").cast("int").alias("prediction"))
 
 
-@query("dtree_predict")
+@query("dtree_predict", _held_out_lines(STEPS))
 def dtree_predict(spark, sf):
-    return _predictions(spark, sf, "decision_tree", "label")
+    return _line_predictions(spark, sf, "decision_tree", STEPS)
 
 
-@query("rf_predict")
+@query("rf_predict", _held_out_lines(STEPS))
 def rf_predict(spark, sf):
-    return _predictions(spark, sf, "random_forest", "label", numTrees=100)
+    return _line_predictions(spark, sf, "random_forest", STEPS, numTrees=100)
 
 
-@query("gbt_predict")
+@query("gbt_predict", _held_out_lines(CORNER))
 def gbt_predict(spark, sf):
-    return _predictions(spark, sf, "gradient_boosting", "low", maxIter=100)
+    return _line_predictions(spark, sf, "gradient_boosting", CORNER, maxIter=100)
+
+
+GROUPS = 5
+AXES = [f"x{i}" for i in range(GROUPS)]
+
+
+def corner_points(spark, sf):
+    """Customers near one of five corners, by nation; the balance moves them a little along every axis."""
+    label = F.col("c_nationkey") % GROUPS
+    return table(spark, sf, "customer").select("c_custkey", label.alias("label"), *[
+        (F.when(label == i, 10.0).otherwise(0.0) + F.col("c_acctbal") / 10000.0 * (i + 1) / GROUPS).alias(AXES[i])
+        for i in range(GROUPS)])
+
+
+_HELD_OUT_CUSTOMERS = f"""select c_custkey, c_nationkey % {GROUPS} as label, c_nationkey % {GROUPS} as prediction from customer
+    where {uniform_sql(101, 'c_custkey')} >= 0.7"""
+
+
+def _corner_predictions(spark, sf, name, **params):
+    parts = split(corner_points(spark, sf), TWO, ["c_custkey"], seed=101)
+    model = md.fit(parts["train"], name, AXES, "label", **params)
+    return md.predict(model, parts["test"]).select("c_custkey", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
+@query("logreg_predict", _HELD_OUT_CUSTOMERS)
+def logreg_predict(spark, sf):
+    return _corner_predictions(spark, sf, "logistic_regression", regParam=0.01)
+
 
+@query("svm_classes", _HELD_OUT_CUSTOMERS)
+def svm_classes(spark, sf):
+    """A linear machine per class against the rest."""
+    return _corner_predictions(spark, sf, "linear_svm_classes", maxIter=100, regParam=0.01, tol=0.0001)
 
-@query("kmeans_assign")
+
+def corner_clusters(spark, sf):
+    rows = corner_points(spark, sf)
+    return md.predict(md.fit(rows, "k_means", AXES, k=GROUPS), rows).select("c_custkey", "label", "prediction")
+
+
+@query("kmeans_assign", f"""select c_custkey, c_nationkey % {GROUPS} as label,
+    min(c_custkey) over (partition by c_nationkey % {GROUPS}) as cluster from customer""")
 def kmeans_assign(spark, sf):
-    rows = table(spark, sf, "embeddings").select("vec_id", "label", array_to_vector("embedding").alias("features"))
-    return md.fit_vectors(rows, "k_means", k=10).transform(rows).select("vec_id", "label", "prediction")
+    """Clusters are named by their smallest key, as their numbers mean nothing."""
+    rows = corner_clusters(spark, sf)
+    names = rows.groupBy("prediction").agg(F.min("c_custkey").alias("cluster"))
+    return rows.join(names, "prediction").select("c_custkey", "label", "cluster")
 
 
-@query("cluster_agreement")
+@query("cluster_agreement", f"""select a.c::integer as label, b.c::integer as prediction, count(c_custkey) as count
+    from range({GROUPS}) a(c) cross join range({GROUPS}) b(c)
+    left join customer on c_nationkey % {GROUPS} = a.c and a.c = b.c group by all""")
 def cluster_agreement(spark, sf):
-    return ev.cluster_agreement(kmeans_assign(spark, sf), "prediction", "label")
+    return ev.cluster_agreement(corner_clusters(spark, sf), "prediction", "label")
 
 
-@query("svm_rff")
+@query("svm_rff", f"""select p_partkey, (p_size <= 25)::integer as inner_ring, (p_size <= 25)::integer as prediction from part
+    where {uniform_sql(101, 'p_partkey')} >= 0.7""")
 def svm_rff(spark, sf):
-    """RBF-kernel classifier: random Fourier features under a linear machine."""
-    rows = table(spark, sf, "embeddings").withColumn("low", (F.col("label") < 5).cast("int"))
-    mapped = md.random_fourier_features(rows, "embedding", 64, size=128, gamma=1.0)
-    parts = split(mapped, TWO, ["vec_id"], seed=101)
-    model = LinearSVC(labelCol="low", regParam=0.001, maxIter=50).fit(parts["train"])
-    return model.transform(parts["test"]).select("vec_id", "low", F.col("prediction").cast("int").alias("prediction"))
-
-
-@query("rf_regress")
+    """RBF-kernel classifier: random Fourier features under a linear machine, on two rings no line can part."""
+    radius = F.when(F.col("p_size") <= 25, 1.0).otherwise(3.0)
+    rows = table(spark, sf, "part").select(
+        "p_partkey", (F.col("p_size") <= 25).cast("int").alias("inner_ring"),
+        F.array(radius * F.cos("p_partkey"), radius * F.sin("p_partkey")).alias("point"))
+    mapped = md.random_fourier_features(rows, "point", 2, gamma=0.5)
+    parts = split(mapped, TWO, ["p_partkey"], seed=101)
+    model = md.fit_vectors(parts["train"], "linear_svm", "inner_ring", regParam=0.001, maxIter=100)
+    return model.transform(parts["test"]).select("p_partkey", "inner_ring", F.col("prediction").cast("int").alias("prediction"))
+
+
+@query("rf_regress", f"""select p_partkey, (p_size - 1) // 10 as band, (p_size - 1) // 10 as prediction from part
+    where {uniform_sql(0, 'p_partkey')} >= 0.9""")
 def rf_regress(spark, sf):
-    rows = table(spark, sf, "part").select("p_partkey", "p_type", "p_brand", "p_size", "p_retailprice")
-    from pyspark.ml import Pipeline
-
+    """A price that depends on the size band alone, next to the one-hot type and brand; every tree sees all features."""
+    band = F.expr("cast((p_size - 1) div 10 as int)")
+    rows = table(spark, sf, "part").select("p_partkey", "p_type", "p_brand", band.alias("band"), (band * 1000.0).alias("price"))
     parts = split(rows, {"train": 0.9, "test": 0.1}, ["p_partkey"], seed=0)
-    stages = md.preprocessing(parts["train"], ["p_size"], ["p_type", "p_brand"])
-    model = Pipeline(stages=[*stages, md.ESTIMATORS["forest_regression"](labelCol="p_retailprice", numTrees=100)]).fit(parts["train"])
-    return model.transform(parts["test"]).select("p_partkey", "p_retailprice", "prediction")
+    model = md.fit_mixed(parts["train"], "forest_regression", ["band"], ["p_type", "p_brand"], "price",
+                         numTrees=100, featureSubsetStrategy="all")
+    return model.transform(parts["test"]).select("p_partkey", "band", F.round(F.col("prediction") / 1000).cast("int").alias("prediction"))
+
 
+_MAIN = " union all ".join(
+    f"select '{c}' as feature, abs(corr({c}, (l_discount >= 0.055)::integer)) > 0.5 as main from lineitem" for c in LINE_FEATURES)
 
-@query("feature_importance")
+
+@query("feature_importance", _MAIN)
 def feature_importance(spark, sf):
-    rows = table(spark, sf, "lineitem").withColumn("large", (F.col("l_extendedprice") > 40000).cast("int"))
-    model = md.fit(rows, "random_forest", LINE_FEATURES, "large", numTrees=100)
-    return md.feature_importance(spark, model, LINE_FEATURES)
+    """Which feature carries over half of the importance, for a label that depends on one of them."""
+    rows = table(spark, sf, "lineitem").select(*LINE_FEATURES, (F.col("l_discount") >= 0.055).cast("int").alias("reduced"))
+    model = md.fit(rows, "random_forest", LINE_FEATURES, "reduced", numTrees=100)
+    return md.feature_importance(spark, model, LINE_FEATURES).select("feature", (F.col("importance") > 0.5).alias("main"))
+
+
+ERA = "case when year(o_orderdate) <= 1996 then 'early' when year(o_orderdate) <= 1999 then 'middle' else 'late' end"
 
 
-@query("classify_proba")
+@query("classify_proba", f"""select o_orderkey, {ERA} as predicted_class, true as sure, 1.0::double as total from orders
+    where {uniform_sql(1, 'o_orderkey')} >= 0.95""")
 def classify_proba(spark, sf):
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"), "o_orderstatus")
+    """Class and probabilities for orders left out of the fit."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_totalprice", (F.year("o_orderdate") - 1998).alias("year"), F.expr(ERA).alias("era"))
     parts = split(orders, {"train": 0.95, "infer": 0.05}, ["o_orderkey"], seed=1)
-    scored = md.class_probabilities(parts["train"], parts["infer"], ["o_totalprice", "year"], "o_orderstatus")
-    p = F.col("probability")
-    return scored.select("o_orderkey", "predicted_class", *[F.round(F.try_element_at(p, F.lit(c)), 4).alias(f"p_{c}") for c in ("F", "O", "P")])
+    scored = md.class_probabilities(parts["train"], parts["infer"], ["o_totalprice", "year"], "era")
+    p = F.map_values("probability")
+    total = F.round(F.aggregate(p, F.lit(0.0), lambda a, b: a + b), 6)
+    return scored.select("o_orderkey", "predicted_class", (F.array_max(p) > 0.5).alias("sure"), total.alias("total"))
 
 
 # ---------------------------------------------------------------- text models
 
 def labelled_documents(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text").join(table(spark, sf, "labels"), "doc_id")
-    return with_split(spread(docs), TWO, ["doc_id"], seed=5)
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text")).join(table(spark, sf, "labels"), "doc_id")
+    return with_split(docs, TWO, ["doc_id"], seed=5)
 
 
 _NB = rf"""d as (select d.doc_id, quality, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}') as t, {uniform_sql(5, 'd.doc_id')} < 0.7 as is_train
@@ -241,19 +301,26 @@ def nb_text(spark, sf):
     return model.predict(test, tv.bag_of_words(test, "doc_id", tx.tokens("text")), "doc_id")
 
 
+MENTIONS = r"""coalesce(list_contains(regexp_extract_all(lower(text), '[\p{L}\p{N}_'']+[\p{L}\p{N}_]'), 'that'), false)::integer"""
+
+
 def _text_svm(spark, sf):
-    docs = labelled_documents(spark, sf)
-    model = md.TextClassifier.fit(
-        docs.filter("grp = 'train'"), "text", "quality", size=1 << 16, regParam=0.01, maxIter=100)
-    return model.transform(docs.filter("grp = 'test'"))
+    """All texts, scored by a linear machine that has to learn which ones hold a certain word."""
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    holds = F.coalesce(F.array_contains(tx.tokens("text", tx.WORDS_WITH_APOSTROPHE), "that"), F.lit(False))
+    rows = docs.withColumn("mentions", holds.cast("int"))
+    model = md.TextClassifier.fit(rows, "text", "mentions", max_share=1.0, size=1 << 16, regParam=0.01, maxIter=100, tol=0.001)
+    return model.transform(rows).select("doc_id", "mentions", F.col("prediction").cast("int").alias("prediction"))
 
 
-@query("svm_linear")
+@query("svm_linear", f"select doc_id, {MENTIONS} as mentions, {MENTIONS} as prediction from documents")
 def svm_linear(spark, sf):
-    return _text_svm(spark, sf).select("doc_id", "quality", F.col("prediction").cast("int").alias("prediction"))
+    return _text_svm(spark, sf)
 
 
-@query("score_text")
+@query("score_text", f"""select d.doc_id, quality, {MENTIONS} as prediction
+    from documents d join labels l on d.doc_id = l.doc_id where quality <> {MENTIONS}""")
 def score_text(spark, sf):
-    """Wrongly scored texts of the held-out part, with their label."""
-    return ev.mismatches(_text_svm(spark, sf), "quality", "prediction").select("doc_id", "quality", "prediction")
+    """Texts whose score disagrees with their quality label."""
+    scored = _text_svm(spark, sf).join(table(spark, sf, "labels"), "doc_id")
+    return ev.mismatches(scored, "quality", "prediction").select("doc_id", "quality", "prediction")

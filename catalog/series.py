@@ -55,6 +55,13 @@ def forecast_multi(spark, sf):
     return _rounded(ts.forecast(ts.fit_trend(daily(spark, sf), keys, "day", "total"), keys, 14))
 
 
+@query("forecast_two_keys", f"with {_daily_sql('o_orderpriority, o_orderstatus')}, {_fit_sql('o_orderpriority, o_orderstatus')} "
+       f"{_ahead_sql('o_orderpriority, o_orderstatus', 14, Z95)}")
+def forecast_two_keys(spark, sf):
+    keys = ["o_orderpriority", "o_orderstatus"]
+    return _rounded(ts.forecast(ts.fit_trend(daily(spark, sf, keys), keys, "day", "total"), keys, 14))
+
+
 @query("forecast_interval", f"with {_daily_sql('o_orderpriority')}, {_fit_sql('o_orderpriority')} {_ahead_sql('o_orderpriority', 30, Z90)}")
 def forecast_interval(spark, sf):
     keys = ["o_orderpriority"]

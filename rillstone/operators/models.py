@@ -34,6 +34,10 @@ ESTIMATORS: dict[str, Callable[..., Estimator]] = {
     "random_forest": lambda **kw: C.RandomForestClassifier(**{"numTrees": 100, "seed": 42, **kw}),
     "gradient_boosting": lambda **kw: C.GBTClassifier(**{"seed": 42, **kw}),
     "linear_svm": C.LinearSVC,
+    # for more than two classes: one model per class against the rest
+    "gradient_boosting_classes": lambda labelCol="label", **kw: C.OneVsRest(
+        labelCol=labelCol, classifier=C.GBTClassifier(**{"seed": 42, **kw})),
+    "linear_svm_classes": lambda labelCol="label", **kw: C.OneVsRest(labelCol=labelCol, classifier=C.LinearSVC(**kw)),
     "k_means": lambda **kw: clustering.KMeans(**{"k": 2, "seed": 42, **kw}),
 }
 
@@ -204,6 +208,8 @@ def preprocessing(df: DataFrame, numeric: list[str], text: list[str]) -> list:
         ]
     for c in text:
         frequent = mode(df, [], c).first()[0]
+        if frequent is None:
+            raise ValueError(f"column {c} holds no value")
         literal = str(frequent).replace("\\", "\\\\").replace("'", "\\'")
         stages += [
             SQLTransformer(statement=f"SELECT *, COALESCE(`{c}`, '{literal}') AS `{c}__t` FROM __THIS__"),
@@ -216,6 +222,11 @@ def preprocessing(df: DataFrame, numeric: list[str], text: list[str]) -> list:
     return [*stages, VectorAssembler(inputCols=parts, outputCol="features")]
 
 
+def fit_mixed(train: DataFrame, name: str, numeric: list[str], text: list[str], label: str, **params) -> PipelineModel:
+    """Fit a named estimator on prepared numeric and text columns."""
+    return Pipeline(stages=[*preprocessing(train, numeric, text), ESTIMATORS[name](labelCol=label, **params)]).fit(train)
+
+
 def train_job(
     spark: SparkSession, source: str, target: str, folder: str, name: str = "forest_regression", keys: list[str] | None = None,
     weights: tuple[float, float] = (0.8, 0.2), seed: int = 82, **params,
@@ -229,7 +240,7 @@ def train_job(
     for p, rows in parts.items():
         rows.write.mode("overwrite").parquet(tables[p])
     train, test = (spark.read.parquet(tables[p]) for p in ("train", "test"))
-    model = Pipeline(stages=[*preprocessing(train, numeric, text), ESTIMATORS[name](labelCol=target, **params)]).fit(train)
+    model = fit_mixed(train, name, numeric, text, target, **params)
     path = f"{folder}/models/{stamp}"
     model.write().overwrite().save(path)
     scores = regression_metrics(model.transform(test), target, "prediction").first()
