@@ -7,14 +7,17 @@ and ammonia have no event type, so those measures stay empty.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog.base import query, table
 from rillstone.functions import air_index
-from rillstone.functions.columns import hour_of, lookup
+from rillstone.functions.columns import hash_key, hour_of, lookup
 from rillstone.operators import fill
-from rillstone.session import stage
 from rillstone.plans import air_quality as aq
+from rillstone.plans import loads
+from rillstone.session import shared_folder, stage
 
 KIND_OF_EVENT = {"error": "PM2.5", "click": "PM10", "view": "NO2", "signup": "SO2", "purchase": "OZONE"}
 
@@ -237,6 +240,18 @@ def star_daily(spark, sf):
     return aq.daily_by_city(*star_tables(spark, sf)).drop("record_pk")
 
 
+@query("star_two_loads", f"with {FACT}{DATED} {mart_sql(DAILY_KEYS)}")
+def star_two_loads(spark, sf):
+    """The daily mart after two loads, the second with readings of a day the first had stored."""
+    rows = readings(spark, sf)
+    rows = rows.withColumn("record_id", hash_key("station", "pollutant_id", "record_ts", "pollutant_avg"))
+    late = F.expr("day(record_ts) >= 24 or day(record_ts) = 17 and hour(record_ts) % 3 = 0")
+    folder = f"{shared_folder(spark)}/warehouse/{uuid.uuid4().hex}"
+    loads.load(spark, rows.filter(~late), folder)
+    loads.load(spark, rows.filter(late), folder)
+    return loads.tables(spark, folder)["daily_by_city"].drop("record_pk")
+
+
 @query("star_monthly", f"with {FACT}{DATED} {mart_sql(MONTHLY_KEYS)}")
 def star_monthly(spark, sf):
     return aq.monthly_by_state(*star_tables(spark, sf)).drop("record_pk")

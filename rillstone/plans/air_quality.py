@@ -1,8 +1,8 @@
-"""Air-quality build: documents -> readings -> clean rows -> star schema -> marts -> chart tables."""
+"""Air-quality tables: documents -> readings -> clean rows -> star schema -> marts -> chart tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.functions import air_index
@@ -11,9 +11,7 @@ from rillstone.functions.columns import (
 )
 from rillstone.operators import aggregates as agg
 from rillstone.operators.fill import hierarchical_fill
-from rillstone.operators.joins import new_rows, star
-from rillstone.sources.files import read_documents
-from rillstone.sources.tables import VersionedTable, exists, write_table
+from rillstone.operators.joins import star
 
 # Kind of reading -> measure column, and measure column -> name in the index table.
 KIND_COLUMNS = {
@@ -25,9 +23,13 @@ INDEX_NAMES = {
     "co_avg": "CO", "o3_avg": "O3", "nh3_avg": "NH3",
 }
 MEASURES = list(KIND_COLUMNS.values())
+# The measures of each group on the charts.
 PARTICULATE = ["pm25_avg", "pm10_avg"]
 GASEOUS = ["so2_avg", "no2_avg", "o3_avg", "co_avg", "nh3_avg"]
 STATION_KEYS = ["country", "state", "city", "station", "latitude", "longitude"]
+# a gap is filled from the first of these that knows a value; the order is unique within each
+FILL_LEVELS = [["station"], ["city"], ["state"], []]
+FILL_ORDER = ["record_ts", "station", "latitude", "longitude", "city", "state", "country"]
 
 # State name in the readings -> name on the map; other names have no match.
 STATE_NAMES = {
@@ -82,11 +84,11 @@ def pivot_readings(readings: DataFrame, whole: bool = False) -> DataFrame:
 
 def clean_readings(readings: DataFrame, whole: bool = False, blocks: int | None = None) -> DataFrame:
     """Pivoted readings with gaps filled from the station, its city, its state, then anywhere."""
-    pivoted = pivot_readings(readings, whole).filter(F.col("record_ts").isNotNull())
-    filled = hierarchical_fill(
-        pivoted, MEASURES, levels=[["station"], ["city"], ["state"], []],
-        order=["record_ts", "station", "latitude", "longitude", "city", "state", "country"], blocks=blocks,
-    )
+    return fill_gaps(pivot_readings(readings, whole).filter(F.col("record_ts").isNotNull()), blocks)
+
+
+def fill_gaps(pivoted: DataFrame, blocks: int | None = None) -> DataFrame:
+    filled = hierarchical_fill(pivoted, MEASURES, levels=FILL_LEVELS, order=FILL_ORDER, blocks=blocks)
     return filled.withColumn("record_pk", hash_key("record_ts", "latitude", "longitude"))
 
 
@@ -94,11 +96,14 @@ def index_inputs() -> dict[str, str]:
     return {INDEX_NAMES[m]: m for m in MEASURES}
 
 
-def index_fact(clean: DataFrame, snap: bool = True) -> DataFrame:
-    """Measures with their index, leading pollutant and category, keyed to the dimensions."""
+def index_fact(clean: DataFrame, snap: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Measures with their index, leading pollutant and category, keyed to the dimensions.
+
+    ``keep`` names further columns to carry along.
+    """
     keyed = clean.select(
         "record_pk", hash_key("record_ts").alias("date_fk"),
-        hash_key("latitude", "longitude").alias("location_fk"), *MEASURES)
+        hash_key("latitude", "longitude").alias("location_fk"), *MEASURES, *keep)
     return air_index.with_index(keyed, index_inputs(), snap)
 
 
@@ -250,35 +255,3 @@ def heat_map(mart: DataFrame, measure: str, year: int) -> DataFrame:
     return rows.select(
         "state", "month", month_name(period_start("year", "month")).alias("month_name"), measure
     ).orderBy("state", "month")
-
-
-# ---------------------------------------------------------------- layered build into a warehouse folder
-
-def build(spark: SparkSession, landing: str, warehouse: str, blocks: int | None = None) -> dict[str, DataFrame]:
-    """Raw readings -> clean rows -> dimensions -> fact -> marts, each layer read from the one before.
-
-    New files add to the raw layer. The layers above are rebuilt, because a new
-    reading can change how older gaps are filled from the later side.
-    """
-    raw_path = f"{warehouse}/raw_readings"
-    stored = spark.read.parquet(raw_path) if exists(spark, raw_path) else None
-    docs = read_documents(spark, landing, stored)
-    if docs is not None:
-        readings = flatten_documents(docs).dropDuplicates(["record_id"])
-        if stored is not None:
-            readings = new_rows(readings, stored, ["record_id"])
-        write_table(readings, raw_path, "append" if stored is not None else "overwrite")
-
-    def layer(name: str, df: DataFrame) -> DataFrame:
-        table = VersionedTable(spark, f"{warehouse}/{name}")
-        table.replace(df)
-        return table.read()
-
-    clean = layer("clean_readings", clean_readings(spark.read.parquet(raw_path), blocks=blocks))
-    locations, times = layer("dim_location", location_dim(clean)), layer("dim_time", time_dim(clean))
-    fact = layer("fact_index", index_fact(clean))
-    return {
-        "clean_readings": clean, "dim_location": locations, "dim_time": times, "fact_index": fact,
-        "monthly_by_state": layer("monthly_by_state", monthly_by_state(fact, times, locations)),
-        "daily_by_city": layer("daily_by_city", daily_by_city(fact, times, locations)),
-    }

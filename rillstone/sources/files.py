@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillstone.operators.numbering import number_scan
+from rillstone.session import stage
 
 _RECORD = ["country", "state", "city", "station", "last_update", "latitude", "longitude",
            "pollutant_id", "min_value", "max_value", "avg_value"]
@@ -26,34 +27,57 @@ HOSTS_SCHEMA = (
 
 # ---------------------------------------------------------------- documents
 
-def file_checksums(spark: SparkSession, path: str) -> DataFrame:
-    """Path, its escaped form and content MD5 of every file, computed by the tasks that read them."""
+def _binary(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.col("_metadata.file_path").alias("_uri"), F.md5("content").alias("_stg_file_md5"))
+    return files.withColumn("_uri", F.col("_metadata.file_path"))
 
 
-def new_files(spark: SparkSession, path: str, loaded: DataFrame | None) -> DataFrame:
-    """Files whose content was not loaded before; of equal files only the first path."""
-    files = file_checksums(spark, path)
-    if loaded is not None:
-        files = files.join(loaded.select("_stg_file_md5").distinct(), "_stg_file_md5", "left_anti")
-    return files.groupBy("_stg_file_md5").agg(F.min(F.struct("path", "_uri")).alias("f")).select("f.*", "_stg_file_md5")
+def new_files(spark: SparkSession, path: str, manifest: DataFrame | None = None) -> DataFrame | None:
+    """Files the manifest does not hold in their present state, with content MD5; None when there are none.
 
+    A file is known by its place, time and size. Contents are read only of files
+    at least as recent as the oldest new one: the scan skips the others unopened.
+    The result has the columns of a manifest and is appended to it after the load.
+    """
+    state = ["_uri", "modificationTime", "length"]
+    listed = _binary(spark, path).select(*state)
+    if manifest is not None:
+        listed = listed.join(manifest.select(*state), state, "left_anti")
+    listed = stage(listed)
+    oldest = listed.agg(F.min("modificationTime")).first()[0]
+    if oldest is None:
+        return None
+    recent = _binary(spark, path).filter(F.col("modificationTime") >= F.lit(oldest))
+    return stage(listed.join(recent.select("_uri", F.md5("content").alias("_stg_file_md5")), "_uri"))
 
-def read_documents(spark: SparkSession, path: str, loaded: DataFrame | None = None) -> DataFrame | None:
-    """Documents of the new files with their provenance; None when there is no new file.
 
-    Only the new paths reach the driver, which has to list files in any case.
+def documents_of(spark: SparkSession, path: str, fresh: DataFrame, loaded: DataFrame | None = None) -> DataFrame | None:
+    """Documents of new files with their provenance; None when all contents were loaded before.
+
+    Of equal files only the first path is read. No list of paths passes through the driver's code.
     """
-    fresh = new_files(spark, path, loaded).collect()
-    if not fresh:
+    unseen = fresh
+    if loaded is not None:
+        unseen = unseen.join(loaded.select("_stg_file_md5").distinct(), "_stg_file_md5", "left_anti")
+    unseen = stage(unseen.groupBy("_stg_file_md5").agg(
+        F.min("_uri").alias("_uri"), F.min("modificationTime").alias("_time")))
+    # the option takes whole seconds and leaves out the named one
+    since = unseen.agg(F.date_format(F.min("_time") - F.expr("interval 1 second"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
+    if since is None:
         return None
-    docs = spark.read.option("multiLine", True).schema(DOCUMENT_SCHEMA).json([r["path"] for r in fresh])
-    sums = spark.createDataFrame([(r["_uri"], r["_stg_file_md5"]) for r in fresh], "_uri string, _stg_file_md5 string")
+    docs = spark.read.schema(DOCUMENT_SCHEMA).options(
+        multiLine=True, modifiedAfter=since, recursiveFileLookup=True).json(path)
     tagged = docs.select(
         "records", F.col("_metadata.file_path").alias("_uri"), F.col("_metadata.file_name").alias("_stg_file_name"),
         F.col("_metadata.file_modification_time").alias("_stg_file_load_ts"))
-    return tagged.join(sums, "_uri", "left").drop("_uri").withColumn("_copy_data_ts", F.current_timestamp())
+    sums = unseen.select("_uri", "_stg_file_md5")
+    return tagged.join(sums, "_uri").drop("_uri").withColumn("_copy_data_ts", F.current_timestamp())
+
+
+def read_documents(spark: SparkSession, path: str, loaded: DataFrame | None = None) -> DataFrame | None:
+    """Documents whose content is not among the ``_stg_file_md5`` of ``loaded``; None when there are none."""
+    fresh = new_files(spark, path)
+    return None if fresh is None else documents_of(spark, path, fresh, loaded)
 
 
 # ---------------------------------------------------------------- delimited text

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rillstone.plans import air_quality as aq
-from rillstone.plans import listings
+from rillstone.plans import listings, loads
 from rillstone.sources import files, tables
 from rillstone.streaming import landing
 
@@ -69,7 +69,7 @@ def test_first_record_time_can_stand_for_the_file(spark, inbox):
 
 def test_layered_build_and_second_load(spark, inbox, tmp_path):
     warehouse = str(tmp_path / "warehouse")
-    out = aq.build(spark, str(inbox), warehouse)
+    out = loads.build(spark, str(inbox), warehouse)
     clean = {(r["station"], r["record_ts"].hour): r for r in out["clean_readings"].collect()}
     assert clean["S1", 11]["pm25_avg"] == 35.0      # own station, earlier hour
     assert clean["S2", 10]["pm25_avg"] == 35.0      # another station of the city
@@ -77,12 +77,115 @@ def test_layered_build_and_second_load(spark, inbox, tmp_path):
     assert out["daily_by_city"].count() == 1 and out["dim_location"].count() == 2
 
     write_document(inbox / "late", [reading("S1", "01-07-2025 09:00:00", "PM10", "120"), FIRST[0]])
-    again = aq.build(spark, str(inbox), warehouse)
+    again = loads.build(spark, str(inbox), warehouse)
     clean = {(r["station"], r["record_ts"].hour): r for r in again["clean_readings"].collect()}
     assert len(clean) == 4 and clean["S1", 10]["pm10_avg"] == 120.0
     assert spark.read.parquet(f"{warehouse}/raw_readings").count() == 5
 
 
+def _layers(spark, warehouse):
+    return {name: sorted(map(str, df.select(sorted(df.columns)).collect())) for name, df in loads.tables(spark, warehouse).items()}
+
+
+def _files(folder):
+    return {str(p): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
+def _readings(spark, rows):
+    """Rows (station, city, state, day, hour, kind, value); the place follows from the station's number."""
+    made = spark.createDataFrame(
+        [(f"S{s}" if s is not None else None, c, st, dt.datetime(2025, 6, 28) + dt.timedelta(days=d, hours=h), k, v, s or 0)
+         for s, c, st, d, h, k, v in rows],
+        "station string, city string, state string, record_ts timestamp_ntz, pollutant_id string, pollutant_avg string, n int")
+    return made.select(
+        "*", F.lit("India").alias("country"), F.col("n").cast("decimal(12,7)").alias("latitude"),
+        F.lit(1).cast("decimal(12,7)").alias("longitude")).drop("n").withColumn("record_id", aq.record_id())
+
+
+def _random_rows(seed, days):
+    import random
+
+    rng = random.Random(seed)
+    kinds = list(aq.KIND_COLUMNS)
+    # three stations per city, two cities per state; some measures are known at few stations, late, or nowhere
+    return [(s, f"C{s // 3}", f"T{s // 6}", d, h, k, str(rng.randint(1, 90)) if rng.random() < 0.5 else "NA")
+            for d in days for s in range(9) for h in (3, 15) for i, k in enumerate(kinds[:6])
+            if rng.random() < 0.4 and (i < 3 or s % (i + 1) == 1 and d > i)]
+
+
+@pytest.mark.parametrize("second", [
+    [5],                                    # on time
+    [2, 5],                                 # a late day
+    [0],                                    # older than everything stored
+])
+def test_two_loads_equal_one(spark, tmp_path, second):
+    rows = _random_rows(7, range(6))
+    late = [r for r in rows if r[3] in second and (r[3] == 5 or r[0] % 2)]
+    early = [r for r in rows if r not in late]
+    once, twice = str(tmp_path / "once"), str(tmp_path / "twice")
+    loads.load(spark, _readings(spark, rows), once)
+    loads.load(spark, _readings(spark, early), twice)
+    loads.load(spark, _readings(spark, late), twice)
+    assert _layers(spark, twice) == _layers(spark, once)
+    loads.load(spark, _readings(spark, late), twice)  # as after a failure
+    assert _layers(spark, twice) == _layers(spark, once)
+
+
+def test_first_value_of_a_measure_reaches_back(spark, tmp_path):
+    early = [(1, "C0", "T0", d, 3, "PM10", "40") for d in range(4)] + [(2, "C1", "T0", d, 3, "PM10", "50") for d in range(4)]
+    late = [(1, "C0", "T0", 4, 3, "CO", "2"), (None, None, None, 4, 3, "PM10", "9")]
+    once, twice = str(tmp_path / "once"), str(tmp_path / "twice")
+    loads.load(spark, _readings(spark, early + late), once)
+    loads.load(spark, _readings(spark, early), twice)
+    loads.load(spark, _readings(spark, late), twice)
+    assert _layers(spark, twice) == _layers(spark, once)
+    assert {r["co_avg"] for r in loads.tables(spark, twice)["clean_readings"].collect()} == {2.0}
+
+
+def test_moved_place_moves_in_all_its_marts(spark, tmp_path):
+    early = [(1, "C0", "T0", d, 3, "PM10", "40") for d in range(4)]
+    once, twice = str(tmp_path / "once"), str(tmp_path / "twice")
+    loads.load(spark, _readings(spark, early + [(1, "C9", "T0", 4, 3, "PM10", "60")]), once)
+    loads.load(spark, _readings(spark, early), twice)
+    loads.load(spark, _readings(spark, [(1, "C9", "T0", 4, 3, "PM10", "60")]), twice)
+    assert _layers(spark, twice) == _layers(spark, once)
+    assert {r["city"] for r in loads.tables(spark, twice)["daily_by_city"].collect()} == {"C9"}
+
+
+def test_untouched_days_keep_their_files(spark, tmp_path):
+    folder = tmp_path / "warehouse"
+    steady = [(s, "C0", "T0", d, 3, k, "40") for d in range(6) for s in (1, 2) for k in aq.KIND_COLUMNS]
+    loads.load(spark, _readings(spark, [r for r in steady if r[3] < 5]), str(folder))
+    before = _files(folder)
+    loads.load(spark, _readings(spark, [r for r in steady if r[3] == 5] + [(1, "C0", "T0", 4, 9, "CO", "3")]), str(folder))
+    after = _files(folder)
+    gone = {p for p in before if after.get(p) != before[p]}
+    # day 4 is July 2nd; the mart of July is made anew, that of June is not
+    assert gone and all("=2025-07-02" in p or "mart_month=2025-07-01" in p for p in gone)
+
+
+def test_loads_without_a_time_or_rows(spark, tmp_path):
+    folder = str(tmp_path / "warehouse")
+    loads.load(spark, _readings(spark, [(1, "C0", "T0", 0, 3, "CO", "3")]), folder)
+    before = _layers(spark, folder)
+    loads.load(spark, _readings(spark, []), folder)
+    loads.load(spark, _readings(spark, [(2, "C0", "T0", 0, 3, "CO", "3")]).withColumn("record_ts", F.lit(None).cast("timestamp_ntz")), folder)
+    assert _layers(spark, folder) == before
+    assert spark.read.parquet(f"{folder}/raw_readings").count() == 2
+
+
+def test_loaded_files_are_not_opened_again(spark, inbox, tmp_path):
+    import shutil
+
+    first = files.new_files(spark, str(inbox))
+    assert first.count() == 1 and files.new_files(spark, str(inbox), first) is None
+    shutil.copy(inbox / "one.json.gz", inbox / "again.json.gz")
+    second = files.new_files(spark, str(inbox), first)
+    assert second.count() == 1 and files.documents_of(spark, str(inbox), second, first) is None
+    text = files.new_files(spark, str(inbox), first)._jdf.queryExecution().toString()
+    assert "content" not in text  # what is handed on is a stored table, not a scan of the files
+
+
 def test_chart_tables(spark):
     mart = spark.createDataFrame(
         [("Delhi", 2024, 1, 100.0, 10.0, None, "Satisfactory"), ("Delhi", 2024, 2, 150.0, 30.0, 5.0, "Moderate"),
