@@ -51,16 +51,30 @@ def _closest(distances: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return rows[rank < k], cols[rank < k]
 
 
+def _walk(centres: np.ndarray) -> list[int]:
+    """The centres in an order that goes from each to the closest one left."""
+    apart = _distances(centres, centres)
+    order, here = [], 0
+    while len(order) < len(centres):
+        order.append(here)
+        apart[:, here] = np.inf
+        here = int(apart[here].argmin())
+    return order
+
+
 def nearest(
     train: DataFrame, test: DataFrame, key: str, vector: str, label: str, k: int,
-    pivots: int = 32, chunk_rows: int = 20_000, block_rows: int = 20_000,
+    pivots: int | None = None, chunk_rows: int = 20_000, block_rows: int = 20_000,
 ) -> DataFrame:
     """The k closest training rows of every test row: (key, rank, neighbour, distance, label).
 
-    Equal distances are ordered by the training key.
+    Equal distances are ordered by the training key. By default there are as many
+    pivots as chunks of training rows, from 32 to 4,096, so that a cell is about
+    one chunk. A training row is copied only to blocks that visit its cell.
     """
     spark = train.sparkSession
     key_type, label_type = train.schema[key].dataType, train.schema[label].dataType
+    pivots = pivots or min(max(math.ceil(train.count() / chunk_rows), 32), 4096)
     centres = _matrix(pd.Series([
         r[0] for r in train.orderBy(uniform("pivot", key), key).limit(pivots).select(vector).collect()]))
 
@@ -77,39 +91,56 @@ def nearest(
     cell_schema = T.StructType([*points.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("to_pivot", T.DoubleType())])
     cells = stage(points.mapInPandas(to_cells, cell_schema))
 
-    # Per cell: its size, its radius and its k smallest pivot distances; at most pivots * k numbers.
-    sizes = {r["cell"]: (r["n"], r["radius"]) for r in
-             cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("to_pivot").alias("radius")).collect()}
+    # Per cell: its chunks, its radius and its k smallest pivot distances; at most pivots * k numbers.
+    sizes = cells.groupBy("cell").agg(
+        F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int").alias("chunks"), F.max("to_pivot").alias("radius")).collect()
+    radius = np.full(len(centres), -np.inf)
+    for r in sizes:
+        radius[r["cell"]] = r["radius"]
     inner = Window.partitionBy("cell").orderBy("to_pivot", "n_key")
     close = cells.select("cell", "to_pivot", "n_key", F.row_number().over(inner).alias("r")).filter(F.col("r") <= k)
     near = np.full((len(centres), k), np.inf)
     for r in close.collect():
         near[r["cell"], r["r"] - 1] = r["to_pivot"]
-    radius = np.array([sizes.get(c, (0, -np.inf))[1] for c in range(len(centres))])
-    chunks = {c: math.ceil(n / chunk_rows) for c, (n, _) in sizes.items()}
-    blocks = max(1, math.ceil(test.count() / block_rows))
+    sizes = spark.createDataFrame([(r["cell"], r["chunks"]) for r in sizes], "cell int, chunks int")
 
-    # ---- test rows to the cells they have to visit
+    # ---- test rows with the cell they lie in and the cells they have to visit
     def to_visits(batches):
         for pdf in batches:
-            for start in range(0, len(pdf), 512):
-                part = pdf.iloc[start:start + 512]
+            rows = max(1, _PIECE // near.size)
+            for start in range(0, len(pdf), rows):
+                part = pdf.iloc[start:start + rows]
                 d = _distances(_matrix(part["vec"]), centres)
                 reach = (d[:, :, None] + near[None]).reshape(len(part), -1)
                 bound = np.partition(reach, k - 1, axis=1)[:, k - 1]
-                rows, cols = np.nonzero(d - radius[None] <= bound[:, None] * (1 + 1e-9) + 1e-12)
-                yield part.iloc[rows].assign(cell=cols.astype("int32"))
+                visited = d - radius[None] <= bound[:, None] * (1 + 1e-9) + 1e-12
+                yield part.assign(home=d.argmin(axis=1).astype("int32"),
+                                  cells=[np.flatnonzero(v).astype("int32") for v in visited])
 
     queries = test.select(F.col(key).alias("q_key"), F.col(vector).cast(vec_type).alias("vec"))
-    visit_schema = T.StructType([*queries.schema.fields, T.StructField("cell", T.IntegerType())])
-    pieces = spark.createDataFrame([(c, i) for c, m in chunks.items() for i in range(m)], "cell int, chunk int")
-    chunk_count = F.try_element_at(F.create_map(*[F.lit(x) for pair in chunks.items() for x in pair]), F.col("cell"))
-    block = F.pmod(F.xxhash64("q_key"), F.lit(blocks)).cast("int")
-    visits = queries.mapInPandas(to_visits, visit_schema).join(pieces, "cell").withColumn("block", block)
-    copies = cells.drop("to_pivot").withColumn("chunk", F.pmod(F.xxhash64("n_key"), chunk_count).cast("int")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    # ---- candidates of each (cell, chunk, block)
+    visit_schema = T.StructType([*queries.schema.fields, T.StructField("home", T.IntegerType()),
+                                 T.StructField("cells", T.ArrayType(T.IntegerType()))])
+    placed = stage(queries.mapInPandas(to_visits, visit_schema))
+
+    # a block holds the test rows of cells near each other, or a share of those of one crowded cell
+    counts = {r["home"]: r["count"] for r in placed.groupBy("home").count().collect()}
+    bundles, filled = [], 0
+    for home in _walk(centres):
+        rows = counts.get(home, 0)
+        full = filled + rows > block_rows
+        filled = rows if full else filled + rows
+        if rows:
+            bundles.append((home, bundles[-1][1] + full if bundles else 0, math.ceil(rows / block_rows)))
+    bundles = spark.createDataFrame(bundles, "home int, block int, shares int")
+    blocks = placed.join(bundles, "home").withColumn("share", F.pmod(F.xxhash64("q_key"), F.col("shares")).cast("int"))
+    blocks = blocks.select("q_key", "vec", "block", "share", F.explode("cells").alias("cell"))
+    visits = blocks.join(sizes, "cell").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
+    # aliased, because both sides of the grouping come from the same columns
+    routes = blocks.select(*[F.col(c).alias(c) for c in ("cell", "block", "share")]).distinct()
+    chunk = F.pmod(F.xxhash64("n_key"), F.col("chunks")).cast("int")
+    copies = cells.drop("to_pivot").join(sizes, "cell").withColumn("chunk", chunk).drop("chunks").join(routes, "cell")
+
+    # ---- candidates of each chunk of a cell and block
     out_schema = T.StructType([
         T.StructField("q_key", key_type), T.StructField("n_key", key_type),
         T.StructField("n_label", label_type), T.StructField("distance", T.DoubleType())])
@@ -129,7 +160,7 @@ def nearest(
                 "n_label": right["n_label"].to_numpy()[cols], "distance": d[rows, cols]}))
         return pd.concat(found, ignore_index=True)
 
-    group = ["cell", "chunk", "block"]
+    group = ["cell", "chunk", "block", "share"]
     found = visits.groupBy(*group).cogroup(copies.groupBy(*group)).applyInPandas(candidates, out_schema)
     best = Window.partitionBy("q_key").orderBy("distance", "n_key")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
