@@ -2,8 +2,10 @@
 
 Shortest-pack-first: lengths are placed from the longest to the shortest, each
 into the pack with the most room, and packs of one kind are counted, not
-listed. The plan's size depends on the sequence length only; pieces learn
-their place from their length and their rank among the pieces of that length.
+listed. Where no pack has room, pieces of one length fill the packs they open,
+so a length that many pieces have leaves no more room than any other. The
+plan's size depends on the sequence length only; pieces learn their place from
+their length and their rank among the pieces of that length.
 """
 
 from __future__ import annotations
@@ -37,17 +39,20 @@ def patterns(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int,
                 taken = min(count, left)
                 if count > taken:
                     open_[room].append([kind, count - taken])
-            else:
-                kind, taken, room = (), left, capacity
-            left -= taken
-            room -= length
+                many = 1
+            else:  # what fills no whole pack opens one more the next time round
+                many = min(capacity // length, left)
+                kind, taken, room = (), left // many, capacity
+            left -= taken * many
+            room -= length * many
+            kind = (*kind, *(length,) * many)
             if not room:
-                done.append(((*kind, length), taken))
+                done.append((kind, taken))
                 continue
             if not open_.get(room):
                 open_[room] = []
                 heapq.heappush(rooms, -room)
-            open_[room].append([(*kind, length), taken])
+            open_[room].append([kind, taken])
     return done + [(kind, count) for kinds in open_.values() for kind, count in kinds]
 
 

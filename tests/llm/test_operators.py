@@ -179,6 +179,25 @@ def test_patterns_hold_every_length():
     assert found == histogram
 
 
+@pytest.mark.parametrize("histogram", [
+    {1: 1000}, {300: 1000}, {2048: 3, 7: 293},
+    # a third of all pieces has one length
+    {n: 100_000 if n == 300 else 200_000 // 2047 for n in range(1, 2049)},
+    {n: 100_000 if n == 60 else 200_000 // 2047 for n in range(1, 2049)},
+    {n: 100_000 if n == 100 else 200_000 // 600 for n in range(100, 701)},
+])
+def test_a_hot_length_leaves_little_padding(histogram):
+    found, sequences = Counter(), 0
+    for kind, count in packing.patterns(histogram, 2048):
+        assert sum(kind) <= 2048
+        sequences += count
+        for length in kind:
+            found[length] += count
+    assert found == histogram
+    fits = max(2048 // max(histogram), 1) * max(histogram) if len(histogram) == 1 else 2048
+    assert sequences <= 1.02 * sum(n * c for n, c in histogram.items()) / fits + 1
+
+
 def test_backoff_automaton(docs, none):
     def read(t):
         return [*(t or "").encode().lower().split(), None]
