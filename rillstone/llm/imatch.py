@@ -1,6 +1,6 @@
 """I-Match fingerprints over randomised lexicons, in column expressions only.
 
-The lexicon holds terms whose document frequency lies in a band, that is whose
+The lexicon holds all terms whose document frequency lies in a band, that is whose
 inverse document frequency does. Several random parts of it are drawn by hash;
 a text's terms in a part, distinct and sorted, are hashed to one value, so two
 texts agree on a part when they share all its terms. Long texts use sparser
@@ -18,18 +18,15 @@ from rillstone.llm.common import parts_for
 from rillstone.session import stage
 
 WORD = r"[\p{L}\p{N}]+"
-BASE = 4  # document frequencies are counted for a random quarter of all terms
-SLOTS = 4096
 PARTS = 16  # random parts of each size
 SPARSE = 12  # a part holds a term in so many
 LEVELS = 2
 
 
 def terms(text: Column) -> Column:
-    """Hashes of the distinct lower-case words that the random lexicon can hold."""
+    """Hashes of the distinct lower-case words."""
     words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    return F.array_distinct(F.filter(hashes, lambda h: F.pmod(h, F.lit(BASE)) == 0))
+    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
 def in_blocks(docs: DataFrame, doc_id: str, text: str, each: int) -> DataFrame:
@@ -103,32 +100,49 @@ def edited(text: Column, other: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - cut), F.substring(other, F.lit(1), cut))
 
 
-def lexicon(docs: DataFrame, text: str, low: float, high: float, size: int = 8192) -> list[int]:
-    """A random part of the terms (hashes) that a share of documents from ``low`` to ``high`` holds.
+def lexicon(docs: DataFrame, text: str, low: float, high: float) -> DataFrame:
+    """All terms (hashes) that a share of documents from ``low`` to ``high`` holds.
 
-    Document frequencies count all documents; a term of one document alone
-    tells nothing about likeness and is left out. ``size`` terms of the band are
-    drawn, those with the smallest hashes: a fixed-size random lexicon.
+    Document frequencies count all terms of all documents; a term of one
+    document alone tells nothing about likeness and is left out. A stored table:
+    it has at most 1 / ``low`` times as many terms as a document has on average.
     """
     counted = docs.select(F.explode(terms(F.col(text))).alias("term")).groupBy("term").count()
     rows = docs.count()
     band = counted.filter(F.col("count").between(max(2.0, low * rows), max(2.0, high * rows)))
-    return [r[0] for r in band.orderBy(F.xxhash64("term"), "term").limit(size).select("term").collect()]
+    return stage(band.select("term"))
 
 
-def _table(known: list[int]) -> Column:
-    """The lexicon as a constant hash table: an array of short arrays."""
-    slots: list[list[int]] = [[] for _ in range(SLOTS)]
-    for term in known:
-        slots[(term >> 2) % SLOTS].append(term)
-    return F.from_json(F.lit(str(slots)), "array<array<bigint>>")
+def with_kept(rows: DataFrame, known: DataFrame, own: tuple[str, ...], which: tuple[str, ...]) -> DataFrame:
+    """``own``, and for each text of ``which`` its terms in the lexicon and the beginning of its hash, ``c_whole``.
 
-
-def kept(text: Column, known: list[int]) -> Column:
-    """The text's terms in the lexicon."""
-    table = _table(known)
-    return F.filter(terms(text), lambda h: F.array_contains(
-        F.get(table, F.pmod(F.shiftright(h, 2), F.lit(SLOTS)).cast("int")), h))
+    Terms are joined with the lexicon one by one and gathered by id and a hash of
+    the texts. What else a row needs travels with one element of its own; rows
+    alike in id and texts are gathered together and parted again by their number.
+    """
+    key = F.unhex(F.substring(F.sha2(F.concat_ws(".", *[f"{c}_hash" for c in which]), 256), 1, 32))
+    rest = [*own, *[f"{c}_whole" for c in which]]
+    rows = rows.select("*", *[F.sha2(c, 256).alias(f"{c}_hash") for c in which])
+    rows = rows.select("id", key.alias("key"), *[F.col(c) for c in own if c != "id"], *[
+        F.substring(f"{c}_hash", 1, 16).alias(f"{c}_whole") for c in which], *[terms(F.col(c)).alias(c) for c in which])
+    row = F.struct(*rest)
+    none = F.when(F.lit(False), row)
+
+    def element(k: int, term: Column, row: Column) -> Column:
+        return F.struct(F.lit(k).alias("of"), term.alias("term"), row.alias("row"))
+
+    def elements(k: int, c: str) -> Column:
+        return F.transform(c, lambda t: element(k, t, none))
+
+    # the row's element has a term too, so that no join sends all of them to one task
+    parts = [F.array(element(-1, F.xxhash64("key"), row)), *[elements(k, c) for k, c in enumerate(which)]]
+    each = rows.select("id", "key", F.explode(F.concat(*parts)).alias("e")).select("id", "key", "e.*")
+    found = each.join(known.withColumn("known", F.lit(True)), "term", "left").filter("known or of = -1")
+    found = found.groupBy("id", "key").agg(
+        F.count_if(F.col("of") == -1).alias("n"), F.max(F.when(F.col("of") == -1, F.col("row"))).alias("row"), *[
+            F.collect_set(F.when(F.col("of") == k, F.col("term"))).alias(c) for k, c in enumerate(which)])
+    found = found.withColumn("n", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    return found.select(*[f"row.{c}" for c in rest], *which)
 
 
 def level(found: Column, wanted: int) -> Column:
@@ -155,7 +169,7 @@ def fingerprint(sizes: list[Column], halved: Column, whole: Column) -> Column:
             F.substring(F.lpad(F.lower(F.hex(F.xxhash64(F.array_sort(m)))), 16, "0"), 1, 8)))
 
     parts = F.concat(*[labelled(found, step, p) for step, found in enumerate(sizes) for p in range(PARTS)])
-    return F.when(F.size(parts) > 0, parts).otherwise(F.array(F.concat(F.lit("text.."), F.substring(whole, 1, 16))))
+    return F.when(F.size(parts) > 0, parts).otherwise(F.array(F.concat(F.lit("text.."), whole)))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -180,10 +194,9 @@ def compare(
     rows = with_next(docs, doc_id, text).withColumn("edited", edited(F.col("text"), F.col("next")))
     which = ("text", "edited", "next")
     own = ("id", "n_chars", "edited_sha256")
+    rows = rows.withColumns({"n_chars": F.length("text").cast("long"), "edited_sha256": F.sha2("edited", 256)})
+    rows = with_kept(rows, known, own, which)
     # a step at a time: an expression used twice in one step would be computed twice
-    rows = rows.select(
-        "id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        *[x for c in which for x in (kept(F.col(c), known).alias(c), F.sha2(c, 256).alias(f"{c}_whole"))])
     rows = rows.select("*", *[level(F.col(c), wanted).alias(f"{c}_level") for c in which])
     rows = rows.select(*own, *[f"{c}_{x}" for c in which for x in ("whole", "level")], *[
         thinned(F.col(c), F.col(f"{c}_level") + F.lit(k)).alias(f"{c}_{k}") for c in which for k in range(LEVELS)])

@@ -303,6 +303,22 @@ def test_imatch(spark, docs, none):
     assert imatch.compare(none).count() == 0
 
 
+def test_imatch_keeps_the_whole_band(spark):
+    # each word stands in two texts, and there are more of them than 8,192
+    texts = [" ".join(f"w{(8 * k + j) % 12_000}" for j in range(16)) for k in range(1500)]
+    short = ["v1 v2", "v2 v3", "v3 v1"]
+    df = spark.createDataFrame(list(enumerate(texts + short)), "doc_id long, text string")
+    band = {r[0] for r in imatch.lexicon(df, "text", 0.0, 0.5).collect()}
+    assert band == {np.int64(np.uint64(xxhash.xxh64_intdigest(w, 42))) for w in
+                    [f"w{k}" for k in range(12_000)] + ["v1", "v2", "v3"]}
+    rows = imatch.compare(df, low=0.0, high=0.5).collect()
+    assert len(rows) == len(df.collect()) and all(r["n_chars"] > 0 for r in rows)
+    got = {r["id"]: r["fingerprint"] for r in rows}
+    assert not any(got[k].startswith("text..") for k in range(1500))
+    twice = spark.createDataFrame([(None, "a b"), (None, "a b"), (None, "a b"), (4, "a b")], "doc_id long, text string")
+    assert Counter(r["id"] for r in imatch.compare(twice, low=0.0, high=1.0).collect()) == {None: 3, 4: 1}
+
+
 def test_licences(spark, none):
     rows = [(1, "some plain words here\nReleased under the MIT License.\nmore"), (2, None), (3, ""), (4, "the license of birds to fly far"),
             (5, "Licensed under the Apache License, Version 2.0.\nReleased under the MIT License."), (5, "nothing at all"),
