@@ -243,6 +243,23 @@ def test_language_families(spark, none):
     assert language.predict(none, model).count() == 0
 
 
+def test_text_in_no_learned_language_is_rejected(spark):
+    import corpus_pipeline
+
+    stock = {"en": "the of and to in is that was for with", "de": "der die und das ist nicht ein für mit auch",
+             "fr": "le la les des est pas une que dans avec", "es": "el la los que por una para con del como"}
+    rng = np.random.default_rng(1)
+    rows = [(k, " ".join(rng.choice(stock[x].split(), 30)), x) for k, x in enumerate(list(stock) * 100)]
+    short = [(500 + k, x, None) for k, x in enumerate(["the", "der und das", "le la les", "para los que", "that was in the"])]
+    other = [(600 + k, x, None) for k, x in enumerate([
+        "Szybki brązowy lis przeskakuje nad leniwym psem i biegnie dalej przez las",
+        "Nopea ruskea kettu hyppää laiskan koiran yli ja juoksee metsään",
+        "Быстрая коричневая лиса прыгает через ленивую собаку", "xqzv kjwq zzxv qpfj wvkx jqzx vkwq xzjq pqvx"])]
+    docs_ = spark.createDataFrame(rows + short + other, "doc_id long, text string, lang string")
+    left = {r["doc_id"] for r in corpus_pipeline.keep_known_languages(spark, docs_, "").collect()}
+    assert left == {i for i, *_ in rows + short}
+
+
 def test_vector_graph(spark):
     rng = np.random.default_rng(2)
     base = rng.normal(size=(150, 16))
