@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.llm import backoff, imatch, language, licences, neargraph, packing, repeats, simhash, tokens, urls
+from rillstone.llm import backoff, imatch, language, licences, mixing, neargraph, packing, repeats, simhash, tokens, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,3 +100,45 @@ def op9_imatch(spark: SparkSession, folder: str) -> DataFrame:
 def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return licences.fit(docs).scan(docs).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op13_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"), weights=(1, 2, 3), most=3).withColumnRenamed("id", "doc_id")
+
+
+# The sources that reach three times their size are the first by size over weight, as far as the rate of the rest
+# lies above; documents are taken in the order of their hash up to the one on the budget's edge.
+ORACLES["op13_mixing"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, source,
+    coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+    ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ' ' || coalesce(text, '')), 1, 15))::BIGINT AS h
+  FROM documents
+), sums AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source
+), weighed AS (
+  SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM sums
+), ranked AS (
+  SELECT *, row_number() OVER (ORDER BY 3 * source_size / weight, source NULLS LAST) AS k FROM weighed
+), rates AS (
+  SELECT k, 3 * source_size / weight AS stop, (sum(source_size) OVER ()
+      - coalesce(sum(3 * source_size) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate
+  FROM ranked
+), rate AS (
+  SELECT coalesce((SELECT rate FROM rates WHERE rate <= stop ORDER BY k LIMIT 1), 0) AS rate
+), aims AS (
+  SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), weight * rate) AS target FROM weighed, rate
+), parts AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS copies FROM aims
+), ordered AS (
+  SELECT d.*, p.source_size, p.target, p.copies, p.target - p.copies * p.source_size AS budget,
+    sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.row) AS upto
+  FROM docs d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size, source_size, target,
+  CAST(size * (copies + CASE WHEN upto - size < budget AND upto - budget < budget - (upto - size)
+    THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM ordered
+"""
