@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.llm import backoff, imatch, language, licences, mixing, neargraph, packing, repeats, simhash, tokens, urls
+from rillstone.llm import (
+    backoff, imatch, language, licences, mixing, neargraph, packing, repeats, simhash, tokens, turntrie, urls,
+)
+from rillstone.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -142,3 +145,65 @@ SELECT doc_id, size, source_size, target,
     THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM ordered
 """
+
+
+def rebuilt(seqs: DataFrame) -> DataFrame:
+    """Each conversation with its first turns, up to three by a hash of its id, taken from the one its twenty begin with."""
+    mod = F.col("conv_id") % 20
+    seqs = stage(seqs.withColumn("base", F.col("conv_id") - mod).withColumn(
+        "h", (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).cast("int")))
+    heads = seqs.filter("conv_id = base").select(
+        "base", F.slice("digests", 1, 3).alias("digests0"), F.slice("words", 1, 3).alias("words0"))
+    both = seqs.join(heads, "base", "left")
+
+    def of(c: str) -> Column:
+        own = F.slice(c, F.col("h") + 1, F.greatest(F.size(c), F.lit(1)))
+        first = F.slice(F.col(f"{c}0"), F.lit(1), F.col("h"))
+        return F.when(F.col(f"{c}0").isNull(), own).otherwise(F.concat(first, own))
+
+    return both.select("conv_id", of("digests").alias("digests"), of("words").alias("words"))
+
+
+@query
+def op12_turntrie(spark: SparkSession, folder: str) -> DataFrame:
+    return turntrie.trie(rebuilt(turntrie.sequences(table(spark, folder, "conversations"))))
+
+
+ORACLES["op12_turntrie"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, substr(sha256(length(coalesce(role, '')) || ' ' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS t,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, list({'t': t, 'words': words} ORDER BY turn NULLS FIRST, t) AS seq, CAST(conv_id AS VARCHAR) AS s
+  FROM turns GROUP BY conv_id
+), hashed AS (
+  SELECT conv_id, seq, conv_id - conv_id % 20 AS base, CAST(xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(range(1, length(s) + 1), lambda i: ord(substr(s, i, 1))::BIGINT)),
+      lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+        lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)), 4294967295::BIGINT) % 4 AS BIGINT) AS h
+  FROM convs
+), rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.seq, [])[1:a.h], a.seq[a.h + 1:]) AS seq
+  FROM hashed a LEFT JOIN convs b ON a.base = b.conv_id
+), prefixes AS (
+  SELECT conv_id, d, seq[1:d] AS path, len(seq) = d AS ends FROM (SELECT *, unnest(range(0, len(seq) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CASE WHEN ends THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM prefixes GROUP BY path, d
+), kids AS (
+  SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+), own AS (
+  SELECT n.*, coalesce(k.n, 0) AS n_children, p.conv_id AS parent_conv_id,
+    CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * n.path[n.depth].words END AS saved
+  FROM nodes n LEFT JOIN kids k ON n.path = k.path
+  LEFT JOIN nodes p ON n.depth > 0 AND n.path[1:n.depth - 1] = p.path AND p.depth = n.depth - 1
+), spread AS (
+  SELECT path[1:k] AS path, sum(saved) AS saved, count(*) FILTER (n_children = 0) AS leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM own) GROUP BY ALL
+)
+SELECT o.conv_id, o.depth, o.parent_conv_id, o.n_convs, o.n_children, CAST(s.leaves AS BIGINT) AS n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, o.ends_sha256
+FROM own o JOIN spread s ON o.path = s.path
+"""
