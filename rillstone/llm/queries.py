@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.llm import (
-    backoff, imatch, language, licences, mixing, neargraph, packing, repeats, simhash, tokens, turntrie, urls,
+    backoff, imatch, language, licences, mixing, neargraph, packing, repeats, simhash, tokens, treap, turntrie, urls,
 )
 from rillstone.session import stage
 
@@ -207,3 +207,38 @@ SELECT o.conv_id, o.depth, o.parent_conv_id, o.n_convs, o.n_children, CAST(s.lea
   CAST(s.saved AS BIGINT) AS saved_tokens, o.ends_sha256
 FROM own o JOIN spread s ON o.path = s.path
 """
+
+
+@query
+def op11_treap(spark: SparkSession, folder: str) -> DataFrame:
+    return treap.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
+
+
+ORACLES["op11_treap"] = r"""
+WITH words AS (
+  SELECT row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9A-Za-z\x{80}-\x{10FFFF}]+')) AS term
+  FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)
+), cells AS (
+  SELECT row, doc_id, term, count(*) AS tf FROM words GROUP BY ALL
+), lengths AS (
+  SELECT row, count(*) AS n FROM words GROUP BY row
+), total AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM lengths
+), held AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM cells, total GROUP BY term, docs
+), asked AS (
+  SELECT DISTINCT item_id, text, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9A-Za-z\x{80}-\x{10FFFF}]+')) AS term
+  FROM benchmark
+), scored AS (
+  SELECT item_id, a.text, c.row, doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // words)))) AS BIGINT) AS score
+  FROM asked a JOIN held USING (term) JOIN cells c USING (term) JOIN lengths l ON c.row = l.row, total
+  GROUP BY item_id, a.text, c.row, doc_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
