@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillstone.llm.common import utf8
 from rillstone.session import spread, stage
 
 TOTAL = 1_000_000_000  # an impact is TOTAL * tf div (1000 * tf + 8 * m)
@@ -224,14 +225,27 @@ def _top(found, scored, floor, k, count):
 
 # ---------------------------------------------------------------- the index
 
-_INDEX = ("shard long, docs array<long>, terms array<binary>, df array<int>, "
+_INDEX = ("shard long, docs array<long>, terms binary, df binary, "
           "level binary, row binary, col binary, top binary, child binary")
 
 
 def totals(docs: DataFrame, text: str) -> tuple[int, int]:
     """Documents that hold a term, and terms of all documents, repeats included."""
-    n = F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")), F.lit(0)).cast("long")
-    return tuple(x or 0 for x in docs.select(n.alias("n")).agg(F.count_if(F.col("n") > 0), F.sum("n")).first())
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        inside = np.frombuffer(_LOWER, np.uint8) != 0x20
+        for batch in batches:
+            data, offsets = utf8(batch.column(0))
+            on = inside[data]
+            begins = on.copy()
+            begins[1:] &= ~on[:-1]
+            starts = offsets[:-1]
+            begins[starts[starts < len(data)]] = on[starts[starts < len(data)]]  # a text's first byte follows nothing
+            upto = np.r_[0, np.cumsum(begins)]
+            n = upto[offsets[1:]] - upto[offsets[:-1]]
+            yield pa.RecordBatch.from_pydict({"held": pa.array([int((n > 0).sum())]), "n": pa.array([int(n.sum())])})
+
+    sums = spread(docs.select(text)).mapInArrow(count, "held long, n long").agg(F.sum("held"), F.sum("n")).first()
+    return sums[0] or 0, sums[1] or 0
 
 
 def _shard(number: int, docs: list, counts: list[Counter], total: tuple[int, int]) -> pa.RecordBatch:
@@ -247,7 +261,7 @@ def _shard(number: int, docs: list, counts: list[Counter], total: tuple[int, int
     tree = Treap.of(row, np.repeat(np.arange(len(order)), sizes), impact)
     df = np.bincount(row, minlength=len(vocabulary)).astype(np.int32)
     columns = {"shard": pa.array([number], pa.int64()), "docs": pa.array([[docs[i] for i in order]], pa.list_(pa.int64())),
-               "terms": pa.array([vocabulary], pa.list_(pa.binary())), "df": pa.array([df], pa.list_(pa.int32()))}
+               "terms": pa.array([b" ".join(vocabulary)], pa.binary()), "df": pa.array([df.tobytes()], pa.binary())}
     return pa.RecordBatch.from_pydict(columns | {k: pa.array([v], pa.binary()) for k, v in tree.packed().items()})
 
 
@@ -292,8 +306,13 @@ def weighed(items: DataFrame, item_id: str, text: str, shards: DataFrame, n: int
     rows = items.select(F.col(item_id).alias("item"), F.coalesce(F.col(text), F.lit("")).alias("text")).distinct()
     rows = rows.select("item", F.xxhash64("text").alias("key"), F.explode(distinct("text")).alias("term"))
     rows = stage(rows)
-    held = shards.select(F.explode(F.arrays_zip("terms", "df")).alias("e")).select(
-        F.col("e.terms").alias("term"), F.col("e.df").cast("long").alias("df"))
+    def held_by(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                yield pa.RecordBatch.from_pydict({"term": pa.array(words.split(b" "), pa.binary()),
+                                                  "df": pa.array(np.frombuffer(n, np.int32).astype(np.int64))})
+
+    held = shards.select("terms", "df").mapInArrow(held_by, "term binary, df long")
     # partial sums first, so that a term in all shards sends one row per task
     df = stage(held.join(rows.select("term").distinct(), "term").groupBy("term").agg(F.sum("df").alias("df")))
     weight = F.floor(F.lit(1000.0) * F.log((2.0 * n + 2.0) / (2.0 * F.col("df") + 1.0))).cast("long")
@@ -301,7 +320,7 @@ def weighed(items: DataFrame, item_id: str, text: str, shards: DataFrame, n: int
     return stage(pairs.select("item", "key", F.col("all.term").alias("terms"), F.col("all.w").alias("weights")))
 
 
-def _searched(shards: pa.Table, items: pa.Table, k: int, cells: int = 500_000) -> pa.Table:
+def _searched(shards: pa.Table, items: pa.Table, k: int, cells: int = 200_000) -> pa.Table:
     """The best documents of some shards for some items; about ``cells`` filled cells are in work at a time."""
     asked = [x.as_py() for x in items.column("terms")]
     weights = [np.array(x.as_py(), np.int64) for x in items.column("weights")]
@@ -310,8 +329,8 @@ def _searched(shards: pa.Table, items: pa.Table, k: int, cells: int = 500_000) -
     found, docs_of = [(none, none, none)], [np.zeros(0, object)]
     for s in range(shards.num_rows):
         shard = {c: shards.column(c)[s].as_py() for c in ("docs", "terms", "df", *[f for f, _ in Treap.FIELDS], "child")}
-        row_of = {t: i for i, t in enumerate(shard["terms"])}
-        df = np.array(shard["df"], np.int64)
+        row_of = {t: i for i, t in enumerate(shard["terms"].split(b" "))}
+        df = np.frombuffer(shard["df"], np.int32).astype(np.int64)
         tree = Treap.unpacked(shard)
         rows, own = [], []
         for mine, w in zip(asked, weights, strict=True):
@@ -345,7 +364,7 @@ def _searched(shards: pa.Table, items: pa.Table, k: int, cells: int = 500_000) -
 
 def search(
     docs: DataFrame, items: DataFrame, k: int = 10, doc_id: str = "doc_id", text: str = "text",
-    item_id: str = "item_id", item_text: str = "text", each: int = 8 << 20, block: int = 1024,
+    item_id: str = "item_id", item_text: str = "text", each: int = 4 << 20, block: int = 1024,
 ) -> DataFrame:
     """Each item's ``k`` highest-scoring documents with a score above 0: ``item_id, rank, doc_id, score``.
 

@@ -98,12 +98,12 @@ def test_tree_keeps_every_cell_and_its_maximum():
 def test_search_opens_few_cells():
     """A rare heavy term decides: ranges without it stay closed."""
     docs = 4096
-    row = np.r_[np.zeros(docs, np.int64), np.ones(10, np.int64)]
+    row = np.r_[np.zeros(docs, np.int64), np.full(10, 4095)]  # neighbouring rows would share their cells
     col = np.r_[np.arange(docs), np.arange(10) * 400]
     tree = treap.Treap.of(row, col, np.full(len(row), 1000))
     opened = []
     original = tree._opened
     tree._opened = lambda *a: (opened.append(len(a[0])), original(*a))[1]
-    item, at, score = tree.best(np.zeros(2, np.int64), np.arange(2), np.array([1, 1000]), np.zeros(1, np.int64), 10)
+    item, at, score = tree.best(np.zeros(2, np.int64), np.array([0, 4095]), np.array([1, 1000]), np.zeros(1, np.int64), 10)
     assert at.tolist() == (np.arange(10) * 400).tolist() and set(score.tolist()) == {1_001_000}
     assert sum(opened) < docs / 4
