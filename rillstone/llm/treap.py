@@ -234,15 +234,15 @@ def totals(docs: DataFrame, text: str) -> tuple[int, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside = np.frombuffer(_LOWER, np.uint8) != 0x20
         for batch in batches:
-            data, offsets = utf8(batch.column(0))
-            on = inside[data]
-            begins = on.copy()
-            begins[1:] &= ~on[:-1]
-            starts = offsets[:-1]
-            begins[starts[starts < len(data)]] = on[starts[starts < len(data)]]  # a text's first byte follows nothing
-            upto = np.r_[0, np.cumsum(begins)]
-            n = upto[offsets[1:]] - upto[offsets[:-1]]
-            yield pa.RecordBatch.from_pydict({"held": pa.array([int((n > 0).sum())]), "n": pa.array([int(n.sum())])})
+            held = words = 0
+            for a in range(0, batch.num_rows, 64):
+                data, offsets = utf8(batch.column(0).slice(a, 64))
+                begins = np.diff(inside[data].view(np.int8), prepend=np.int8(0)) > 0
+                starts = offsets[:-1][offsets[:-1] < len(data)]
+                begins[starts] = inside[data[starts]]  # a text's first byte follows nothing
+                at = np.searchsorted(np.flatnonzero(begins), offsets)
+                held, words = held + int((np.diff(at) > 0).sum()), words + int(at[-1])
+            yield pa.RecordBatch.from_pydict({"held": pa.array([held]), "n": pa.array([words])})
 
     sums = spread(docs.select(text)).mapInArrow(count, "held long, n long").agg(F.sum("held"), F.sum("n")).first()
     return sums[0] or 0, sums[1] or 0
