@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
 import types
 from collections.abc import Iterator
@@ -23,6 +25,13 @@ def worker_cache(name: str) -> dict:
     return module.__dict__.setdefault(name, {})
 
 
+def trim() -> None:
+    """Give memory that is free in this Python worker back, so that idle workers stay small."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_size(df: DataFrame, text: str) -> int:
     """Bytes of all texts."""
     return df.agg(F.coalesce(F.sum(F.octet_length(text).cast("long")), F.lit(0))).first()[0]

@@ -18,10 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import utf8
+from rillstone.llm.common import trim, utf8
 from rillstone.session import spread, stage
 
 TOTAL = 1_000_000_000  # an impact is TOTAL * tf div (1000 * tf + 8 * m)
@@ -106,21 +107,40 @@ class Treap:
         row, col = row[order][a] >> level.astype(row.dtype), col[order][a] >> level.astype(col.dtype)
         return cls(level.astype(np.uint8), row.astype(np.uint32), col.astype(np.uint32), top, child)
 
+    def _generations(self) -> Iterator[tuple[slice, np.ndarray]]:
+        """The cells under the root, generation by generation, and each one's parent."""
+        a, b = 0, min(1, len(self.level))
+        while a < b:
+            size = np.diff(self.child[a:b + 1])
+            parent = np.repeat(np.arange(a, b), size)
+            a, b = int(self.child[a]), int(self.child[b])
+            yield slice(a, b), parent
+
     def packed(self) -> dict[str, bytes]:
-        """Each field's bytes, plane by plane, so that high bytes that are always zero compress away."""
-        child = np.diff(self.child, prepend=0).astype(np.uint8)  # the first entry is 1, others at most 4
-        fields = {"level": self.level, "row": self.row, "col": self.col, "top": self.top, "child": child}
-        return {k: np.ascontiguousarray(v.view(np.uint8).reshape(len(v), v.dtype.itemsize).T).tobytes() for k, v in fields.items()}
+        """Each field against the parent cell's, plane by plane, since high bytes are mostly zero, and compressed."""
+        own = {name: getattr(self, name).astype(kind) for name, kind in self.FIELDS}
+        for cells, parent in self._generations():
+            deeper = self.level[parent] - self.level[cells]
+            own["row"][cells] -= self.row[parent] << deeper
+            own["col"][cells] -= self.col[parent] << deeper
+            own["top"][cells] = self.top[parent] - self.top[cells]
+        own["child"] = np.diff(self.child, prepend=0).astype(np.uint8)  # the first entry is 1, others at most 4
+        planes = {k: np.ascontiguousarray(v.view(np.uint8).reshape(len(v), v.dtype.itemsize).T) for k, v in own.items()}
+        return {k: zstandard.compress(v.tobytes(), 1) for k, v in planes.items()}
 
     @classmethod
     def unpacked(cls, fields: dict[str, bytes]) -> Treap:
         def read(name, kind):
-            width = np.dtype(kind).itemsize
-            planes = np.frombuffer(fields[name], np.uint8).reshape(width, -1)
+            planes = np.frombuffer(zstandard.decompress(fields[name]), np.uint8).reshape(np.dtype(kind).itemsize, -1)
             return np.ascontiguousarray(planes.T).view(kind).ravel()
 
-        got = [read(name, kind) for name, kind in cls.FIELDS]
-        return cls(*got, np.cumsum(read("child", np.uint8).astype(np.int64)))
+        tree = cls(*[read(name, kind).copy() for name, kind in cls.FIELDS], np.cumsum(read("child", np.uint8).astype(np.int64)))
+        for cells, parent in tree._generations():
+            deeper = tree.level[parent] - tree.level[cells]
+            tree.row[cells] += tree.row[parent] << deeper
+            tree.col[cells] += tree.col[parent] << deeper
+            tree.top[cells] = tree.top[parent] - tree.top[cells]
+        return tree
 
     def best(self, item: np.ndarray, row: np.ndarray, weight: np.ndarray, floor: np.ndarray, k: int, batch: int = 16):
         """For items with these rows and weights: item, column and score of each one's ``k`` best documents.
@@ -261,7 +281,8 @@ def _shard(number: int, docs: list, counts: list[Counter], total: tuple[int, int
     tree = Treap.of(row, np.repeat(np.arange(len(order)), sizes), impact)
     df = np.bincount(row, minlength=len(vocabulary)).astype(np.int32)
     columns = {"shard": pa.array([number], pa.int64()), "docs": pa.array([[docs[i] for i in order]], pa.list_(pa.int64())),
-               "terms": pa.array([b" ".join(vocabulary)], pa.binary()), "df": pa.array([df.tobytes()], pa.binary())}
+               "terms": pa.array([zstandard.compress(b" ".join(vocabulary), 1)], pa.binary()),
+               "df": pa.array([zstandard.compress(df.tobytes(), 1)], pa.binary())}
     return pa.RecordBatch.from_pydict(columns | {k: pa.array([v], pa.binary()) for k, v in tree.packed().items()})
 
 
@@ -287,8 +308,12 @@ def index(docs: DataFrame, doc_id: str, text: str, total: tuple[int, int], each:
                 if size >= each:
                     yield _shard(number, ids, counts, total)
                     number, ids, counts, size = number + 1, [], [], 0
+            del batch
+            trim()
         if ids:
             yield _shard(number, ids, counts, total)
+        del ids, counts
+        trim()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("words"))
     return stage(spread(rows).mapInArrow(build, _INDEX))
@@ -309,8 +334,9 @@ def weighed(items: DataFrame, item_id: str, text: str, shards: DataFrame, n: int
     def held_by(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for words, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                yield pa.RecordBatch.from_pydict({"term": pa.array(words.split(b" "), pa.binary()),
-                                                  "df": pa.array(np.frombuffer(n, np.int32).astype(np.int64))})
+                yield pa.RecordBatch.from_pydict({
+                    "term": pa.array(zstandard.decompress(words).split(b" "), pa.binary()),
+                    "df": pa.array(np.frombuffer(zstandard.decompress(n), np.int32).astype(np.int64))})
 
     held = shards.select("terms", "df").mapInArrow(held_by, "term binary, df long")
     # partial sums first, so that a term in all shards sends one row per task
@@ -329,8 +355,8 @@ def _searched(shards: pa.Table, items: pa.Table, k: int, cells: int = 200_000) -
     found, docs_of = [(none, none, none)], [np.zeros(0, object)]
     for s in range(shards.num_rows):
         shard = {c: shards.column(c)[s].as_py() for c in ("docs", "terms", "df", *[f for f, _ in Treap.FIELDS], "child")}
-        row_of = {t: i for i, t in enumerate(shard["terms"].split(b" "))}
-        df = np.frombuffer(shard["df"], np.int32).astype(np.int64)
+        row_of = {t: i for i, t in enumerate(zstandard.decompress(shard["terms"]).split(b" "))}
+        df = np.frombuffer(zstandard.decompress(shard["df"]), np.int32).astype(np.int64)
         tree = Treap.unpacked(shard)
         rows, own = [], []
         for mine, w in zip(asked, weights, strict=True):
@@ -357,6 +383,7 @@ def _searched(shards: pa.Table, items: pa.Table, k: int, cells: int = 200_000) -
         floor[i[place == k - 1]] = score[place == k - 1]
         best = place < k
         found, docs_of = [(i[best], none, score[best])], [doc[best]]
+    trim()
     at = pa.array(found[0][0])
     return pa.table({"item": items.column("item").take(at), "key": items.column("key").take(at),
                      "doc_id": pa.array(docs_of[0].tolist(), pa.int64()), "score": pa.array(found[0][2], pa.int64())})
@@ -380,7 +407,7 @@ def search(
     asked = weighed(items, item_id, item_text, shards, total[0])
     bytes_, count = shards.agg(F.coalesce(F.sum(sum(F.octet_length(f) for f, _ in Treap.FIELDS)), F.lit(0)), F.count("*")).first()
     blocks = -(-asked.count() // block) or 1
-    groups = min(max(4 * docs.sparkSession.sparkContext.defaultParallelism, bytes_ // (32 << 20)), max(count, 1))
+    groups = min(max(4 * docs.sparkSession.sparkContext.defaultParallelism, bytes_ // (16 << 20)), max(count, 1))
     number = F.pmod(F.xxhash64("item", "key"), F.lit(blocks)).cast("int")
     asked = asked.withColumn("block", number).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     shards = shards.withColumn("group", F.pmod(F.xxhash64("shard"), F.lit(groups)).cast("int")).withColumn(
