@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from catalog.base import query, table
+from rillstone.functions.columns import uniform
+from rillstone.operators import seasons as sn
 from rillstone.operators import series as ts
+from rillstone.operators import tablefunctions as tf
 
 CUT = dt.date(2000, 1, 1)
 Z95, Z90, Z99 = (ts.z_score(level) for level in (0.95, 0.9, 0.99))
@@ -139,3 +144,138 @@ def actual_forecast_union(spark, sf):
     ahead = ts.forecast(ts.fit_trend(rows, keys, "day", "total"), keys, 30)
     both = ts.actual_and_forecast(rows, ahead, keys, "day", "total")
     return _rounded(both).withColumn("actual", F.round("actual", 2))
+
+
+# ---------------------------------------------------------------- seasons, table functions, robust flags
+
+# Days of orders carry values of a known rule, by priority: level, slope a year, seasons' amplitudes, and a little noise.
+_RULES = {
+    "1-URGENT": (500.0, 20.0, {"year": 60.0}), "2-HIGH": (300.0, -10.0, {"week": 25.0}), "3-MEDIUM": (200.0, 0.0, {"month": 30.0}),
+    "4-NOT SPECIFIED": (100.0, 5.0, {}), "5-LOW": (800.0, 15.0, {"week": 40.0, "year": 90.0}),
+}
+
+
+def _rule(day: Column) -> Column:
+    """The rule's value for a day number."""
+    value = F.lit(None).cast("double")
+    for name, (level, slope, waves) in _RULES.items():
+        at = F.lit(level) + slope * (day - sn.EPOCH) / sn.YEAR.days
+        for season, height in waves.items():
+            at = at + height * F.sin((day - sn.EPOCH) * (2 * math.pi / sn.KNOWN[season].days))
+        value = F.when(F.col("o_orderpriority") == name, at).otherwise(value)
+    return value
+
+
+def measured(spark, sf):
+    """A value for each priority and day that has orders: the rule, and noise below 2."""
+    days = table(spark, sf, "orders").select("o_orderpriority", F.to_date("o_orderdate").alias("day")).distinct()
+    day = ts.day_number("day")
+    noise = 4 * uniform(17, F.unix_date("day")) - 2
+    return days.withColumn("value", _rule(day) + noise)
+
+
+@query("forecast_seasons", " union all ".join(
+    f"select '{name}' as o_orderpriority, '{','.join(s for s in ('week', 'month', 'year') if s in waves)}' as seasons, "
+    f"{slope}::double as slope_a_year, " + ", ".join(f"{waves.get(s, 0.0)}::double as {s}" for s in ("week", "month", "year"))
+    for name, (_, slope, waves) in _RULES.items()))
+def forecast_seasons(spark, sf):
+    """Which seasons each series has, and how large: weekly, monthly, yearly, two or none."""
+    model = sn.fit(measured(spark, sf), ["o_orderpriority"], "day", "value")
+    first = {"week": 2, "month": 8, "year": 12}  # where each season's first sine stands among the coefficients
+    return model.select(
+        "o_orderpriority", F.array_join("seasons", ",").alias("seasons"),
+        (F.round(F.try_element_at("coefficients", F.lit(1)) / 5) * 5).alias("slope_a_year"),
+        *[(F.round(F.try_element_at("coefficients", F.lit(i)) / 5) * 5).alias(s) for s, i in first.items()])
+
+
+def _rule_sql(day):
+    def at(level, slope, waves):
+        return f"{level} + {slope} * ({day} - {sn.EPOCH}) / {sn.YEAR.days}" + "".join(
+            f" + {h} * sin(({day} - {sn.EPOCH}) * 2 * pi() / {sn.KNOWN[s].days})" for s, h in waves.items())
+
+    return "case o_orderpriority " + " ".join(f"when '{n}' then {at(*r)}" for n, r in _RULES.items()) + " end"
+
+
+@query("forecast_a_year_ahead", f"""with e as (select o_orderpriority, max(cast(o_orderdate as date)) as last_day from orders group by all),
+    f as (select o_orderpriority, (last_day + s::integer)::date as ts, ((last_day + s::integer) - date '1970-01-01')::double as d from e, range(1, 366) r(s))
+    select o_orderpriority, ts, true as near, true as inside from f where {_rule_sql('d')} is not null""")
+def forecast_a_year_ahead(spark, sf):
+    """A year of days ahead: each forecast lies near the rule that made the data, and the rule inside the interval."""
+    keys = ["o_orderpriority"]
+    ahead = sn.forecast(sn.fit(measured(spark, sf), keys, "day", "value"), keys, 365, level=0.999)
+    rule = _rule(ts.day_number("ts"))
+    return ahead.select(*keys, "ts", (F.abs(F.col("forecast") - rule) < 4).alias("near"),
+                        rule.between(F.col("lower_bound"), F.col("upper_bound")).alias("inside"))
+
+
+_WIDE_FIT = """fit as (select o_orderpriority, count(*) as n, avg(t) as mt, var_pop(t) as vt, regr_slope(total, t) as slope,
+      regr_intercept(total, t) as intercept, max(day) as last_day,
+      sqrt((regr_syy(total, t) - regr_slope(total, t) * regr_sxy(total, t)) / (count(*) - 2)) as sigma
+      from daily where {where} group by o_orderpriority)"""
+
+
+def _wide_sql(day, z):
+    value = f"intercept + slope * {day}"
+    half = f"sigma * {z!r} * sqrt(1 + (1 + ({day} - mt) ** 2 / vt) / n)"
+    return value, f"({value} - {half})", f"({value} + {half})"
+
+
+_AHEAD = _wide_sql("((last_day + s::integer) - date '1970-01-01')", Z90)
+
+
+@query("forecast_widening", f"""with {_daily_sql('o_orderpriority')}, {_WIDE_FIT.format(where='true')}
+    select o_orderpriority, (last_day + s::integer)::date as ts, round({_AHEAD[0]}, 2) as forecast, round({_AHEAD[1]}, 2) as lower_bound,
+      round({_AHEAD[2]}, 2) as upper_bound from fit, range(1, 401) r(s)""")
+def forecast_widening(spark, sf):
+    """A line's interval widens the further the day lies from the data."""
+    keys = ["o_orderpriority"]
+    return _rounded(sn.forecast(sn.fit(daily(spark, sf), keys, "day", "total", ()), keys, 400, (), level=0.9))
+
+
+def _with_view(spark, sf):
+    tf.register(spark)
+    daily(spark, sf).createOrReplaceTempView("daily_totals")
+
+
+@query("sql_forecast", f"""with {_daily_sql('o_orderpriority')}, {_WIDE_FIT.format(where='true')}
+    select o_orderpriority, (last_day + s::integer)::date as ts, round({_AHEAD[0]}, 2) as forecast, round({_AHEAD[1]}, 2) as lower_bound,
+      round({_AHEAD[2]}, 2) as upper_bound from fit, range(1, 15) r(s)""")
+def sql_forecast(spark, sf):
+    """The same model called as a table function."""
+    _with_view(spark, sf)
+    return _rounded(spark.sql("""
+        SELECT * FROM forecast(input_data => TABLE(daily_totals) PARTITION BY o_orderpriority, series_colname => 'o_orderpriority',
+          timestamp_colname => 'day', target_colname => 'total', forecasting_periods => 14, prediction_interval => 0.9)"""))
+
+
+_HERE = _wide_sql("t", Z99)
+
+
+@query("sql_detect_anomalies", f"""with {_daily_sql('o_orderpriority')}, {_WIDE_FIT.format(where=_BEFORE)}
+    select o_orderpriority, day as ts, round(total, 2) as y, round({_HERE[0]}, 2) as forecast, total not between {_HERE[1]} and {_HERE[2]} as is_anomaly
+    from daily join fit using (o_orderpriority) where not ({_BEFORE})""")
+def sql_detect_anomalies(spark, sf):
+    """Flags of the days from the cut on, called as a table function."""
+    _with_view(spark, sf)
+    flags = spark.sql(f"""
+        SELECT * FROM detect_anomalies(input_data => TABLE(daily_totals) PARTITION BY o_orderpriority ORDER BY day,
+          series_colname => 'o_orderpriority', timestamp_colname => 'day', target_colname => 'total', since => '{CUT}')""")
+    return flags.select("o_orderpriority", "ts", F.round("y", 2).alias("y"), F.round("forecast", 2).alias("forecast"), "is_anomaly")
+
+
+def spiked(spark, sf):
+    """A known line by priority, noise below 2, and every tenth day far above it, before the cut and after."""
+    days = table(spark, sf, "orders").select("o_orderpriority", F.to_date("o_orderdate").alias("day")).distinct()
+    no = F.unix_date("day")
+    level = F.ascii("o_orderpriority") * 10.0
+    spike = F.when(no % 10 == 3, 500.0 + (no % 7) * 100.0).otherwise(0.0)
+    return days.withColumn("value", level + 0.01 * no + 4 * uniform(17, no) - 2 + spike)
+
+
+@query("anomaly_robust", f"""select distinct o_orderpriority, cast(o_orderdate as date) as day,
+      (cast(o_orderdate as date) - date '1970-01-01') % 10 = 3 as is_anomaly
+    from orders where cast(o_orderdate as date) >= date '{CUT}'""")
+def anomaly_robust(spark, sf):
+    """Spikes before the cut do not widen the interval, so those after it are all found, and nothing else."""
+    flags = ts.detect_anomalies(spiked(spark, sf), ["o_orderpriority"], "day", "value", CUT, level=0.9999, robust=True)
+    return flags.select("o_orderpriority", "day", "is_anomaly")

@@ -68,6 +68,49 @@ def fit_trend(df: DataFrame, keys: list[str], ts: str, y: str, weekly: bool = Fa
     return stage(_join(line.drop("sigma"), days, keys))
 
 
+def fit_trend_robust(df: DataFrame, keys: list[str], ts: str, y: str, rounds: int = 6) -> DataFrame:
+    """A line per series that outliers do not move: (keys, n, last_ts, slope, intercept, sigma).
+
+    A fixed number of reweighted fits, each from sums: rows far from the last line,
+    measured by the median of all distances, count less (Huber's weights), later
+    not at all (Tukey's). The deviation is that of the rows within four of the
+    last scale. Medians come from a sketch, so no series is held in one place.
+    """
+    t, v = day_number(ts), F.col(y).cast("double")
+    last = df.groupBy(*keys).agg(F.max(ts).alias("last_ts"))
+    rows = stage(df.select(*keys, (t - 10957.0).alias("_t"), v.alias("_v")).filter("_t is not null and _v is not null"))
+    weighed, model = rows.withColumn("_w", F.lit(1.0)), None
+    e = F.abs(F.col("_v") - F.col("intercept") - F.col("slope") * F.col("_t"))
+    for k in range(rounds):
+        model = stage(_weighted_line(weighed, keys))
+        apart = _join(rows, model.select(*keys, "slope", "intercept"), keys).withColumn("_e", e)
+        # the least scale stands for series that lie on their line
+        scale = F.greatest(1.4826 * F.percentile_approx("_e", 0.5, 10_000), F.lit(1e-9))
+        scaled = _join(apart, stage(apart.groupBy(*keys).agg(scale.alias("_s"))), keys)
+        u = F.col("_e") / F.col("_s")
+        huber = F.least(F.lit(1.0), 1.345 / F.greatest(u, F.lit(1e-9)))
+        tukey = F.when(u < 4.685, F.pow(1 - F.pow(u / 4.685, 2), 2)).otherwise(0.0)
+        weighed = scaled.withColumn("_w", huber if k < rounds // 2 else tukey).select(*keys, "_t", "_v", "_w", u.alias("_u"))
+    line = _weighted_line(weighed.withColumn("_w", (F.col("_u") <= 4).cast("double")), keys)
+    # back from days since 2000 to day numbers
+    line = line.withColumn("intercept", F.col("intercept") - 10957.0 * F.col("slope"))
+    return stage(_join(line, last, keys))
+
+
+def _weighted_line(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Weighted least squares of ``_v`` on ``_t`` with weights ``_w``: (keys, n, slope, intercept, sigma)."""
+    w, t, v = F.col("_w"), F.col("_t"), F.col("_v")
+    sums = rows.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in {
+        "_0": w, "_1": w * t, "_2": w * t * t, "_y": w * v, "_ty": w * t * v, "_yy": w * v * v}.items()])
+    n = F.col("_0")
+    stt, sty = F.col("_2") - F.col("_1") * F.col("_1") / n, F.col("_ty") - F.col("_1") * F.col("_y") / n
+    sums = sums.filter("_0 > 0").withColumns({
+        "slope": F.when(stt > 1e-9 * n, sty / stt).otherwise(0.0), "_syy": F.col("_yy") - F.col("_y") * F.col("_y") / n, "_sty": sty})
+    sse = F.greatest(F.col("_syy") - F.col("slope") * F.col("_sty"), F.lit(0.0))
+    return sums.select(*keys, F.round(n).cast("long").alias("n"), "slope", ((F.col("_y") - F.col("slope") * F.col("_1")) / n).alias("intercept"),
+                       F.sqrt(F.coalesce(F.when(n > 2, sse / (n - 2)), F.lit(0.0))).alias("sigma"))
+
+
 def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     if keys:
         return join_groups(left, right, keys)
@@ -110,10 +153,18 @@ def holdout_metrics(df: DataFrame, keys: list[str], ts: str, y: str, cut, weekly
     return regression_metrics(scored, y, "forecast", keys).select(*keys, "n", "mae", "mse", "mape")
 
 
-def detect_anomalies(df: DataFrame, keys: list[str], ts: str, y: str, cut, level: float = 0.99, weekly: bool = False) -> DataFrame:
-    """Rows from ``cut`` on, flagged when outside the interval of a model fitted before it."""
+def detect_anomalies(
+    df: DataFrame, keys: list[str], ts: str, y: str, cut, level: float = 0.99, weekly: bool = False, robust: bool = False,
+) -> DataFrame:
+    """Rows from ``cut`` on, flagged when outside the interval of a model fitted before it.
+
+    With ``robust`` (a line only) anomalies before the cut neither move the line nor widen its interval.
+    """
+    if weekly and robust:
+        raise ValueError("the robust line has no weekly season")
     cut = F.lit(cut).cast(df.schema[ts].dataType)
-    model = fit_trend(df.filter(F.col(ts) < cut), keys, ts, y, weekly)
+    before = df.filter(F.col(ts) < cut)
+    model = fit_trend_robust(before, keys, ts, y) if robust else fit_trend(before, keys, ts, y, weekly)
     scored = fitted(model, df.filter(F.col(ts) >= cut), keys, ts, level)
     outside = ~F.col(y).between(F.col("lower_bound"), F.col("upper_bound"))
     return scored.withColumn("is_anomaly", outside)
