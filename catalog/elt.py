@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -10,6 +11,8 @@ from catalog.base import query, table
 from rillstone.operators import incremental as inc
 from rillstone.operators import quality as dq
 from rillstone.plans import listings
+from rillstone.session import shared_folder
+from rillstone.sources.buckets import BucketedTable, HistoryTable
 
 
 @query("window_backfill", """select o_orderkey, o_orderdate from orders
@@ -215,3 +218,67 @@ def dq_rowcount(spark, sf):
       when date_diff('microsecond', max(ts), timestamp '2024-01-31') / 3.6e9 <= 24 then 'warn' else 'error' end as status from events""")
 def dq_freshness(spark, sf):
     return dq.freshness(table(spark, sf, "events"), "ts", dt.datetime(2024, 1, 31))
+
+
+# ---------------------------------------------------------------- merge targets in key buckets
+
+def _place(spark):
+    return f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+
+
+_BATCHES = """select o_orderkey, o_orderstatus, o_totalprice, o_orderdate, 0 as batch from orders
+    union all select o_orderkey, 'X', o_totalprice + 1, o_orderdate + interval 1 day, 1 from orders where o_custkey % 50 = 7
+    union all select o_orderkey + 1000000000, 'N', o_totalprice, o_orderdate, 1 from orders where o_custkey % 50 = 8
+    union all select o_orderkey, 'Y', o_totalprice + 2, o_orderdate, 2 from orders where o_custkey % 50 between 7 and 9
+    union all select o_orderkey, 'Z', o_totalprice + 3, o_orderdate - interval 1 day, 2 from orders where o_custkey % 50 = 10"""
+
+
+@query("upsert_two_batches", f"""select o_orderkey, o_orderstatus, o_totalprice, o_orderdate from (
+    select *, row_number() over (partition by o_orderkey order by o_orderdate desc, batch desc) as rn from ({_BATCHES})) where rn = 1""")
+def upsert_two_batches(spark, sf):
+    """A stored target after two batches: corrections and new keys, then newer, equal and stale versions."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_custkey")
+
+    def changed(where, status, add, days=0, shift=0):
+        return orders.filter(where).select(
+            (F.col("o_orderkey") + shift).alias("o_orderkey"), F.lit(status).alias("o_orderstatus"),
+            (F.col("o_totalprice") + add).alias("o_totalprice"),
+            (F.col("o_orderdate") + F.expr(f"interval {days} days")).alias("o_orderdate"))
+
+    target = BucketedTable.create(orders.drop("o_custkey"), _place(spark), ["o_orderkey"], buckets=64)
+    target.upsert(changed("o_custkey % 50 = 7", "X", 1, days=1).unionByName(
+        changed("o_custkey % 50 = 8", "N", 0, shift=1_000_000_000)), "o_orderdate")
+    target.upsert(changed("o_custkey % 50 between 7 and 9", "Y", 2).unionByName(
+        changed("o_custkey % 50 = 10", "Z", 3, days=-1)), "o_orderdate")
+    return target.read()
+
+
+_CARD = "select c_custkey, c_mktsegment, c_acctbal"
+
+
+@query("scd2_two_batches", f"""{_CARD}, timestamp '2024-01-01' as valid_from,
+      case when c_nationkey = 3 then timestamp '2024-02-01' when c_nationkey = 4 then timestamp '2024-03-15'
+           when c_nationkey = 5 then timestamp '2024-03-01' end as valid_to from customer where c_nationkey <> 6
+    union all select c_custkey, c_mktsegment, c_acctbal + 10, timestamp '2024-02-01', case when c_acctbal > 0 then timestamp '2024-03-01' end
+      from customer where c_nationkey = 3
+    union all select c_custkey, c_mktsegment, c_acctbal + 20, timestamp '2024-03-01', null from customer where c_nationkey = 3 and c_acctbal > 0
+    union all select c_custkey, c_mktsegment, c_acctbal + 20, timestamp '2024-03-01', null from customer where c_nationkey = 5
+    union all {_CARD}, timestamp '2024-02-01', null from customer where c_nationkey = 6""")
+def scd2_two_batches(spark, sf):
+    """A stored history after a batch of changes and new keys, and a snapshot with changes and keys that are gone."""
+    stamp = lambda text: F.lit(text).cast("timestamp_ntz")
+    rows = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal", "c_nationkey")
+
+    def at(df, text, add=0):
+        return df.withColumns({"c_acctbal": F.col("c_acctbal") + add, "updated_at": stamp(text)})
+
+    first = at(rows.filter("c_nationkey <> 6"), "2024-01-01").drop("c_nationkey")
+    history = HistoryTable.create(first, _place(spark), "c_custkey", "updated_at", buckets=64)
+    history.apply(at(rows.filter("c_nationkey = 3"), "2024-02-01", 10).unionByName(
+        at(rows.filter("c_nationkey = 6"), "2024-02-01")).drop("c_nationkey"))
+    third, newer = F.col("c_nationkey") == 3, (F.col("c_nationkey") == 5) | ((F.col("c_nationkey") == 3) & (F.col("c_acctbal") > 0))
+    now = rows.filter("c_nationkey <> 4").withColumns({
+        "updated_at": F.when(newer, stamp("2024-03-01")).when(third | (F.col("c_nationkey") == 6), stamp("2024-02-01")).otherwise(stamp("2024-01-01")),
+        "c_acctbal": F.col("c_acctbal") + F.when(newer, 20).when(third, 10).otherwise(0)}).drop("c_nationkey")
+    history.snapshot(now, dt.datetime(2024, 3, 15))
+    return history.read().drop("updated_at")
