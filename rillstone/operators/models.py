@@ -12,17 +12,15 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml import classification as C
 from pyspark.ml import clustering, regression
 from pyspark.ml.feature import (
-    HashingTF, Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
+    Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.functions.text import WORDS_WITH_APOSTROPHE, tokens, with_bigrams
 from rillstone.operators.aggregates import mode
-from rillstone.operators.evaluate import accuracy, regression_metrics
+from rillstone.operators.evaluate import regression_metrics
 from rillstone.operators.select import numeric_and_text_columns, split
-from rillstone.session import stage
 
 # ---------------------------------------------------------------- estimators by name
 
@@ -121,76 +119,6 @@ def random_fourier_features(df: DataFrame, vector: str, dims: int, size: int = 2
     return df.withColumn(output, array_to_vector(project(F.col(vector).cast("array<double>"))))
 
 
-# ---------------------------------------------------------------- text
-
-def text_terms(text: str) -> Column:
-    """Distinct words and word pairs of a text."""
-    return F.array_distinct(with_bigrams(tokens(text, WORDS_WITH_APOSTROPHE)))
-
-
-def common_terms(df: DataFrame, text: str, max_share: float) -> DataFrame:
-    """Terms in more than ``max_share`` of the texts.
-
-    There are fewer than (mean terms per text / max_share) of them, however
-    many texts there are.
-    """
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    counts = df.select(F.explode(text_terms(text)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return counts.filter(F.col("df") > total * max_share).select("term")
-
-
-def text_features(df: DataFrame, text: str, common: DataFrame, size: int = 1 << 18) -> DataFrame:
-    """Binary one- and two-word features without the common terms, hashed, so no vocabulary is kept."""
-    left_out = common.agg(F.collect_list("term").alias("c")).scalar()
-    kept = df.withColumn("_terms", F.array_except(text_terms(text), left_out))
-    return HashingTF(inputCol="_terms", outputCol="features", numFeatures=size, binary=True).transform(kept).drop("_terms")
-
-
-class TextClassifier:
-    """Linear support-vector machine over word and word-pair presence."""
-
-    def __init__(self, common: DataFrame, model: C.LinearSVCModel, text: str):
-        self.common, self.model, self.text = common, model, text
-
-    @classmethod
-    def fit(cls, train: DataFrame, text: str, label: str, max_share: float = 0.02, size: int = 1 << 18, **params) -> TextClassifier:
-        common = stage(common_terms(train, text, max_share))
-        rows = text_features(train, text, common, size)
-        return cls(common, C.LinearSVC(labelCol=label, **params).fit(rows), text)
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        rows = text_features(df, self.text, self.common, self.model.numFeatures)
-        return self.model.transform(rows).drop("features", "rawPrediction")
-
-    def save(self, path: str) -> None:
-        self.common.write.parquet(f"{path}/common")
-        self.model.write().save(f"{path}/model")
-        spark = self.common.sparkSession
-        spark.createDataFrame([(self.text,)], "text string").coalesce(1).write.parquet(f"{path}/columns")
-
-    @classmethod
-    def load(cls, spark: SparkSession, path: str) -> TextClassifier:
-        text = spark.read.parquet(f"{path}/columns").first()["text"]
-        return cls(spark.read.parquet(f"{path}/common"), C.LinearSVCModel.load(f"{path}/model"), text)
-
-
-def train_text_job(spark: SparkSession, source: str, text: str, label: str, positive: str, path: str, **params) -> dict:
-    """Fit a text classifier on a Parquet table and store it; the label is ``positive`` or anything else."""
-    rows = spark.read.parquet(source).withColumn("_flag", (F.col(label) == positive).cast("int"))
-    model = TextClassifier.fit(rows, text, "_flag", **params)
-    model.save(path)
-    return {"status": "SUCCESS", "accuracy": accuracy(model.transform(rows), "_flag", "prediction").first()["accuracy"],
-            "model_path": path}
-
-
-def score_text_job(spark: SparkSession, source: str, text: str, label: str, positive: str, path: str) -> dict:
-    """Score a Parquet table with a stored text classifier."""
-    rows = spark.read.parquet(source).withColumn("_flag", (F.col(label) == positive).cast("int"))
-    scored = TextClassifier.load(spark, path).transform(rows)
-    return {"accuracy": accuracy(scored, "_flag", "prediction").first()["accuracy"],
-            "r2_score": regression_metrics(scored, "_flag", "prediction").first()["r2"]}
-
-
 # ---------------------------------------------------------------- mixed-type pipeline
 
 def preprocessing(df: DataFrame, numeric: list[str], text: list[str]) -> list:
