@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from catalog.base import query, table
 from catalog.relational import uniform_sql
 from rillstone.functions import text as tx
 from rillstone.operators import evaluate as ev
+from rillstone.operators import modelchoice as mc
 from rillstone.operators import models as md
 from rillstone.operators import neighbors as nn
 from rillstone.operators import termindex as ti
 from rillstone.operators import textvec as tv
 from rillstone.operators.select import split, with_split
-from rillstone.session import spread
+from rillstone.session import shared_folder, spread
 
 LINE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
 TWO = {"train": 0.7, "test": 0.3}
@@ -167,6 +171,37 @@ def gbt_predict(spark, sf):
     return _line_predictions(spark, sf, "gradient_boosting", CORNER, maxIter=100)
 
 
+BAND = "case when l_linenumber between 3 and 5 then 'inner' else 'outer' end"
+
+
+@query("classify_auto", f"""select {', '.join(LINE_KEYS)}, {BAND} as label, {BAND} as predicted_class, 'decision_tree' as chosen
+    from lineitem where {uniform_sql(101, 'l_orderkey')} >= 0.7""")
+def classify_auto(spark, sf):
+    """A band that no line can part: of three candidates the folds choose the tree."""
+    lines = table(spark, sf, "lineitem").select(*LINE_KEYS, "l_discount", "l_tax", F.expr(BAND).alias("label"))
+    parts = split(lines, TWO, ["l_orderkey"], seed=101)
+    candidates = [mc.Candidate("logistic_regression"), mc.Candidate("linear_svm", {"maxIter": 10}), mc.Candidate("decision_tree")]
+    choice = mc.choose(parts["train"], CODES, "label", LINE_KEYS, candidates)
+    return choice.predict(parts["test"]).select(*LINE_KEYS, "label", "predicted_class", F.lit(choice.candidate.estimator).alias("chosen"))
+
+
+_SIZES = "case when p_size <= 15 then 'small' when p_size <= 35 then 'middle' else 'large' end"
+
+
+@query("gbt_classes", f"""select p_partkey, {_SIZES} as label, {_SIZES} as predicted_class, true as sure, 1.0::double as total from part
+    where {uniform_sql(3, 'p_partkey')} >= 0.7""")
+def gbt_classes(spark, sf):
+    """Boosted trees for three classes, one against the rest, with a share for each class."""
+    rows = table(spark, sf, "part").select("p_partkey", F.expr("p_size div 2").alias("half"), "p_retailprice", F.expr(_SIZES).alias("label"))
+    parts = split(rows, TWO, ["p_partkey"], seed=3)
+    boosted = [mc.Candidate("gradient_boosting", {"maxIter": 5, "maxDepth": 3})]
+    choice = mc.choose(parts["train"], ["half", "p_retailprice"], "label", ["p_partkey"], boosted, folds=2)
+    p = F.map_values("probability")
+    total = F.round(F.aggregate(p, F.lit(0.0), lambda a, b: a + b), 6)
+    return choice.probabilities(parts["test"]).select(
+        "p_partkey", "label", "predicted_class", (F.array_max(p) > 0.5).alias("sure"), total.alias("total"))
+
+
 GROUPS = 5
 AXES = [f"x{i}" for i in range(GROUPS)]
 
@@ -247,6 +282,28 @@ def rf_regress(spark, sf):
     return model.transform(parts["test"]).select("p_partkey", "band", F.round(F.col("prediction") / 1000).cast("int").alias("prediction"))
 
 
+_GAPS = ["case when p_size > 40 then null else p_retailprice end as price", "case when p_size < 5 then null else p_brand end as brand"]
+
+
+@query("stored_pipeline", f"""with p as (select p_partkey, p_size, {', '.join(_GAPS)}, {uniform_sql(0, 'p_partkey')} < 0.9 as is_train from part),
+    m as (select median(price) as price, median(p_size) as size from p where is_train),
+    f as (select p.*, coalesce(p.price, m.price) as filled from p, m),
+    s as (select avg(filled) as pm, stddev_pop(filled) as pd, avg(p_size) as sm, stddev_pop(p_size) as sd from f where is_train),
+    b as (select brand from p where is_train and brand is not null group by brand order by count(*) desc, brand limit 1)
+    select p_partkey, round((filled - pm) / pd, 6) as price_scaled, round((p_size - sm) / sd, 6) as size_scaled,
+      coalesce(f.brand, b.brand) as brand_filled from f, s, b where not is_train""")
+def stored_pipeline(spark, sf):
+    """Exact median, population deviation and most frequent text, fitted on one part, stored, loaded, applied to the other."""
+    rows = table(spark, sf, "part").selectExpr("p_partkey", "p_size", *_GAPS)
+    parts = split(rows, {"train": 0.9, "test": 0.1}, ["p_partkey"], seed=0)
+    numbers = ["price", "p_size"]
+    path = f"{shared_folder(spark)}/models/{uuid.uuid4().hex}"
+    Pipeline(stages=md.preprocessing(numbers, ["brand"])).fit(parts["train"]).write().save(path)
+    return PipelineModel.load(path).transform(parts["test"]).select(
+        "p_partkey", F.round("price__s", 6).alias("price_scaled"), F.round("p_size__s", 6).alias("size_scaled"),
+        F.col("brand__t").alias("brand_filled"))
+
+
 _MAIN = " union all ".join(
     f"select '{c}' as feature, abs(corr({c}, (l_discount >= 0.055)::integer)) > 0.5 as main from lineitem" for c in LINE_FEATURES)
 

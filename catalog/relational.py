@@ -5,6 +5,8 @@ Orders stand in for listings, customers for hosts and order lines for reviews.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog.base import query, table
@@ -13,6 +15,7 @@ from rillstone.operators import aggregates as agg
 from rillstone.operators import incremental as inc
 from rillstone.operators import joins, numbering, select
 from rillstone.operators.evaluate import mismatches
+from rillstone.plans.views import Views
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
@@ -523,3 +526,24 @@ def union_blocks(spark, sf):
     return (block("o_totalprice >= 300000", "high", True)
             .unionByName(block("o_totalprice >= 100000 and o_totalprice < 300000", "middle", False))
             .unionByName(block("o_totalprice < 100000", "low", False)))
+
+
+# ---------------------------------------------------------------- named views
+
+@query("view_of_views", """with large as (select o_custkey, o_totalprice from orders where o_totalprice >= 200000),
+    by_nation as (select c_nationkey, count(*) as n, sum(o_totalprice) as total from large join customer on o_custkey = c_custkey group by c_nationkey)
+    select n_name, n, round(total, 2) as total, round(total / (select sum(total) from by_nation), 8) as share
+    from by_nation join nation on c_nationkey = n_nationkey""")
+def view_of_views(spark, sf):
+    """Four views given in the wrong order, one reading two others."""
+    views = Views(spark, {
+        "shares": "select n_name, n, round(total, 2) as total, round(total / all_total, 8) as share "
+                  "from {by_nation} join {everything} join {nation} on c_nationkey = n_nationkey",
+        "everything": "select sum(total) as all_total from {by_nation}",
+        "by_nation": "select c_nationkey, count(*) as n, sum(o_totalprice) as total from {large} join {customer} on o_custkey = c_custkey group by c_nationkey",
+        "large": "select o_custkey, o_totalprice from {orders} where o_totalprice >= 200000",
+    }, prefix=f"v{uuid.uuid4().hex[:12]}_")
+    for name in ("orders", "customer", "nation"):
+        views.add_table(name, table(spark, sf, name))
+    views.build()
+    return views.read("shares")

@@ -11,16 +11,14 @@ import pandas as pd
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml import classification as C
 from pyspark.ml import clustering, regression
-from pyspark.ml.feature import (
-    Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
-)
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.operators.aggregates import mode
 from rillstone.operators.evaluate import regression_metrics
 from rillstone.operators.select import numeric_and_text_columns, split
+from rillstone.operators.transformers import FrequentImputer, MedianImputer, PopulationScaler
 
 # ---------------------------------------------------------------- estimators by name
 
@@ -121,28 +119,16 @@ def random_fourier_features(df: DataFrame, vector: str, dims: int, size: int = 2
 
 # ---------------------------------------------------------------- mixed-type pipeline
 
-def preprocessing(df: DataFrame, numeric: list[str], text: list[str]) -> list:
-    """Stages: fill and scale numbers, fill and one-hot encode texts, assemble.
-
-    The most frequent text is looked up now and stored inside the pipeline.
-    """
+def preprocessing(numeric: list[str], text: list[str]) -> list:
+    """Stages: fill numbers with their median and scale them, fill texts with the most frequent one and one-hot encode them, assemble."""
     stages: list = []
     if numeric:
-        stages += [
-            SQLTransformer(statement="SELECT *, " + ", ".join(f"CAST(`{c}` AS DOUBLE) AS `{c}__d`" for c in numeric) + " FROM __THIS__"),
-            Imputer(strategy="median", inputCols=[f"{c}__d" for c in numeric], outputCols=[f"{c}__f" for c in numeric]),
-            VectorAssembler(inputCols=[f"{c}__f" for c in numeric], outputCol="_numbers"),
-            StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True),
-        ]
-    for c in text:
-        frequent = mode(df, [], c).first()[0]
-        if frequent is None:
-            raise ValueError(f"column {c} holds no value")
-        literal = str(frequent).replace("\\", "\\\\").replace("'", "\\'")
-        stages += [
-            SQLTransformer(statement=f"SELECT *, COALESCE(`{c}`, '{literal}') AS `{c}__t` FROM __THIS__"),
-            StringIndexer(inputCol=f"{c}__t", outputCol=f"{c}__i", handleInvalid="keep", stringOrderType="alphabetAsc"),
-        ]
+        filled, scaled = [f"{c}__f" for c in numeric], [f"{c}__s" for c in numeric]
+        stages += [MedianImputer(inputCols=numeric, outputCols=filled), PopulationScaler(inputCols=filled, outputCols=scaled),
+                   VectorAssembler(inputCols=scaled, outputCol="_scaled")]
+    if text:
+        stages.append(FrequentImputer(inputCols=text, outputCols=[f"{c}__t" for c in text]))
+        stages += [StringIndexer(inputCol=f"{c}__t", outputCol=f"{c}__i", handleInvalid="keep", stringOrderType="alphabetAsc") for c in text]
     if text:
         # the slot StringIndexer keeps for unseen values is the last one, which is dropped: they become zeros
         stages.append(OneHotEncoder(inputCols=[f"{c}__i" for c in text], outputCols=[f"{c}__o" for c in text], dropLast=True))
@@ -152,7 +138,7 @@ def preprocessing(df: DataFrame, numeric: list[str], text: list[str]) -> list:
 
 def fit_mixed(train: DataFrame, name: str, numeric: list[str], text: list[str], label: str, **params) -> PipelineModel:
     """Fit a named estimator on prepared numeric and text columns."""
-    return Pipeline(stages=[*preprocessing(train, numeric, text), ESTIMATORS[name](labelCol=label, **params)]).fit(train)
+    return Pipeline(stages=[*preprocessing(numeric, text), ESTIMATORS[name](labelCol=label, **params)]).fit(train)
 
 
 def train_job(
