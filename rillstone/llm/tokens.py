@@ -197,37 +197,64 @@ def decode(ids: Column | str, ranks: str) -> Column:
     return bytes_of(F.col(ids) if isinstance(ids, str) else ids)
 
 
-def file_words(path: str) -> tuple[Words, tuple[str, ...], Callable[[str], list[int]]]:
-    """Words encoded by a tokenizer file, its special strings, and the encoder of whole texts."""
-    found = worker_cache("file_words")
+# Fixed value: how byte-level tokenizer files cut a text when they give no pattern of their own.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it can be seen, else one from U+0100 on."""
+    seen = [b for b in range(256) if 0x21 <= b <= 0x7E or (b >= 0xA1 and b != 0xAD)]
+    others = [b for b in range(256) if b not in seen]
+    return {chr(b): b for b in seen} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
+def _ranks_of(spec: dict) -> dict[bytes, int] | None:
+    """The ids of a plain byte-level BPE file as ranks, if its merges stand in the order of the ids they make."""
+    model, cut = spec["model"], spec["pre_tokenizer"] or {}
+    plain = model["type"] == "BPE" and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut["add_prefix_space"]
+    extras = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    if not plain or spec["normalizer"] or any(model.get(e) for e in extras):
+        return None
+    made = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
+    vocabulary, letters = model["vocab"], byte_letters()
+    if any(vocabulary.get(t) != len(letters) + k for k, t in enumerate(made)):
+        return None
+    apart = {t["content"] for t in spec["added_tokens"]}
+    words = {t: i for t, i in vocabulary.items() if t not in apart}
+    if len(words) != len(letters) + len(made) or not all(set(t) <= letters.keys() for t in words):
+        return None
+    return {bytes(letters[c] for c in t): i for t, i in words.items()}
+
+
+def file_ids(path: str) -> Callable[[str | None], bytes]:
+    """Packed ids of a whole text by a byte-level tokenizer file.
+
+    Where the file's merges are nothing but ranks, the text goes through the rank
+    encoder, which gives the same ids in a quarter of the time; a text with one of
+    the file's special strings, and any other file, through the tokenizer itself.
+    """
+    found = worker_cache("file_ids")
     if path not in found:
+        import json
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import tiktoken
         from tokenizers import Tokenizer
 
         made = Tokenizer.from_file(path)
-
-        def whole(text: str) -> list[int]:
-            return made.encode(text, add_special_tokens=False).ids
-
+        ranks = _ranks_of(json.loads(made.to_str()))
+        bpe = ranks and tiktoken.Encoding("file", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
         special = tuple(t.content for t in made.get_added_tokens_decoder().values())
-        # byte-level vocabularies write a blank as U+0120
-        leads = _leads((i, t[:1] == "\u0120") for t, i in made.get_vocab().items())
-        found[path] = Words(whole, leads), special, whole
-    return found[path]
-
-
-def file_ids(path: str) -> Callable[[str | None], bytes]:
-    """Packed ids of a whole text by a byte-level tokenizer file; a text with a special string is encoded in one go."""
-    words, special, whole = file_words(path)
+        found[path] = made, bpe, special
+    made, bpe, special = found[path]
 
     def ids(text: str | None) -> bytes:
         if not text:
             return b""
-        if any(s in text for s in special):
-            return array("i", whole(text)).tobytes()
-        return words.ids(text)
+        if bpe is None or any(s in text for s in special):
+            return array("i", made.encode(text, add_special_tokens=False).ids).tobytes()
+        return array("i", bpe.encode_ordinary(text)).tobytes()
 
     return ids
 
