@@ -20,7 +20,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import mixed, utf8
+from rillstone.llm.common import mixed, trim, utf8
+from rillstone.session import stage
 
 # Language families, by the codes of ISO 639-1; any other language is a family of its own.
 FAMILIES = {
@@ -156,7 +157,8 @@ class Model:
         self.weights = np.column_stack([matrix[:-1] * np.float32(SCALE), one[:buckets]])
         self.bias = np.append(matrix[-1], np.float32(0))
 
-    def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Each text's language, how sure that is, and whether it is likely in any language learned."""
         grams = Grams(texts, self.buckets)
         margin = grams.means(self.weights) + self.bias
         column = {n: margin[:, k] for k, n in enumerate(self.names)}
@@ -171,7 +173,7 @@ class Model:
             of_family = np.full((rows, len(self.families)), 30.0)
         language, score = np.full(rows, UNKNOWN, object), np.zeros(rows)
         if not self.families:
-            return language.tolist(), score
+            return language.tolist(), score, np.zeros(rows, bool)
         best = of_family.argmax(1)
         for k, family in enumerate(self.families):
             here = np.flatnonzero(best == k)
@@ -189,9 +191,8 @@ class Model:
         size = np.diff(grams.offsets)
         at = np.log2(np.maximum(size, 1)).astype(int) - LENGTHS[0]
         mark = np.where(at < 0, -np.inf, self.marks[np.clip(at, 0, len(self.marks) - 1)])
-        strange = margin[:, -1] < mark  # too short a text tells too little
-        language[strange], score[strange] = UNKNOWN, 0.0
-        return language.tolist(), score
+        known = margin[:, -1] >= mark  # too short a text tells too little and counts as known
+        return language.tolist(), score, known
 
 
 def machines(languages: list[str]) -> Iterator[str]:
@@ -213,25 +214,32 @@ def fit(
     labelled: DataFrame, text: str = "text", language: str = "lang", key: str = "doc_id",
     sample: int = 200, buckets: int = 1 << 15,
 ) -> Model:
-    """Learn from a bounded sample: the ``sample`` texts of each language with the smallest hash of ``key``.
+    """Learn from a bounded sample: the ``sample`` texts of each language with the smallest hash of ``key`` and text.
 
     Each line of a sampled text is an example. One task trains one machine;
     the driver gets the machines' weights, whose size depends on the labels only.
     """
     rows = labelled.select(F.col(text).alias("text"), F.col(language).alias("language"),
-                           F.xxhash64(F.col(key)).alias("rank"))
+                           F.xxhash64(F.col(key), F.col(text)).alias("rank"))
     rows = rows.filter("text is not null and language is not null").filter(F.col("text").rlike(LETTER))
     counts = {r[0]: r[1] for r in rows.groupBy("language").count().collect()}  # one row per language
     if not counts:
         return Model([], {}, buckets)
-    # the smallest hashes lie under this mark, with plenty to spare
-    mark = F.lit(None).cast("long")
-    for name, n in counts.items():
-        under = min((1 << 63) - 1, -(1 << 63) + (4 * sample << 64) // n)
-        mark = F.when(F.col("language") == name, F.lit(under)).otherwise(mark)
-    near = rows.filter(F.col("rank") <= mark)
-    first = Window.partitionBy("language").orderBy("rank", "text")
-    taken = near.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample)
+    near, spare = None, {name: 4 for name in counts}
+    while True:
+        # the smallest hashes lie under this mark, with plenty to spare, unless many rows are alike
+        mark = F.lit(None).cast("long")
+        for name, n in counts.items():
+            under = min((1 << 63) - 1, -(1 << 63) + (spare[name] * sample << 64) // n)
+            mark = F.when(F.col("language") == name, F.lit(under)).otherwise(mark)
+        under_mark = rows.filter(F.col("rank") <= mark)
+        first = Window.partitionBy("language").orderBy("rank", "text")
+        near = stage(under_mark.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample))
+        got = {r[0]: r[1] for r in near.groupBy("language").count().collect()}
+        short = [name for name, n in counts.items() if got.get(name, 0) < min(sample, n)]
+        if not short:
+            break
+        spare |= {name: 64 * spare[name] for name in short}
     names = list(machines(list(counts)))
     wanted = F.lit(None).cast("array<string>")
     for name in counts:
@@ -251,7 +259,7 @@ def fit(
         weights = train(vectors, np.array([s for _, s in lines]), buckets)
         return pd.DataFrame({"machine": [machine], "weights": [weights.tobytes()]})
 
-    made = taken.withColumn("machine", F.explode(wanted)).groupBy("machine").applyInPandas(
+    made = near.withColumn("machine", F.explode(wanted)).groupBy("machine").applyInPandas(
         learn, "machine string, weights binary").collect()
     return Model(list(counts), {r[0]: np.frombuffer(r[1], np.float32) for r in made}, buckets)
 
@@ -268,29 +276,30 @@ def by_size(texts: pa.Array, most: int) -> Iterator[pa.Array]:
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Add ``lang_pred`` and ``score`` (0 to 1).
+    """Add ``lang_pred``, ``score`` (0 to 1) and ``known``.
 
-    They are ``und`` and 0 where the text is NULL, has no letter or is in none of the languages learned.
-    With nothing learned every text is ``und``. Equal texts get equal answers,
-    whole texts are read, and an empty table gives an empty one.
+    The first two are ``und`` and 0 where the text is NULL or has no letter, and
+    where nothing was learned. ``known`` is false there too, and where the text is
+    not likely in any of the languages learned, whichever of them is nearest.
+    Equal texts get equal answers, whole texts are read, and an empty table gives
+    an empty one.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # its size depends on the labels, not on the rows
 
-    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    @F.arrow_udf("struct<lang_pred: string, score: double, known: boolean>")
     def judge(texts: pa.Array) -> pa.Array:
-        names: list[str] = []
-        scores: list[np.ndarray] = []
+        found = [(pa.array([], pa.string()), pa.array([], pa.float64()), pa.array([], pa.bool_()))]
         for part in by_size(pc.fill_null(texts, ""), 1 << 18):
-            name, score = shared.value.predict(part)
+            name, score, known = shared.value.predict(part)
             lettered = pc.match_substring_regex(part, LETTER).to_numpy(zero_copy_only=False)
-            names += [x if ok else UNKNOWN for x, ok in zip(name, lettered, strict=True)]
-            scores.append(np.where(lettered, score, 0.0))
-        return pa.StructArray.from_arrays(
-            [pa.array(names, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())],
-            ["lang_pred", "score"])
+            found.append((pa.array([x if ok else UNKNOWN for x, ok in zip(name, lettered, strict=True)], pa.string()),
+                          pa.array(np.where(lettered, score, 0.0)), pa.array(known & lettered)))
+        out = [pa.concat_arrays(c) for c in zip(*found, strict=True)]
+        trim()
+        return pa.StructArray.from_arrays(out, ["lang_pred", "score", "known"])
 
     named = docs.withColumn("_judged", judge(F.col(text)))
-    return named.select(*[F.col(f"`{c}`") for c in docs.columns], "_judged.lang_pred", "_judged.score")
+    return named.select(*[F.col(f"`{c}`") for c in docs.columns], "_judged.lang_pred", "_judged.score", "_judged.known")
 
 
 def held_out(key: Column | str, parts: int, rest: int) -> Column:

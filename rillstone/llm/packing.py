@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillstone.llm.common import trim
 from rillstone.llm.tokens import batches, file_ids
 from rillstone.session import stage
 
@@ -125,6 +126,7 @@ def pieces(
                 arrays.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values)))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names)
+            trim()
 
     few = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return few.mapInArrow(cut, schema)

@@ -8,12 +8,13 @@ dictionary holds each distinct phrase once, with its first place in the
 corpus, and the parse is the table of (phrase, document, position).
 
 Strings repeat when their phrases do, or when two distinct phrases with one
-trigger share a part. So the dictionary is ordered by trigger, phrase and
-corpus place; every place of a phrase but the first is a repeat. Dictionary
-phrases that share a trigger and bytes beside it are opened: their suffixes,
-cut to ``length`` bytes, are ordered by content and corpus place in turn, and
-every one but the first of its run is a repeat. This is the order that suffix
-arrays of dictionary and parse give, as far as the first ``length`` bytes.
+trigger share a part. So the dictionary is sorted by trigger, the phrase's hash
+and corpus place; every place of a phrase but the first is a repeat. Dictionary
+phrases that share a trigger and bytes beside it are opened: their suffixes, cut
+to ``length`` bytes, are sorted by hash and corpus place, and every one but the
+first of its run is a repeat. Only equality within ``length`` bytes decides a
+repeat, so these hashes (64 and 96 bits) stand in for the full suffix order of
+dictionary and parse, which is not built.
 
 Documents are read in blocks; phrases are dealt out by trigger as packed
 arrays. Each block keeps the first place of a phrase and marks its own later
@@ -31,21 +32,23 @@ from pyspark.sql import functions as F
 
 from rillstone.llm.common import (
     RollingHash,
-    block_of,
     cut_by,
     flat,
     joined,
     parts_for,
-    text_size,
     thin,
+    trim,
     utf8,
     wide,
 )
+from rillstone.session import stage
 
 TRIGGER = 32
 SLICE = 1 << 20  # bytes hashed at a time
 _PLACE = 24  # bits that hold a place within a slice
 
+_SPLIT = 40  # a place has so many bits; above them stands the split of its document's id
+
 # A place is a byte's number within its block, whose documents stand in corpus order.
 _MARKS = "block int, kind int, place binary, count binary"
 _PHRASES = ("bucket int, kind int, block int, trigger binary, phrase binary, before binary, after binary, "
@@ -65,17 +68,21 @@ def _arrow(columns: dict[str, list], schema: str) -> pa.Table:
 
 
 class Block:
-    """A block's documents in corpus order: by id (NULL last), then text."""
+    """A block's documents in corpus order: by id (NULL last), then split, then text."""
 
     def __init__(self, table: pa.Table):
-        order = pc.sort_indices(table.select(["id", "text"]), sort_keys=[("id", "ascending"), ("text", "ascending")],
-                                null_placement="at_end")
+        order = pc.sort_indices(
+            table.select(["id", "split", "text"]), null_placement="at_end",
+            sort_keys=[("id", "ascending"), ("split", "ascending"), ("text", "ascending")])
         self.table = table.take(order)
+        self.split = flat(self.table["split"]).cast(pa.int64()).to_numpy()
         self.data, self.offsets = utf8(self.table["text"])
         self.ids = pc.fill_null(flat(self.table["id"]).cast(pa.int64()), np.iinfo(np.int64).max).to_numpy()
 
-    def ids_at(self, place: np.ndarray) -> np.ndarray:
-        return self.ids[np.searchsorted(self.offsets, place, side="right") - 1]
+    def ranked(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each place's id, and the place led by its split, so that rows of one id keep their order across blocks."""
+        doc = np.searchsorted(self.offsets, place, side="right") - 1
+        return self.ids[doc], place + (self.split[doc] << _SPLIT)
 
 
 def phrases(data: np.ndarray, offsets: np.ndarray, length: int):
@@ -138,7 +145,7 @@ def _parse(table: pa.Table, length: int, buckets: int) -> pa.Table:
             _add(out, number % buckets, 1, number, place=place[again], count=count[again])
         new = ~again
         deal = (trigger[new] % np.uint64(buckets)).astype(np.int64)
-        columns = [trigger, phrase, before, after, block.ids_at(place), place, count, back]
+        columns = [trigger, phrase, before, after, *block.ranked(place), count, back]
         names = ["trigger", "phrase", "before", "after", "id", "place", "count", "back"]
         for bucket, values in cut_by(deal, [c[new] for c in columns]):
             _add(out, bucket, 0, number, **dict(zip(names, values, strict=True)))
@@ -207,7 +214,7 @@ def _dictionary(table: pa.Table, length: int) -> pa.Table:
 
 def _spots(marks: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Places in the block's bytes, and how many strings begin there in a row."""
-    return wide(marks["place"])[0], joined(marks["count"], np.uint8)[0].astype(np.int64)
+    return wide(marks["place"])[0] & ((1 << _SPLIT) - 1), joined(marks["count"], np.uint8)[0].astype(np.int64)
 
 
 def _runs(keys: np.ndarray, *ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -236,7 +243,7 @@ def _open(docs: pa.Table, marks: pa.Table, length: int, buckets: int) -> pa.Tabl
                 _add(out, number % buckets, 1, number, place=spots[again], count=one[again])
             new = ~again
             deal = keys[new].view(np.uint32)[::3] % np.uint32(buckets)
-            for bucket, (key, ids, place) in cut_by(deal, [keys[new], block.ids_at(spots[new]), spots[new]]):
+            for bucket, (key, ids, place) in cut_by(deal, [keys[new], *block.ranked(spots[new])]):
                 _add(out, bucket, 0, number, string=key, id=ids, place=place)
     return _arrow(out, _STRINGS)
 
@@ -277,6 +284,30 @@ def _cut(docs: pa.Table, marks: pa.Table, length: int) -> pa.Table:
         "n_bytes": np.diff(offsets), "n_removed": removed, "n_spans": spans[offsets[1:]] - spans[offsets[:-1]]})
 
 
+def in_blocks(docs: DataFrame, doc_id: str, text: str, block_bytes: int) -> tuple[DataFrame, int]:
+    """``block, id, split, text, rest``, and how many blocks there are of about ``block_bytes``.
+
+    A block holds whole ids. Of an id (or NULL) whose rows have more bytes than a
+    block, each row goes to one of several splits, which count as parts of the id in
+    order and lie in blocks of their own.
+    """
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (doc_id, text)]
+    rest = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("none"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"), rest.alias("rest"))
+    size = F.coalesce(F.octet_length("text").cast("long"), F.lit(0).cast("long"))
+    sizes = stage(rows.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")))
+    parts = parts_for(docs, sizes.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0], block_bytes)
+    large = stage(sizes.filter((F.col("n") > 1) & (F.col("bytes") > block_bytes)).select(
+        F.col("id").alias("of"), F.ceil(F.col("bytes") / block_bytes).alias("splits")))
+    split = F.lit(0)
+    if not large.isEmpty():
+        rows = rows.withColumn("row", F.monotonically_increasing_id()).join(large, F.col("id").eqNullSafe(F.col("of")), "left")
+        split = F.coalesce(F.pmod(F.xxhash64("text", "row"), F.col("splits")).cast("int"), F.lit(0))
+    rows = rows.select("id", split.alias("split"), "text", "rest")
+    block = F.pmod(F.xxhash64("id", "split"), F.lit(parts)).cast("int")
+    return rows.select(block.alias("block"), "id", "split", "text", "rest"), parts
+
+
 def without_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 100, block_bytes: int = 4 << 20,
 ) -> DataFrame:
@@ -288,29 +319,30 @@ def without_repeats(
     ``n_bytes``, ``n_removed`` and ``n_spans`` (maximal removed runs).
 
     A NULL text is empty. Rows without an id come after all others; rows that
-    repeat an id follow each other in the order of their texts, so of equal
-    rows one stays whole. Texts shorter than ``length`` bytes stay whole, an
+    repeat an id follow each other in the order of their texts (within each split
+    of an id that fills more than a block), so of equal rows one stays whole. Texts shorter than ``length`` bytes stay whole, an
     empty table gives an empty one, and columns of any name may be present.
     ``length`` lies between 64 and 255.
     """
     if not 2 * TRIGGER <= length <= 255:
         raise ValueError("length must lie between 64 and 255")
-    parts = parts_for(docs, text_size(docs, text), block_bytes)
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in (doc_id, text)]
-    rest = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("none"))
-    blocks = docs.select(
-        block_of(F.col(doc_id), parts).alias("block"), F.col(doc_id).cast("long").alias("id"),
-        F.col(text).alias("text"), rest.alias("rest")).repartition(parts, "block")
+    rows, parts = in_blocks(docs, doc_id, text, block_bytes)
+    blocks = rows.repartition(parts, "block")
     # the one exchange of texts serves all three passes over them
-    phrases_ = blocks.groupBy("block").applyInArrow(lambda t: _parse(t, length, parts), _PHRASES)
-    marks = phrases_.groupBy("bucket").applyInArrow(lambda t: _dictionary(t, length), _MARKS)
+    phrases_ = blocks.groupBy("block").applyInArrow(lambda t: _trimmed(_parse(t, length, parts)), _PHRASES)
+    marks = phrases_.groupBy("bucket").applyInArrow(lambda t: _trimmed(_dictionary(t, length)), _MARKS)
     strings = blocks.groupBy("block").cogroup(marks.filter("kind = 2").groupBy("block")).applyInArrow(
-        lambda d, m: _open(d, m, length, parts), _STRINGS)
-    found = strings.groupBy("bucket").applyInArrow(_ordered, _MARKS)
+        lambda d, m: _trimmed(_open(d, m, length, parts)), _STRINGS)
+    found = strings.groupBy("bucket").applyInArrow(lambda t: _trimmed(_ordered(t)), _MARKS)
     repeats = marks.filter("kind = 1").unionByName(found)
     kept = f"id long, rest {rest_type(blocks)}, kept binary, n_bytes long, n_removed long, n_spans long"
     return blocks.groupBy("block").cogroup(repeats.groupBy("block")).applyInArrow(
-        lambda d, m: _cut(d, m, length), kept)
+        lambda d, m: _trimmed(_cut(d, m, length)), kept)
+
+
+def _trimmed(table: pa.Table) -> pa.Table:
+    trim()
+    return table
 
 
 def rest_type(blocks: DataFrame) -> str:

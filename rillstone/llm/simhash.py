@@ -13,13 +13,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import mixed
+from rillstone.llm.common import mixed, trim
 from rillstone.llm.components import components
 from rillstone.session import stage
 
@@ -48,9 +47,12 @@ def fingerprint(text: bytes, width: int, seed: int = 42) -> int:
 def fingerprints(df: DataFrame, text: str = "text", width: int = 4, name: str = "fp") -> DataFrame:
     """Add the fingerprint of each text as a signed long; NULL is the empty text, whose fingerprint is 0."""
 
-    @F.pandas_udf("long")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t.encode() if t else b"", width) for t in texts], dtype="int64")
+    @F.arrow_udf("long")
+    def of(texts: pa.Array) -> pa.Array:
+        # one text at a time as bytes, whatever the batch holds
+        found = pa.array([fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", width) for t in texts], pa.int64())
+        trim()
+        return found
 
     return df.withColumn(name, of(F.col(text)))
 
