@@ -25,8 +25,8 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     out = language.held_out("doc_id", 3, 1)
     model = language.fit(docs.filter(~out & F.col("doc_id").isNotNull()))
     judged = language.predict(docs.select(F.struct("*").alias("row"), "text"), model)
-    known = judged.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= SURE))
-    return known.select("row.*")
+    kept = judged.filter((F.col("lang_pred") != language.UNKNOWN) & F.col("known") & (F.col("score") >= SURE))
+    return kept.select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     @F.arrow_udf("string")
     def readable(kept: pa.Array) -> pa.Array:
-        return pa.array([b.decode("utf-8", "ignore") for b in kept.to_pylist()], pa.string())
+        return pa.array([b.as_buffer().to_pybytes().decode("utf-8", "ignore") for b in kept], pa.string())
 
     found = repeats.without_repeats(docs, length=100)
     found = found.withColumn("text", readable("kept"))
