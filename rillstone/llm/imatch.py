@@ -34,18 +34,18 @@ def in_blocks(docs: DataFrame, doc_id: str, text: str, each: int) -> DataFrame:
 
     The ids' range is cut into 4096 even cells, whose counts are all that the
     driver sees; a cell with many rows is cut further, cells with few share a
-    block. Rows without an id are the last block.
+    block. Rows without an id come last. An id (or NULL) with more rows than a
+    block is cut out of it and parted by the hash of the text, by which its rows
+    are ordered; only rows alike in id and text always stay together.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    low, high, size, count = rows.agg(
+    low, high, size, count, missing = rows.agg(
         F.min("id"), F.max("id"), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)),
-        F.count("id")).first()
-    if low is None:
-        return rows.select(F.lit(1).cast("long").alias("block"), "id", "text")
-    cells = 4096
+        F.count(F.lit(1)), F.count_if(F.col("id").isNull())).first()
+    cells, (low, high) = 4096, (low or 0, high or 0)
     at = (F.col("id").cast("double") - float(low)) * (cells / (float(high) - float(low) + 1))
     cell = F.least(F.floor(at), F.lit(cells - 1)).cast("int")
-    per = max(1, count // parts_for(docs, 2 * size, 2 * each))  # rows of a block
+    per = max(1, count // parts_for(docs, size, each))  # rows of a block
     counts = dict(rows.filter("id is not null").groupBy(cell.alias("cell")).count().collect())  # 4096 rows at most
     first, cut, held, block = [], [], 0, 0
     for k in range(cells):
@@ -65,30 +65,43 @@ def in_blocks(docs: DataFrame, doc_id: str, text: str, each: int) -> DataFrame:
     inside = F.least(F.floor((at - cell) * F.get(array(cut), cell)), F.get(array(cut), cell) - 1)
     number = F.get(array(first), cell) + inside.cast("long")
     number = F.when(F.col("id").isNull(), F.lit(1).cast("long")).otherwise(-number)  # least() skips NULLs
-    return rows.select(number.alias("block"), "id", "text")
-
-
-def with_next(docs: DataFrame, doc_id: str, text: str, each: int = 16 << 20) -> DataFrame:
+    rows = rows.select(number.alias("number"), "id", "text")
+    # ids with more rows than a block: there are fewer of them than blocks
+    large = stage(rows.groupBy("number", "id").count().filter(F.col("count") > per))
+    part, split = F.lit(0), F.lit(0).cast("long")
+    if not large.isEmpty():
+        one = F.struct("id", F.ceil(F.col("count") / per).alias("splits"))
+        large = stage(large.groupBy("number").agg(F.collect_list(one).alias("large")))
+        rows = rows.join(large.withColumnRenamed("number", "of"), F.col("number") == F.col("of"), "left").drop("of")
+        larger = F.coalesce(F.size(F.filter("large", lambda x: x["id"] > F.col("id"))), F.lit(0))
+        mine = F.try_element_at(F.filter("large", lambda x: x["id"].eqNullSafe(F.col("id"))), F.lit(1))["splits"]
+        # falling: what is larger than a large id, the id itself in the order of its hashes, what is smaller
+        part = 2 * larger + mine.isNotNull().cast("int")
+        share = F.xxhash64("text").cast("double") / float(1 << 64) + 0.5
+        split = F.coalesce(F.least(F.floor(share * mine), mine - 1), F.lit(0).cast("long"))
+    return rows.select(F.struct("number", part.alias("part"), split.alias("split")).alias("block"), "id", "text")
+
+
+def with_next(docs: DataFrame, doc_id: str, text: str, each: int = 8 << 20) -> DataFrame:
     """``id, text, next``: each text with the one that follows by falling id; the first follows the last.
 
     Blocks are ordered apart; the one row that a block lacks, the first of the
     following block, is put into it as an edge row. Rows that repeat an id
-    follow each other in the order of their texts.
+    follow each other in the order of their texts' hashes. The blocks' own order is
+    one task's, which gets a row for every ``each`` bytes.
     """
     rows = in_blocks(docs, doc_id, text, each)
-    falling = [F.col("id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
-    # one row per block, so the window's one task has as many rows as there are blocks
-    heads = stage(rows.groupBy("block").agg(F.max("id").alias("head")))
+    order = F.struct(F.col("id").isNull(), -F.col("id").cast("decimal(20,0)"), F.xxhash64("text"), F.col("text"))
+    # of each block the row that comes first
+    heads = stage(rows.groupBy("block").agg(F.min_by("text", order).alias("text")))
     around = Window.orderBy("block")
-    ring = heads.select("block", "head", F.lag("block").over(around).alias("before"))
+    ring = heads.select("block", F.lag("block").over(around).alias("before"))
     last = heads.agg(F.max("block").alias("last"))
-    ring = stage(ring.join(last, F.lit(True), "left").select(
-        F.col("block").alias("of"), "head", F.coalesce("before", "last").alias("block")))
-    edge = rows.withColumnRenamed("block", "of").join(ring, "of").filter(F.col("id").eqNullSafe(F.col("head")))
-    # of rows that share the head's id the first by text
-    edge = edge.groupBy("block").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
-    both = rows.withColumn("edge", F.lit(0)).unionByName(
-        edge.select("block", F.lit(None).cast("long").alias("id"), "text", F.lit(1).alias("edge")))
+    ring = ring.join(last, F.lit(True), "left").select(F.col("block").alias("of"), F.coalesce("before", "last").alias("block"))
+    edge = heads.withColumnRenamed("block", "of").join(stage(ring), "of").select(
+        "block", F.lit(None).cast("long").alias("id"), "text", F.lit(1).alias("edge"))
+    both = rows.withColumn("edge", F.lit(0)).unionByName(edge)
+    falling = [F.col("id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
     order = Window.partitionBy("block").orderBy(F.col("edge"), *falling)
     following = both.withColumn("next", F.lead("text").over(order))
     return following.filter("edge = 0").select("id", "text", "next")
@@ -145,6 +158,15 @@ def with_kept(rows: DataFrame, known: DataFrame, own: tuple[str, ...], which: tu
     return found.select(*[f"row.{c}" for c in rest], *which)
 
 
+def with_kept_at_hand(rows: DataFrame, terms_held: list[int], own: tuple[str, ...], which: tuple[str, ...]) -> DataFrame:
+    """The same for a lexicon that is small enough to be part of the plan: no term leaves its row."""
+    rows = rows.select(*own, *[F.substring(F.sha2(c, 256), 1, 16).alias(f"{c}_whole") for c in which], *[terms(F.col(c)).alias(c) for c in which])
+    held = F.expr(f"filter(all_terms, t -> t in ({', '.join(f'{t}L' for t in terms_held)}))") if terms_held else F.lit(None)
+    rows = rows.select("*", F.array_distinct(F.concat(*which)).alias("all_terms"))
+    rows = rows.select("*", F.coalesce(held, F.array().cast("array<bigint>")).alias("held"))
+    return rows.select(*own, *[f"{c}_whole" for c in which], *[F.array_intersect(c, "held").alias(c) for c in which])
+
+
 def level(found: Column, wanted: int) -> Column:
     """How often parts are halved for a text with so many terms."""
     return F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(F.size(found), F.lit(1)) / F.lit(wanted)))).cast("int")
@@ -181,21 +203,27 @@ def likeness(a: Column, b: Column) -> Column:
 
 def compare(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", low: float = 0.002, high: float = 0.15,
-    wanted: int = 24,
+    wanted: int = 24, inline: int = 100_000,
 ) -> DataFrame:
     """Fingerprint each text, its edited form and the text that follows by falling id.
 
     Returns ``id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next``. A NULL text is empty. Rows without an id come
     last; a single document follows itself; an empty table gives an empty one;
-    other columns are not looked at.
+    other columns are not looked at. A lexicon of up to ``inline`` terms is looked
+    up in the row itself, a larger one by a join with all terms.
     """
     known = lexicon(docs, text, low, high)
     rows = with_next(docs, doc_id, text).withColumn("edited", edited(F.col("text"), F.col("next")))
     which = ("text", "edited", "next")
     own = ("id", "n_chars", "edited_sha256")
     rows = rows.withColumns({"n_chars": F.length("text").cast("long"), "edited_sha256": F.sha2("edited", 256)})
-    rows = with_kept(rows, known, own, which)
+    # a lexicon has at most 1 / low times as many terms as a document has on average, however many documents there are
+    small = known.limit(inline + 1).collect()
+    if len(small) <= inline:
+        rows = with_kept_at_hand(rows, sorted(r[0] for r in small), own, which)
+    else:
+        rows = with_kept(rows, known, own, which)
     # a step at a time: an expression used twice in one step would be computed twice
     rows = rows.select("*", *[level(F.col(c), wanted).alias(f"{c}_level") for c in which])
     rows = rows.select(*own, *[f"{c}_{x}" for c in which for x in ("whole", "level")], *[
