@@ -23,11 +23,14 @@ from rillstone.llm.components import components
 from rillstone.session import stage
 
 
+WANTED, ATTEMPTS = 0.95, 3  # a search whose audit finds less is repeated wider, so many times in all
+
+
 class Settings(NamedTuple):
     """Sizes of the index; all but ``threshold`` change speed and recall only."""
 
     threshold: float = 0.93
-    centres: int = 1024  # at most so many, from a sample of as many vectors
+    centres: int = 8192  # at most so many, from a sample of as many vectors
     per_centre: int = 512  # vectors for each centre until that bound is met
     overlap: int = 2  # shards of a vector
     shard: int = 2048  # vectors of a shard; larger ones are split
@@ -37,6 +40,7 @@ class Settings(NamedTuple):
     slack: float = 1.2  # a neighbour goes if a kept one is nearer to it by this factor
     beam: int = 32
     margin: float = 0.05  # range search goes on through vectors this far out of range
+    reach: float = 2.0  # shards are searched whose centre is so many deviations less alike than the nearest one
 
 
 def usable(vector: Column) -> Column:
@@ -56,31 +60,49 @@ def choose_centres(nodes: DataFrame, s: Settings) -> dict[str, tuple[np.ndarray,
     """For each group: numbers and vectors of centres, from a bounded sample; none within range of another."""
     wanted = min(s.centres, -(-nodes.count() // s.per_centre))
     sample = nodes.orderBy(F.xxhash64("node"), "node").limit(wanted).select("group", "vector").collect()
-    out: dict[str, tuple[list, list]] = {}
-    for number, (group, vector) in enumerate(sample):
-        numbers, vectors = out.setdefault(group, ([], []))
-        one = _matrix([vector])[0]
-        if not vectors or (np.array(vectors) @ one).max() < s.threshold:
-            numbers.append(number)
-            vectors.append(one)
-    return {g: (np.array(n), np.array(v)) for g, (n, v) in out.items()}
+    places: dict[str, list[int]] = {}
+    for number, (group, _) in enumerate(sample):
+        places.setdefault(group, []).append(number)
+    out = {}
+    for group, numbers in places.items():
+        vectors, kept = _matrix([sample[k][1] for k in numbers]), []
+        for k, one in enumerate(vectors):
+            if not kept or (vectors[kept] @ one).max() < s.threshold:
+                kept.append(k)
+        out[group] = (np.array(numbers)[kept], vectors[kept])
+    return out
 
 
 def assign(nodes: DataFrame, centres: dict[str, tuple[np.ndarray, np.ndarray]], s: Settings) -> DataFrame:
-    """Add ``cells``: the nearest centres, nearest first; a group without a centre is one cell."""
+    """Add ``cells``, the nearest centres, and ``visits``, those in which a vector in range may lie, nearest first.
 
-    @F.pandas_udf("array<int>")
-    def nearest(group: pd.Series, vector: pd.Series) -> pd.Series:
-        out = pd.Series([[-1]] * len(group), dtype=object)
-        for name, places in pd.Series(np.arange(len(group))).groupby(group.to_numpy()):
-            if name in centres:
-                numbers, vectors = centres[name]
-                near = np.argsort(-(_matrix(vector.iloc[places]) @ vectors.T), axis=1, kind="stable")[:, : s.overlap]
-                for at, cells in zip(places, numbers[near].tolist(), strict=True):
-                    out.iat[at] = cells
-        return out
+    Two vectors in range lie ``sqrt(2 - 2 threshold)`` apart at most. Seen along the
+    line between two centres, of all directions, that makes a small difference with a
+    deviation of so much over the root of the dimensions: a centre that is less alike
+    by several of these is hardly the other one's nearest. A group without a centre is
+    one cell.
+    """
 
-    return nodes.withColumn("cells", nearest("group", "vector"))
+    @F.pandas_udf("struct<cells: array<int>, visits: array<int>>")
+    def nearest(group: pd.Series, vector: pd.Series) -> pd.DataFrame:
+        cells = pd.Series([[-1]] * len(group), dtype=object)
+        visits = cells.copy()
+        for name, places in pd.Series(np.arange(len(group))).groupby(group.to_numpy()):
+            if name not in centres:
+                continue
+            numbers, vectors = centres[name]
+            for a in range(0, len(places), 512):
+                some = places.iloc[a : a + 512]
+                alike = _matrix(vector.iloc[some]) @ vectors.T
+                order = np.argsort(-alike, axis=1, kind="stable")
+                ranked = np.take_along_axis(alike, order, 1)
+                apart = np.sqrt(2 * (2 - 2 * s.threshold) / vectors.shape[1])  # centres are about sqrt(2) apart
+                many = np.maximum((ranked >= ranked[:, :1] - s.reach * apart).sum(1), s.overlap)
+                for at, row, n in zip(some, numbers[order].tolist(), many.tolist(), strict=True):
+                    cells.iat[at], visits.iat[at] = row[: s.overlap], row[:n]
+        return pd.DataFrame({"cells": cells, "visits": visits})
+
+    return nodes.withColumn("_near", nearest("group", "vector")).select("*", "_near.cells", "_near.visits").drop("_near")
 
 
 def prune(vectors: np.ndarray, s: Settings) -> list[np.ndarray]:
@@ -197,10 +219,10 @@ def _search(table: pa.Table, s: Settings) -> pa.Table:
         own = own if own < len(region.node) and region.node[own] == node else -1
         found = region.search(queries[k], own)
         found = found[region.node[found] != node]
-        if asks:  # not the first cell asked: what an earlier one holds is counted there
-            earlier = set(mine[:asks])
-            found = np.array([f for f in found if not earlier & cells[f]], np.int64)
         counts[k] = copies[found].sum()
+        if asks and len(found):  # not the first cell asked: what an earlier one holds is counted there
+            earlier = set(mine[:asks])
+            counts[k] = copies[[f for f in found if not earlier & cells[f]]].sum()
         if len(found):
             group = np.unique(top(np.r_[np.searchsorted(nodes, node), at[found]]))
             root[group] = group[0]
@@ -228,22 +250,25 @@ def build_and_search(nodes: DataFrame, s: Settings) -> DataFrame:
     united = stage(graphs.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("beside"))).alias("beside")))
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     there = members.join(united, "node").withColumns({"asks": F.lit(-1), "from": every})
-    queries = placed.select("*", F.posexplode("cells").alias("asks", "cell")).join(sizes, ["group", "cell"])
+    queries = placed.select("*", F.posexplode("visits").alias("asks", "cell")).join(sizes, ["group", "cell"])
     queries = queries.withColumns({
         "beside": F.array().cast("array<bigint>"), "from": F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"),
-        "part": every})
+        "part": every, "cells": F.col("visits")})
     columns = ["group", "cell", "from", "part", "asks", "node", "vector", "copies", "cells", "beside"]
     both = there.select(*columns).unionByName(queries.select(*columns))
     return both.groupBy("group", "cell", "from", "part").applyInArrow(
         lambda t: _search(t, s), "node long, links long, u long, v long")
 
 
-def audit(nodes: DataFrame, links: DataFrame, s: Settings, sample: int = 200) -> float:
+def audit(nodes: DataFrame, links: DataFrame, s: Settings, sample: int = 400) -> float | None:
     """Recall: links found over links that comparison with every vector finds, for a bounded sample of vectors.
 
-    1 where the sample has no link.
+    Half of the sample are any vectors, half are such that have links. None where no vector of the sample has one.
     """
-    some = nodes.orderBy(F.xxhash64("node", F.lit(3)), "node").limit(sample).select("group", "node", "vector").collect()
+    few = [F.xxhash64("node", F.lit(3)), F.col("node")]
+    linked = nodes.join(links.filter("links > 0").select("node"), "node", "left_semi")
+    some = {r["node"]: r for rows in (nodes, linked)
+            for r in rows.orderBy(*few).limit(sample // 2).select("group", "node", "vector").collect()}.values()
     groups: dict[str, tuple[list, list]] = {}
     for group, node, vector in some:
         nodes_, vectors = groups.setdefault(group, ([], []))
@@ -265,7 +290,7 @@ def audit(nodes: DataFrame, links: DataFrame, s: Settings, sample: int = 200) ->
     true = nodes.agg(F.sum(true_links("group", "node", "vector", "copies"))).first()[0] or 0
     ids = [r["node"] for r in some]
     found = links.filter(F.col("node").isin(ids)).agg(F.sum("links")).first()[0] or 0 if ids else 0
-    return min(1.0, found / true) if true else 1.0
+    return min(1.0, found / true) if true else None
 
 
 def near_duplicates(
@@ -274,6 +299,10 @@ def near_duplicates(
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept, recall`` for each row; only vectors of one label are compared.
 
+    ``recall`` is the audit's; a search that misses ``WANTED`` is repeated with more
+    shards for each vector, a wider beam and more shards visited. A link joins both its
+    ends when one of them finds it; ``n_links`` counts what the vector's own search finds.
+
     A vector that is NULL, zero, or holds a NULL or non-finite component, and
     one with a NULL label, links with nothing, nor do vectors of different
     length. Equal vectors of a label are one node with a number of copies.
@@ -289,9 +318,13 @@ def near_duplicates(
     linking = rows.filter("group is not null")
     nodes = stage(linking.groupBy("group", "vector").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
                   .withColumn("node", F.monotonically_increasing_id()))
-    found = stage(build_and_search(nodes, settings))
-    counted = stage(found.filter("node is not null").groupBy("node").agg(F.sum("links").alias("links")))
-    recall = audit(nodes, counted, settings)
+    for _ in range(ATTEMPTS):
+        found = stage(build_and_search(nodes, settings))
+        counted = stage(found.filter("node is not null").groupBy("node").agg(F.sum("links").alias("links")))
+        recall = audit(nodes, counted, settings)
+        if recall is None or recall >= WANTED:
+            break
+        settings = settings._replace(reach=settings.reach + 1, beam=2 * settings.beam, overlap=settings.overlap + 1)
     roots = components(found.filter("u is not null").select("u", "v"))
     placed = nodes.join(counted, "node", "left").join(roots, "node", "left").withColumns({
         "root": F.coalesce("root", "node"), "n_links": F.coalesce("links", F.lit(0)) + F.col("copies") - 1})
@@ -303,4 +336,4 @@ def near_duplicates(
                                             F.col("vec_id").alias("component_id")))
     return out.select("vec_id", "n_links", "component_id",
                       F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"),
-                      F.lit(recall).alias("recall"))
+                      F.lit(recall).cast("double").alias("recall"))
