@@ -7,6 +7,10 @@ only to cells that can still hold a neighbour (Lu, Shen, Chen, Ooi: Efficient
 Processing of k Nearest Neighbor Joins using MapReduce, PVLDB 5(10), 2012).
 Inside a cell both sides are cut into chunks of a fixed size, so a crowded cell
 becomes many tasks, and every chunk returns at most k candidates per test row.
+
+Within a chunk vectors are turned to the principal axes of a sample. Distances on
+the leading axes bound the whole ones from below, so that most training rows are
+dismissed after a few coordinates; what is left is measured in full.
 """
 
 from __future__ import annotations
@@ -40,15 +44,48 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _closest(distances: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) of the k smallest entries per row, columns deciding ties."""
-    k = min(k, distances.shape[1])
-    limit = np.partition(distances, k - 1, axis=1)[:, k - 1:k]
-    rows, cols = np.nonzero(distances <= limit)
-    order = np.lexsort((cols, distances[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    rank = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
-    return rows[rank < k], cols[rank < k]
+def principal_axes(vectors: np.ndarray) -> np.ndarray:
+    """An orthonormal basis, the directions in which the vectors differ most first."""
+    centred = vectors - vectors.mean(axis=0)
+    _, axes = np.linalg.eigh(centred.T @ centred)
+    return axes[:, ::-1]
+
+
+def closest_pruned(a: np.ndarray, b: np.ndarray, k: int, axes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(row, column, distance) of the k closest columns per row, columns deciding ties, and how many distances were measured in full."""
+    dims = a.shape[1]
+    some, more = max(1, dims // 8), max(1, dims // 2)
+    k = min(k, len(b))
+    turned_a, turned_b = a @ axes, b @ axes
+    # room for what the products lose in the last digits
+    slack = 1e-12 * dims * (np.square(a).sum(axis=1).max(initial=0) + np.square(b).sum(axis=1).max(initial=0))
+    found, full = [], 0
+    step = max(1, _PIECE // len(b))
+    for start in range(0, len(a), step):
+        here, lead = a[start:start + step], turned_a[start:start + step]
+        part = (np.square(lead[:, :some]).sum(axis=1)[:, None] + np.square(turned_b[:, :some]).sum(axis=1)
+                - 2 * (lead[:, :some] @ turned_b[:, :some].T))
+        # the whole distances of the k that look closest bound the k-th closest from above
+        look = np.argpartition(part, k - 1, axis=1)[:, :k]
+        bound = np.square(here[:, None, :] - b[look]).sum(axis=2).max(axis=1) * (1 + 1e-9) + slack
+        rows, cols = np.nonzero(part <= bound[:, None])
+        full += look.size
+        kept = [(rows[:0], cols[:0], np.zeros(0))]
+        for at in range(0, len(rows), max(1, _PIECE // dims)):
+            r, c = rows[at:at + _PIECE // dims], cols[at:at + _PIECE // dims]
+            longer = part[r, c] + np.square(lead[r, some:more] - turned_b[c, some:more]).sum(axis=1)
+            near = longer <= bound[r]
+            r, c = r[near], c[near]
+            diff = here[r] - b[c]
+            kept.append((r, c, np.sqrt((diff * diff).sum(axis=1))))
+            full += len(r)
+        rows, cols, apart = (np.concatenate(x) for x in zip(*kept, strict=True))
+        order = np.lexsort((cols, apart, rows))
+        rows, cols, apart = rows[order], cols[order], apart[order]
+        first = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
+        found.append((rows[first] + start, cols[first], apart[first]))
+    rows, cols, apart = (np.concatenate(x) for x in zip(*found, strict=True))
+    return rows, cols, apart, full
 
 
 def _walk(centres: np.ndarray) -> list[int]:
@@ -75,8 +112,9 @@ def nearest(
     spark = train.sparkSession
     key_type, label_type = train.schema[key].dataType, train.schema[label].dataType
     pivots = pivots or min(max(math.ceil(train.count() / chunk_rows), 32), 4096)
-    centres = _matrix(pd.Series([
-        r[0] for r in train.orderBy(uniform("pivot", key), key).limit(pivots).select(vector).collect()]))
+    drawn = train.orderBy(uniform("pivot", key), key).limit(max(pivots, 1024)).select(vector).collect()
+    sample = _matrix(pd.Series([r[0] for r in drawn]))
+    centres, axes = sample[:pivots], principal_axes(sample)
 
     # ---- cells of the training set
     def to_cells(batches):
@@ -149,16 +187,10 @@ def nearest(
         if not len(left) or not len(right):
             return pd.DataFrame({f.name: [] for f in out_schema})
         right = right.sort_values("n_key", ignore_index=True)
-        b, found = _matrix(right["vec"]), []
-        step = max(1, _PIECE // len(right))
-        for start in range(0, len(left), step):
-            part = left.iloc[start:start + step]
-            d = _distances(_matrix(part["vec"]), b)
-            rows, cols = _closest(d, k)
-            found.append(pd.DataFrame({
-                "q_key": part["q_key"].to_numpy()[rows], "n_key": right["n_key"].to_numpy()[cols],
-                "n_label": right["n_label"].to_numpy()[cols], "distance": d[rows, cols]}))
-        return pd.concat(found, ignore_index=True)
+        rows, cols, apart, _ = closest_pruned(_matrix(left["vec"]), _matrix(right["vec"]), k, axes)
+        return pd.DataFrame({
+            "q_key": left["q_key"].to_numpy()[rows], "n_key": right["n_key"].to_numpy()[cols],
+            "n_label": right["n_label"].to_numpy()[cols], "distance": apart})
 
     group = ["cell", "chunk", "block", "share"]
     found = visits.groupBy(*group).cogroup(copies.groupBy(*group)).applyInPandas(candidates, out_schema)
