@@ -147,7 +147,9 @@ def fit(
     """
     from rillstone.session import stage
 
-    labelled = _described(pages.select(F.col(f"`{url}`").alias("url")), "url", rules).filter("_label is not null")
+    # a URL that many rows repeat counts once; copies are combined before the shuffle
+    urls = pages.select(F.col(f"`{url}`").alias("url")).distinct()
+    labelled = _described(urls, "url", rules).filter("_label is not null")
     labelled = stage(labelled.drop("_row").withColumn("_block", (F.col("_label") == BLOCK).cast("double")))
     total, blocked = labelled.agg(F.count(F.lit(1)), F.coalesce(F.sum("_block"), F.lit(0.0))).first()
     if not total or blocked in (0, total):
