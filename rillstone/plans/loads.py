@@ -154,7 +154,7 @@ def build(spark: SparkSession, landing: str, warehouse: str, blocks: int | None
     loaded = spark.read.parquet(manifest) if exists(spark, manifest) else None
     fresh = files.new_files(spark, landing, loaded)
     if fresh is not None:
-        docs = files.documents_of(spark, landing, fresh, loaded)
+        docs = files.documents_of(spark, fresh, loaded)
         if docs is not None:
             load(spark, aq.flatten_documents(docs), warehouse, blocks=blocks)
         write_table(fresh, manifest, "append")

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+import urllib.parse
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,52 +37,63 @@ def _binary(spark: SparkSession, path: str) -> DataFrame:
     return files.withColumn("_uri", F.col("_metadata.file_path"))
 
 
+def literal_path(uri: str) -> str:
+    """A file's URI as a path that readers take as it is, whatever signs its name holds."""
+    path = urllib.parse.unquote(uri)
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def read_named(uris: DataFrame, read: Callable[[list[str]], DataFrame], each: int = 5000) -> DataFrame | None:
+    """What ``read`` makes of the files that ``_uri`` names, and of no others; None without any.
+
+    The names reach the driver ``each`` at a time, and each lot's result is stored
+    before the next one is read.
+    """
+    parts, lot = [], []
+    for row in uris.select("_uri").toLocalIterator():
+        lot.append(literal_path(row["_uri"]))
+        if len(lot) == each:
+            parts.append(stage(read(lot)))
+            lot = []
+    if lot:
+        parts.append(stage(read(lot)))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 def new_files(spark: SparkSession, path: str, manifest: DataFrame | None = None) -> DataFrame | None:
     """Files the manifest does not hold in their present state, with content MD5; None when there are none.
 
-    A file is known by its place, time and size. Contents are read only of files
-    at least as recent as the oldest new one: the scan skips the others unopened.
-    The result has the columns of a manifest and is appended to it after the load.
+    A file is known by its place, time and size. Listing opens no file, and only new
+    ones are opened for their contents, however old they are. The result has the
+    columns of a manifest and is appended to it after the load.
     """
     state = ["_uri", "modificationTime", "length"]
     listed = _binary(spark, path).select(*state)
     if manifest is not None:
         listed = listed.join(manifest.select(*state), state, "left_anti")
-    listed = stage(listed)
-    oldest = listed.agg(F.min("modificationTime")).first()[0]
-    if oldest is None:
-        return None
-    recent = _binary(spark, path).filter(F.col("modificationTime") >= F.lit(oldest))
-    return stage(listed.join(recent.select("_uri", F.md5("content").alias("_stg_file_md5")), "_uri"))
+    return read_named(stage(listed), lambda paths: spark.read.format("binaryFile").load(paths).select(
+        F.col("_metadata.file_path").alias("_uri"), "modificationTime", "length", F.md5("content").alias("_stg_file_md5")))
 
 
-def documents_of(spark: SparkSession, path: str, fresh: DataFrame, loaded: DataFrame | None = None) -> DataFrame | None:
+def documents_of(spark: SparkSession, fresh: DataFrame, loaded: DataFrame | None = None) -> DataFrame | None:
     """Documents of new files with their provenance; None when all contents were loaded before.
 
-    Of equal files only the first path is read. No list of paths passes through the driver's code.
+    Of equal files only the first path is read; no other file is opened.
     """
     unseen = fresh
     if loaded is not None:
         unseen = unseen.join(loaded.select("_stg_file_md5").distinct(), "_stg_file_md5", "left_anti")
-    unseen = stage(unseen.groupBy("_stg_file_md5").agg(
-        F.min("_uri").alias("_uri"), F.min("modificationTime").alias("_time")))
-    # the option takes whole seconds and leaves out the named one
-    since = unseen.agg(F.date_format(F.min("_time") - F.expr("interval 1 second"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
-    if since is None:
-        return None
-    docs = spark.read.schema(DOCUMENT_SCHEMA).options(
-        multiLine=True, modifiedAfter=since, recursiveFileLookup=True).json(path)
-    tagged = docs.select(
+    unseen = stage(unseen.groupBy("_stg_file_md5").agg(F.min("_uri").alias("_uri")))
+    docs = read_named(unseen, lambda paths: spark.read.schema(DOCUMENT_SCHEMA).options(multiLine=True).json(paths).select(
         "records", F.col("_metadata.file_path").alias("_uri"), F.col("_metadata.file_name").alias("_stg_file_name"),
-        F.col("_metadata.file_modification_time").alias("_stg_file_load_ts"))
-    sums = unseen.select("_uri", "_stg_file_md5")
-    return tagged.join(sums, "_uri").drop("_uri").withColumn("_copy_data_ts", F.current_timestamp())
+        F.col("_metadata.file_modification_time").alias("_stg_file_load_ts")))
+    return None if docs is None else docs.join(unseen, "_uri").drop("_uri").withColumn("_copy_data_ts", F.current_timestamp())
 
 
 def read_documents(spark: SparkSession, path: str, loaded: DataFrame | None = None) -> DataFrame | None:
     """Documents whose content is not among the ``_stg_file_md5`` of ``loaded``; None when there are none."""
     fresh = new_files(spark, path)
-    return None if fresh is None else documents_of(spark, path, fresh, loaded)
+    return None if fresh is None else documents_of(spark, fresh, loaded)
 
 
 # ---------------------------------------------------------------- delimited text

@@ -3,6 +3,7 @@
 import datetime as dt
 import gzip
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -180,11 +181,44 @@ def test_loaded_files_are_not_opened_again(spark, inbox, tmp_path):
     assert first.count() == 1 and files.new_files(spark, str(inbox), first) is None
     shutil.copy(inbox / "one.json.gz", inbox / "again.json.gz")
     second = files.new_files(spark, str(inbox), first)
-    assert second.count() == 1 and files.documents_of(spark, str(inbox), second, first) is None
+    assert second.count() == 1 and files.documents_of(spark, second, first) is None
     text = files.new_files(spark, str(inbox), first)._jdf.queryExecution().toString()
     assert "content" not in text  # what is handed on is a stored table, not a scan of the files
 
 
+def test_only_new_files_are_opened(spark, inbox, monkeypatch):
+    known = files.new_files(spark, str(inbox))
+    write_document(inbox / "back-dated", [reading("S9", "01-07-2020 12:00:00", "SO2", "7")])
+    os.utime(inbox / "back-dated.json.gz", (10**9, 10**9))  # older than all that is known
+    before = os.stat(inbox / "one.json.gz")
+    with open(inbox / "one.json.gz", "wb") as f:  # a known file that nobody can read any more
+        f.write(b"?" * before.st_size)
+    os.utime(inbox / "one.json.gz", ns=(before.st_atime_ns, before.st_mtime_ns))
+    opened = []
+    original = files.literal_path
+    monkeypatch.setattr(files, "literal_path", lambda uri: opened.append(uri.rsplit("/", 1)[1]) or original(uri))
+    fresh = files.new_files(spark, str(inbox), known)
+    rows = aq.flatten_documents(files.documents_of(spark, fresh, known))
+    assert [r["station"] for r in rows.collect()] == ["S9"]
+    assert opened == ["back-dated.json.gz"] * 2  # once for its contents, once to be parsed
+
+
+def test_file_names_are_taken_as_they_are(spark, tmp_path):
+    for k, name in enumerate(["a b", "c*d", "e[f]g", "h{i,j}k", "100% l", "m?n", "é"]):
+        write_document(tmp_path / name, [reading(f"S{k}", "01-07-2025 12:00:00", "SO2", "7")], zipped=False)
+    rows = aq.flatten_documents(files.read_documents(spark, str(tmp_path)))
+    assert sorted(r["station"] for r in rows.collect()) == [f"S{k}" for k in range(7)]
+
+
+def test_many_files_are_read_in_lots(spark, tmp_path):
+    for k in range(7):
+        write_document(tmp_path / f"f{k}", [reading(f"S{k}", "01-07-2025 12:00:00", "SO2", "7")], zipped=False)
+    uris, lots = files._binary(spark, str(tmp_path)).select("_uri"), []
+    got = files.read_named(uris, lambda paths: lots.append(len(paths)) or spark.read.format("binaryFile").load(paths).select("length"), each=3)
+    assert got.count() == 7 and lots == [3, 3, 1]
+    assert files.read_named(uris.limit(0), None) is None
+
+
 def test_chart_tables(spark):
     mart = spark.createDataFrame(
         [("Delhi", 2024, 1, 100.0, 10.0, None, "Satisfactory"), ("Delhi", 2024, 2, 150.0, 30.0, 5.0, "Moderate"),
