@@ -149,10 +149,10 @@ def _held_out_lines(rule):
 
 
 def _line_predictions(spark, sf, name, rule, **params):
-    """Predictions for held-out lines of a model that has to learn ``rule``."""
+    """Predictions for held-out lines of a tree model that has to learn ``rule``."""
     lines = table(spark, sf, "lineitem").select(*LINE_KEYS, "l_discount", "l_tax", F.expr(rule).alias("label"))
     parts = split(lines, TWO, ["l_orderkey"], seed=101)
-    model = md.fit(parts["train"], name, CODES, "label", **params)
+    model = md.fit_trees(parts["train"], name, CODES, "label", **params)
     return md.predict(model, parts["test"]).select(*LINE_KEYS, "label", F.col("prediction").cast("int").alias("prediction"))
 
 
@@ -312,7 +312,7 @@ _MAIN = " union all ".join(
 def feature_importance(spark, sf):
     """Which feature carries over half of the importance, for a label that depends on one of them."""
     rows = table(spark, sf, "lineitem").select(*LINE_FEATURES, (F.col("l_discount") >= 0.055).cast("int").alias("reduced"))
-    model = md.fit(rows, "random_forest", LINE_FEATURES, "reduced", numTrees=100)
+    model = md.fit_trees(rows, "random_forest", LINE_FEATURES, "reduced", numTrees=100)
     return md.feature_importance(spark, model, LINE_FEATURES).select("feature", (F.col("importance") > 0.5).alias("main"))
 
 

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml import classification as C
 from pyspark.ml import clustering, regression
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, QuantileDiscretizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from rillstone.operators.evaluate import regression_metrics
 from rillstone.operators.select import numeric_and_text_columns, split
 from rillstone.operators.transformers import FrequentImputer, MedianImputer, PopulationScaler
+from rillstone.session import stage
 
 # ---------------------------------------------------------------- estimators by name
 
@@ -31,9 +32,10 @@ ESTIMATORS: dict[str, Callable[..., Estimator]] = {
     "gradient_boosting": lambda **kw: C.GBTClassifier(**{"seed": 42, **kw}),
     "linear_svm": C.LinearSVC,
     # for more than two classes: one model per class against the rest
-    "gradient_boosting_classes": lambda labelCol="label", **kw: C.OneVsRest(
-        labelCol=labelCol, classifier=C.GBTClassifier(**{"seed": 42, **kw})),
-    "linear_svm_classes": lambda labelCol="label", **kw: C.OneVsRest(labelCol=labelCol, classifier=C.LinearSVC(**kw)),
+    "gradient_boosting_classes": lambda labelCol="label", weightCol=None, **kw: C.OneVsRest(
+        labelCol=labelCol, weightCol=weightCol, classifier=C.GBTClassifier(**{"seed": 42, **kw})),
+    "linear_svm_classes": lambda labelCol="label", weightCol=None, **kw: C.OneVsRest(
+        labelCol=labelCol, weightCol=weightCol, classifier=C.LinearSVC(**kw)),
     "k_means": lambda **kw: clustering.KMeans(**{"k": 2, "seed": 42, **kw}),
 }
 
@@ -50,6 +52,52 @@ def fit(train: DataFrame, name: str, features: list[str], label: str | None = No
     return Pipeline(stages=[assembler(features, invalid), ESTIMATORS[name](**params)]).fit(train)
 
 
+# ---------------------------------------------------------------- trees over counted cells
+
+_BINS = 32  # the bins per feature that Spark's trees work with
+_DISTINCT = 64  # a feature of this many values or fewer keeps them
+_DRAWN = 250_000  # pieces a forest draws its samples from, at least where there are as many rows
+
+
+def counted(rows: DataFrame, weight: str = "_weight") -> DataFrame:
+    """Distinct rows with their number."""
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).cast("double").alias(weight))
+
+
+def in_pieces(cells: DataFrame, weight: str = "_weight", pieces: int = _DRAWN) -> DataFrame:
+    """Counted rows parted into pieces of equal weight, single rows while there are no more than ``pieces``.
+
+    A bootstrap draws pieces, so that also a cell of many rows is drawn often or seldom.
+    """
+    total = cells.agg(F.sum(weight)).first()[0] or 0.0
+    size = max(1.0, total / pieces)
+    parts = F.ceil(F.col(weight) / size).cast("int")
+    cut = cells.withColumn("_part", F.explode(F.sequence(F.lit(1), parts)))
+    return cut.withColumn(weight, F.col(weight) / parts).drop("_part")
+
+
+def fit_trees(train: DataFrame, name: str, features: list[str], label: str, **params) -> PipelineModel:
+    """Fit a named tree model on counted cells of its features' bins in place of single rows.
+
+    Trees see a feature through at most 32 bins, so the number of rows per bins
+    and label holds all they use. A feature of more than 64 values is cut at its
+    quantiles first; the cut is part of the model. What is fitted on is then
+    limited by the bins, however many rows there are.
+    """
+    many = train.agg(*[F.approx_count_distinct(c).alias(c) for c in features]).first()
+    wide = [c for c in features if many[c] > _DISTINCT]
+    stages, used = [], [f"{c}__bin" if c in wide else c for c in features]
+    for c in wide:
+        stages.append(QuantileDiscretizer(inputCol=c, outputCol=f"{c}__bin", numBuckets=_BINS, handleInvalid="error").fit(train))
+    rows = PipelineModel(stages).transform(train).select(*used, label)
+    cells = stage(counted(rows))
+    if name.startswith("forest") or name == "random_forest":
+        cells = in_pieces(cells)
+    gather = assembler(used)
+    fitted = ESTIMATORS[name](labelCol=label, weightCol="_weight", **params).fit(gather.transform(cells))
+    return PipelineModel([*stages, gather, fitted])
+
+
 def fit_vectors(train: DataFrame, name: str, label: str | None = None, **params):
     """Fit a named estimator on an existing ``features`` vector."""
     if label is not None:
