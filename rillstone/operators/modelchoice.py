@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.functions.columns import uniform
-from rillstone.operators.models import ESTIMATORS, assembler
+from rillstone.operators.models import ESTIMATORS, assembler, counted, in_pieces
 from rillstone.session import stage
 
 
@@ -72,8 +72,9 @@ def choose(
     """Score every candidate on every fold by accuracy and refit the best; of equal ones the first given.
 
     A row's fold is a hash of its key, so it does not change with layout or
-    retries. Rows without a label or a feature do not count. The assembled rows are
-    stored once and read by all fits; candidates times folds models are fitted.
+    retries. Rows without a label or a feature do not count. Equal rows of a fold
+    are stored once, with their number as weight, and read by all fits;
+    candidates times folds models are fitted.
     """
     spark = train.sparkSession
     candidates = DEFAULT if candidates is None else candidates
@@ -84,22 +85,26 @@ def choose(
     classes = list(indexer.labels)
     gather = assembler(features, "skip")
     fold = F.floor(uniform(seed, *keys) * folds).cast("int")
-    rows = stage(gather.transform(indexer.transform(labelled.withColumn("_fold", fold))).select("features", "_target", "_fold"))
+    cells = counted(indexer.transform(labelled.withColumn("_fold", fold)).select(*features, "_target", "_fold"))
+    rows = stage(gather.transform(cells).select("features", "_target", "_fold", "_weight"))
     present = sorted(r[0] for r in rows.select("_fold").distinct().collect())
     if len(present) < 2:
         raise ValueError("all rows fall into one fold")
 
     def estimator(c: Candidate):
         name = _BY_CLASS.get(c.estimator, c.estimator) if len(classes) > 2 else c.estimator
-        return ESTIMATORS[name](labelCol="_target", **c.params)
+        return ESTIMATORS[name](labelCol="_target", weightCol="_weight", **c.params)
+
+    def drawn(c: Candidate, part: DataFrame) -> DataFrame:
+        return in_pieces(part) if c.estimator == "random_forest" else part
 
     found = []
     for i, c in enumerate(candidates):
         for k in present:
-            model = estimator(c).fit(rows.filter(F.col("_fold") != k))
-            n, right = model.transform(rows.filter(F.col("_fold") == k)).agg(
-                F.count(F.lit(1)), F.count_if(F.col("prediction") == F.col("_target"))).first()
-            found.append((i, c.name, k, n, right))
+            model = estimator(c).fit(drawn(c, rows.filter(F.col("_fold") != k)))
+            hit = F.when(F.col("prediction") == F.col("_target"), F.col("_weight")).otherwise(0.0)
+            n, right = model.transform(rows.filter(F.col("_fold") == k)).agg(F.sum("_weight"), F.sum(hit)).first()
+            found.append((i, c.name, k, int(n), int(right)))
     total = sum(r[3] for r in found if r[0] == 0)
     right = [sum(r[4] for r in found if r[0] == i) for i in range(len(candidates))]
     best = max(range(len(candidates)), key=lambda i: (right[i], -i))
@@ -107,6 +112,6 @@ def choose(
         "chosen", F.col("candidate") == candidates[best].name).withColumn("accuracy", F.col("hits") / F.col("n"))
     if not total:
         raise ValueError("no row has all features")
-    fitted = estimator(candidates[best]).fit(rows)
+    fitted = estimator(candidates[best]).fit(drawn(candidates[best], rows))
     names = IndexToString(inputCol="prediction", outputCol="predicted_class", labels=classes)
     return Choice(candidates[best], scores, PipelineModel([gather, fitted, names]), classes)
