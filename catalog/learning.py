@@ -18,7 +18,7 @@ from rillstone.operators import neighbors as nn
 from rillstone.operators import termindex as ti
 from rillstone.operators import textvec as tv
 from rillstone.operators.select import split, with_split
-from rillstone.session import shared_folder, spread
+from rillstone.session import in_parts, shared_folder, spread
 
 LINE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
 TWO = {"train": 0.7, "test": 0.3}
@@ -264,7 +264,7 @@ def svm_rff(spark, sf):
     rows = table(spark, sf, "part").select(
         "p_partkey", (F.col("p_size") <= 25).cast("int").alias("inner_ring"),
         F.array(radius * F.cos("p_partkey"), radius * F.sin("p_partkey")).alias("point"))
-    mapped = md.random_fourier_features(rows, "point", 2, gamma=0.5)
+    mapped = md.random_fourier_features(in_parts(rows, 25_000), "point", 2, gamma=0.5)
     parts = split(mapped, TWO, ["p_partkey"], seed=101)
     model = md.fit_vectors(parts["train"], "linear_svm", "inner_ring", regParam=0.001, maxIter=100)
     return model.transform(parts["test"]).select("p_partkey", "inner_ring", F.col("prediction").cast("int").alias("prediction"))

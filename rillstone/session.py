@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -50,8 +52,8 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back.
+def stage(df: DataFrame, schema: StructType | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back, as ``schema`` if given.
 
     Unlike a cache this survives lost executors, and unlike an RDD checkpoint
     the readers still prune columns and push filters. It also gives the
@@ -62,7 +64,17 @@ def stage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
+
+
+def in_parts(df: DataFrame, rows: int) -> DataFrame:
+    """Rows dealt to parts of about ``rows``, one per core at least.
+
+    For tables that are small in a file and grow in a task, as vectors of many
+    features do: their files alone would give a task more the more rows they hold.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, math.ceil(df.count() / rows)))
 
 
 def spread(df: DataFrame) -> DataFrame:

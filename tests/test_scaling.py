@@ -39,3 +39,11 @@ def test_pieces_keep_the_weight_and_single_rows(spark):
     assert coarse.count() <= 102
     assert {r["k"]: r["w"] for r in coarse.groupBy("k").agg(F.sum("_weight").alias("w")).collect()} == {
         "x": pytest.approx(5), "y": pytest.approx(1000)}
+
+
+def test_rows_are_dealt_to_parts_of_a_size(spark):
+    from rillstone.session import in_parts
+
+    few = spark.range(0, 100_000, 1, 2)
+    sizes = [r["n"] for r in in_parts(few, 5000).groupBy(F.spark_partition_id()).agg(F.count("id").alias("n")).collect()]
+    assert len(sizes) == 20 and max(sizes) < 6000 and sum(sizes) == 100_000
