@@ -277,7 +277,7 @@ def rf_regress(spark, sf):
     band = F.expr("cast((p_size - 1) div 10 as int)")
     rows = table(spark, sf, "part").select("p_partkey", "p_type", "p_brand", band.alias("band"), (band * 1000.0).alias("price"))
     parts = split(rows, {"train": 0.9, "test": 0.1}, ["p_partkey"], seed=0)
-    model = md.fit_mixed(parts["train"], "forest_regression", ["band"], ["p_type", "p_brand"], "price",
+    model = md.fit_mixed(in_parts(parts["train"], 25_000), "forest_regression", ["band"], ["p_type", "p_brand"], "price",
                          numTrees=100, featureSubsetStrategy="all")
     return model.transform(parts["test"]).select("p_partkey", "band", F.round(F.col("prediction") / 1000).cast("int").alias("prediction"))
 
