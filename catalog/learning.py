@@ -220,7 +220,7 @@ _HELD_OUT_CUSTOMERS = f"""select c_custkey, c_nationkey % {GROUPS} as label, c_n
 
 def _corner_predictions(spark, sf, name, **params):
     parts = split(corner_points(spark, sf), TWO, ["c_custkey"], seed=101)
-    model = md.fit(parts["train"], name, AXES, "label", **params)
+    model = md.fit(in_parts(parts["train"], 250_000), name, AXES, "label", **params)
     return md.predict(model, parts["test"]).select("c_custkey", "label", F.col("prediction").cast("int").alias("prediction"))
 
 

@@ -35,7 +35,7 @@ ESTIMATORS: dict[str, Callable[..., Estimator]] = {
     "gradient_boosting_classes": lambda labelCol="label", weightCol=None, **kw: C.OneVsRest(
         labelCol=labelCol, weightCol=weightCol, classifier=C.GBTClassifier(**{"seed": 42, **kw})),
     "linear_svm_classes": lambda labelCol="label", weightCol=None, **kw: C.OneVsRest(
-        labelCol=labelCol, weightCol=weightCol, classifier=C.LinearSVC(**kw)),
+        labelCol=labelCol, weightCol=weightCol, parallelism=4, classifier=C.LinearSVC(**kw)),
     "k_means": lambda **kw: clustering.KMeans(**{"k": 2, "seed": 42, **kw}),
 }
 
