@@ -16,8 +16,12 @@ def terms_long(df: DataFrame, key: str, terms: Column) -> DataFrame:
 
 
 def bag_of_words(df: DataFrame, key: str, terms: Column) -> DataFrame:
-    """Count of each term per document."""
-    return terms_long(df, key, terms).groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
+    """Count of each term per document.
+
+    The texts are brought together by key before they are taken apart: they are
+    smaller than their terms, which are then counted where they are.
+    """
+    return terms_long(df.repartition(key), key, terms).groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def document_frequency(df: DataFrame, key: str, terms: Column, max_share: float = 1.0) -> DataFrame:

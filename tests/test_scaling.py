@@ -47,3 +47,12 @@ def test_rows_are_dealt_to_parts_of_a_size(spark):
     few = spark.range(0, 100_000, 1, 2)
     sizes = [r["n"] for r in in_parts(few, 5000).groupBy(F.spark_partition_id()).agg(F.count("id").alias("n")).collect()]
     assert len(sizes) == 20 and max(sizes) < 6000 and sum(sizes) == 100_000
+
+
+def test_words_are_counted_without_a_shuffle_of_terms(spark):
+    from rillstone.operators import textvec as tv
+
+    docs = spark.createDataFrame([(1, "a b a"), (1, "a c"), (2, None), (None, "d d")], "k int, text string")
+    bag = tv.bag_of_words(docs, "k", F.split("text", " "))
+    assert bag._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1  # as planned, before it is run
+    assert sorted(map(tuple, bag.collect()), key=str) == [(1, "a", 3), (1, "b", 1), (1, "c", 1), (None, "d", 2)]
