@@ -10,9 +10,10 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LinearSVC
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rillstone.functions.text import WORDS_WITH_APOSTROPHE, tokens, with_bigrams
 from rillstone.operators.evaluate import accuracy, regression_metrics
@@ -33,22 +34,23 @@ def term_index(df: DataFrame, terms: Column, max_share: float = 0.02, min_docs:
     return stage(number_rows(held, ["term"], "code", start=0).select("term", "code", "docs"))
 
 
-def coded(df: DataFrame, terms: Column, index: DataFrame, key: str) -> DataFrame:
-    """``key, code``: one row for each indexed term of each row; terms beyond the index are lost in the join."""
-    return df.select(key, F.explode(terms).alias("term")).join(index.select("term", "code"), "term").select(key, "code")
+def coded(df: DataFrame, terms: Column, index: DataFrame, key: str, *more: str) -> DataFrame:
+    """``key, code`` and ``more`` of the index: one row for each indexed term of each row; terms beyond the index are lost in the join."""
+    known = index.select("term", "code", *more)
+    return df.select(key, F.explode(terms).alias("term")).join(known, "term").select(key, "code", *more)
 
 
 def term_vectors(df: DataFrame, terms: Column, index: DataFrame, size: int, output: str = "features") -> DataFrame:
-    """Rows with a sparse vector of ones at their terms' numbers; a row without an indexed term has an empty one."""
-
-    @F.udf(returnType=VectorUDT(), useArrow=True)
-    def ones(codes):
-        at = [] if codes is None else sorted(codes)
-        return SparseVector(size, at, np.ones(len(at)))
-
+    """Rows with a sparse vector of ones at their terms' numbers; a row without an indexed term has an empty one. Stored."""
     rows = stage(df.withColumn("_row", F.monotonically_increasing_id()))
-    codes = coded(rows, terms, index, "_row").groupBy("_row").agg(F.collect_list("code").alias("_codes"))
-    return rows.join(codes, "_row", "left").withColumn(output, ones("_codes")).drop("_row", "_codes")
+    codes = coded(rows, terms, index, "_row").groupBy("_row").agg(F.array_sort(F.collect_list(F.col("code").cast("int"))).alias("_codes"))
+    at = F.coalesce("_codes", F.array().cast("array<int>"))
+    # written in the parts a vector is stored as and read back as one, so that no row passes through Python
+    parts = F.struct(F.lit(0).cast("byte").alias("type"), F.lit(size).cast("int").alias("size"), at.alias("indices"),
+                     F.transform(at, lambda _: F.lit(1.0)).alias("values"))
+    held = rows.join(codes, "_row", "left").withColumn(output, parts).drop("_row", "_codes")
+    schema = T.StructType([T.StructField(f.name, VectorUDT() if f.name == output else f.dataType) for f in held.schema.fields])
+    return stage(held, schema)
 
 
 class TextClassifier:
@@ -70,7 +72,7 @@ class TextClassifier:
         size = index.count()
         if not size:
             raise ValueError("no term lies between the least and the largest share")
-        rows = stage(term_vectors(train.select(label, text), text_terms(text), index, size).select(label, "features"))
+        rows = term_vectors(train.select(label, text), text_terms(text), index, size).select(label, "features")
         model = LinearSVC(labelCol=label, **params).fit(rows)
         weights = pd.DataFrame({"code": np.arange(size, dtype=np.int64), "weight": model.coefficients.toArray()})
         learned = index.join(spark.createDataFrame(weights), "code").select("term", "weight")

@@ -56,3 +56,15 @@ def test_words_are_counted_without_a_shuffle_of_terms(spark):
     bag = tv.bag_of_words(docs, "k", F.split("text", " "))
     assert bag._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1  # as planned, before it is run
     assert sorted(map(tuple, bag.collect()), key=str) == [(1, "a", 3), (1, "b", 1), (1, "c", 1), (None, "d", 2)]
+
+
+def test_vectors_of_terms_are_made_without_python(spark):
+    from rillstone.operators import termindex as ti
+
+    rows = spark.createDataFrame([(1, "b a"), (2, None), (3, "z a")], "id int, text string")
+    index = spark.createDataFrame([("a", 0, 2), ("a b", 1, 1), ("b", 2, 1), ("b a", 3, 1)], "term string, code long, docs long")
+    made = ti.term_vectors(rows, ti.text_terms("text"), index, 5)
+    got = {r["id"]: (r["features"].size, r["features"].indices.tolist(), r["features"].values.tolist()) for r in made.collect()}
+    assert set(got) == {1, 2, 3} and all(v[0] == 5 and set(v[2]) <= {1.0} for v in got.values())
+    assert not got[2][1] and got[1][1] == sorted(got[1][1])
+    assert "Python" not in made._jdf.queryExecution().executedPlan().toString()
