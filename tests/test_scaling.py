@@ -68,3 +68,12 @@ def test_vectors_of_terms_are_made_without_python(spark):
     assert set(got) == {1, 2, 3} and all(v[0] == 5 and set(v[2]) <= {1.0} for v in got.values())
     assert not got[2][1] and got[1][1] == sorted(got[1][1])
     assert "Python" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_terms_are_numbered_and_counted_in_one_join(spark):
+    from rillstone.operators import termindex as ti
+
+    rows = spark.createDataFrame([(1, "bb aa"), (2, "aa")], "id int, text string")
+    index = spark.createDataFrame([("aa", 0, 2), ("bb", 1, 1)], "term string, code long, docs long")
+    got = ti.coded(rows, ti.text_terms("text"), index, "id", "docs")
+    assert sorted(map(tuple, got.collect())) == [(1, 0, 2), (1, 1, 1), (2, 0, 2)]
