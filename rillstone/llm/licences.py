@@ -1,14 +1,18 @@
 """Licence scan: a trained paragraph classifier, confirmed by comparison with templates.
 
-Paragraphs become sparse counts of words and word pairs; multinomial logistic
-regression over them tells the licence families and a class for everything
-else. What the model calls a licence is held against the family's templates:
-enough of a template's five-word shingles must stand in the paragraph.
-Everything is a column expression or a Spark ML model.
+Paragraphs become the set of their words and word pairs that stand in a template;
+multinomial logistic regression over them tells the licence families and a class
+for everything else. Paragraphs of equal sets are one training row with their
+count, so the model and its mark come from every paragraph of the table. What the
+model calls a licence is held against the family's templates: enough of a
+template's five-word shingles must stand in the paragraph. Everything is a column
+expression or a Spark ML model.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
@@ -101,8 +105,12 @@ def _examples(spark: SparkSession, templates: dict[str, list[str]]) -> DataFrame
 class Scanner:
     """A fitted classifier with its families, its calibration and its templates."""
 
-    def __init__(self, model: PipelineModel, families: list[str], doubt: float, templates: dict[str, list[str]]):
+    def __init__(
+        self, model: PipelineModel, families: list[str], doubt: float, templates: dict[str, list[str]],
+        trained: int = 0, marked: int = 0,
+    ):
         self.model, self.families, self.doubt, self.templates = model, families, doubt, templates
+        self.trained, self.marked = trained, marked  # background paragraphs behind the model and behind the mark
 
     def confirmed(self, found: Column, family: Column) -> Column:
         """The largest share of a template's shingles in the paragraph, over the family's templates."""
@@ -126,7 +134,7 @@ class Scanner:
         rows = docs.select(F.col(doc_id).alias("id"), F.split(F.coalesce(F.col(text), F.lit("")), r"\n").alias("all"))
         rows = rows.withColumn("row", F.monotonically_increasing_id())  # before the paragraphs part
         rows = rows.select("row", "id", F.posexplode("all").alias("number", "paragraph"))
-        scored = self.model.transform(_features(rows)).withColumn("chances", vector_to_array("probability"))
+        scored = self.model.transform(_features(rows, self.templates)).withColumn("chances", vector_to_array("probability"))
         names = F.array(*map(F.lit, self.families))
         likely = F.get(names, F.array_position("chances", F.array_max("chances")).cast("int") - 1)
         scored = scored.withColumns({"score": F.array_max("chances"), "likely": likely})
@@ -156,43 +164,59 @@ class Scanner:
         return out.drop("row")
 
 
-def _features(rows: DataFrame) -> DataFrame:
+def _features(rows: DataFrame, templates: dict[str, list[str]]) -> DataFrame:
+    """The ``words`` of each paragraph, and as ``grams`` those words and word pairs that stand in a template, each once."""
+    plain = [_plain(text) for texts in templates.values() for text in texts]
+    single = sorted({word for text in plain for word in text})
+    double = sorted({" ".join(pair) for text in plain for pair in zip(text, text[1:], strict=False)})
     rows = rows.withColumn("words", words(F.col("paragraph")))
-    return rows.withColumn("grams", F.concat("words", grams(F.col("words"), 2)))
+    rows = rows.withColumn("known", F.transform("words", lambda w: F.when(w.isin(single), w)))
+    last = F.greatest(F.size("known") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("known", F.lit(1), last), F.slice("known", F.lit(2), last),
+                       lambda a, b: F.concat(a, F.lit(" "), b))  # NULL where either is no template's word
+    found = F.concat(F.array_compact("known"), F.filter(pairs, lambda pair: pair.isin(double)))
+    return rows.withColumn("grams", F.array_sort(F.array_distinct(found))).drop("known")
 
 
 def fit(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: int = 2000, buckets: int = 1 << 14,
-    strict: float = 0.999, templates: dict[str, list[str]] | None = None,
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: int | None = None, buckets: int = 1 << 14,
+    strict: float = 0.999, templates: dict[str, list[str]] | None = None, balance: float = 16.0,
 ) -> Scanner:
-    """Train on the templates and on a bounded background of paragraphs, about ``sample`` chosen by hash.
+    """Train on the templates and on the background: all paragraphs, or ``sample`` of them chosen by hash.
 
-    Paragraphs that hold a template's shingle are no background. A third of
-    the background is kept from training; the mark above which a licence is
-    believed lies so that the share ``strict`` of it stays unknown.
+    Paragraphs that hold a template's first shingle are no background. A third
+    of the background is kept from training; the mark above which a licence is
+    believed lies so that the share ``strict`` of it stays unknown. The rest
+    together weighs ``balance`` times as much as the templates, however large.
     """
     spark, templates = docs.sparkSession, templates or TEMPLATES
     spread = F.pmod(F.xxhash64(doc_id, F.length(text)), F.lit(1 << 30))
     rows = docs.filter(F.col(text).isNotNull()).select(spread.alias("rank"), F.col(text).alias("text"))
-    share = min(1.0, 2 * sample / max(1, rows.count()))
-    some = rows.filter(F.col("rank") <= int(share * (1 << 30))).select(
-        "rank", F.explode(F.split("text", r"\n")).alias("paragraph"))
+    rows = _features(rows.select("rank", F.explode(F.split("text", r"\n")).alias("paragraph")), templates)
     starts = sorted({" ".join(_plain(t)[:SHINGLE]) for ts in templates.values() for t in ts})
-    some = some.withColumn("words", words(F.col("paragraph"))).filter(F.size("words") > 0)
-    named = F.arrays_overlap(grams(F.col("words"), SHINGLE), F.array(*map(F.lit, starts)))
-    near = some.filter(~named).select("paragraph", F.xxhash64("paragraph", "rank").alias("rank"))
-    background = stage(near.orderBy("rank", "paragraph").limit(sample))
+    line = F.array(F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")))  # bound as a lambda variable: joined once
+    named = F.exists(line, lambda x: reduce(Column.__or__, [F.contains(x, F.lit(f" {start} ")) for start in starts]))
+    near = rows.select("paragraph", F.xxhash64("paragraph", "rank").alias("rank"), "grams",
+                       ((F.size("words") > 0) & ~named).alias("used"))
+    if sample is not None:
+        near = near.filter("used").orderBy("rank", "paragraph").limit(sample)
+    # counted under a condition: a filter would be moved below the words and have them found twice
     kept = F.pmod("rank", F.lit(3)) == 0
-    examples = _examples(spark, templates)
+    background = stage(near.groupBy("grams").agg(
+        F.count_if(F.col("used") & ~kept).alias("trained"), F.count_if(F.col("used") & kept).alias("marked")))
+    trained, marked = background.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("trained", "marked")]).first()
     families = [UNKNOWN, *sorted(templates)]
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")).cast("double") - 1
-    training = examples.unionByName(background.filter(~kept).select("paragraph", F.lit(UNKNOWN).alias("family")))
-    training = stage(_features(training).select("grams", label.alias("label")))
+    examples = _features(_examples(spark, templates), templates).select("grams", label.alias("label"), F.lit(1.0).alias("weight"))
+    weight = F.col("trained") * (balance * examples.count() / max(1, trained))
+    training = examples.unionByName(background.filter(F.col("trained") > 0).select(
+        "grams", F.lit(0.0).alias("label"), weight.alias("weight")))
     model = Pipeline(stages=[
         HashingTF(inputCol="grams", outputCol="features", numFeatures=buckets, binary=True),
-        LogisticRegression(family="multinomial", regParam=0.001, maxIter=30)]).fit(training)
+        LogisticRegression(family="multinomial", regParam=0.001, maxIter=30, weightCol="weight")]).fit(training)
     # without background of its own, the unknown class is only ever met by its bias
-    chances = model.transform(_features(background.filter(kept))).select(vector_to_array("probability").alias("p"))
-    licence = F.array_max(F.slice("p", 2, len(families) - 1))
-    mark = chances.agg(F.percentile_approx(licence, strict, 10_000)).first()[0] if len(families) > 1 else None
-    return Scanner(model, families[: model.stages[-1].numClasses], max(0.5, mark or 0.0), templates)
+    chances = model.transform(background.filter(F.col("marked") > 0)).select(vector_to_array("probability").alias("p"), "marked")
+    # to four digits, so that the exact percentile counts few values, whatever the table
+    licence = F.round(F.array_max(F.slice("p", 2, len(families) - 1)), 4)
+    mark = chances.agg(F.percentile(licence, F.lit(strict), F.col("marked"))).first()[0] if len(families) > 1 else None
+    return Scanner(model, families[: model.stages[-1].numClasses], max(0.5, mark or 0.0), templates, trained, marked)

@@ -346,3 +346,18 @@ def test_licences(spark, none):
     got = {(r["id"], r["n_paragraphs"]): list(r["licences"]) for r in out}
     assert got[1, 3] == ["mit"] and got[5, 2] == ["apache-2.0", "mit"] and got[2, 1] == [] and got[4, 1] == [] and got[5, 1] == []
     assert licences.fit(none).scan(none).count() == 0
+
+
+def test_licences_learn_from_every_paragraph(spark):
+    """The model and its mark come from all background, not from a part of it, and copies of a table change neither."""
+    rows = [(k, "\n".join([words(k, 3), f"this work and the license of {words(k + 9000, 2)}"])) for k in range(2500)]
+    docs_ = spark.createDataFrame([*rows, (9999, "Released under the MIT License.\nx\n\n...")], "doc_id long, text string")
+    found = licences.fit(docs_)
+    assert found.trained + found.marked == 2 * 2500 + 1
+    assert 0.3 < found.marked / (found.trained + found.marked) < 0.37
+    seen = found.paragraphs(docs_)
+    assert seen.filter("likely <> 'unknown'").count() <= 1 + 0.005 * 5000
+    assert [r["family"] for r in seen.filter("family is not null").collect()] == ["mit"]
+    again = licences.fit(docs_.unionByName(docs_))
+    assert (again.trained, again.marked) == (2 * found.trained, 2 * found.marked)
+    assert again.doubt == pytest.approx(found.doubt, abs=1e-3)
