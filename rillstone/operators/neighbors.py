@@ -10,7 +10,9 @@ becomes many tasks, and every chunk returns at most k candidates per test row.
 
 Within a chunk vectors are turned to the principal axes of a sample. Distances on
 the leading axes bound the whole ones from below, so that most training rows are
-dismissed after a few coordinates; what is left is measured in full.
+dismissed after a few coordinates. Where they dismiss too few, as on evenly spread
+vectors, one matrix product gives all distances but for a bounded rounding. What is
+left is measured by plain differences.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from rillstone.operators.aggregates import mode
 from rillstone.session import stage
 
 _PIECE = 2_000_000  # distances held at once inside a task
+_FEW = 16  # of so many pairs one may be measured by itself; of more, a product over all is cheaper
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -44,6 +47,11 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances by one matrix product, which is fast but loses the last digits."""
+    return np.square(a).sum(axis=1)[:, None] + np.square(b).sum(axis=1) - 2 * (a @ b.T)
+
+
 def principal_axes(vectors: np.ndarray) -> np.ndarray:
     """An orthonormal basis, the directions in which the vectors differ most first."""
     centred = vectors - vectors.mean(axis=0)
@@ -59,26 +67,36 @@ def closest_pruned(a: np.ndarray, b: np.ndarray, k: int, axes: np.ndarray) -> tu
     turned_a, turned_b = a @ axes, b @ axes
     # room for what the products lose in the last digits
     slack = 1e-12 * dims * (np.square(a).sum(axis=1).max(initial=0) + np.square(b).sum(axis=1).max(initial=0))
-    found, full = [], 0
+    found, full, lead = [], 0, some
     step = max(1, _PIECE // len(b))
     for start in range(0, len(a), step):
-        here, lead = a[start:start + step], turned_a[start:start + step]
-        part = (np.square(lead[:, :some]).sum(axis=1)[:, None] + np.square(turned_b[:, :some]).sum(axis=1)
-                - 2 * (lead[:, :some] @ turned_b[:, :some].T))
-        # the whole distances of the k that look closest bound the k-th closest from above
-        look = np.argpartition(part, k - 1, axis=1)[:, :k]
-        bound = np.square(here[:, None, :] - b[look]).sum(axis=2).max(axis=1) * (1 + 1e-9) + slack
-        rows, cols = np.nonzero(part <= bound[:, None])
-        full += look.size
+        here, turned = a[start:start + step], turned_a[start:start + step]
+        part = _squares(turned[:, :lead], turned_b[:, :lead])
+        if lead < dims:
+            # the whole distances of the k that look closest bound the k-th closest from above
+            look = np.argpartition(part, k - 1, axis=1)[:, :k]
+            bound = np.square(here[:, None, :] - b[look]).sum(axis=2).max(axis=1) * (1 + 1e-9) + slack
+            near = part <= bound[:, None]
+            full += look.size
+            if np.count_nonzero(near) * _FEW > near.size:
+                part += _squares(turned[:, lead:], turned_b[:, lead:])
+                lead = dims  # for the steps to come as well
+        if lead == dims:
+            # both the k-th and the one compared may be off by the slack
+            bound = np.partition(part, k - 1, axis=1)[:, k - 1] * (1 + 1e-9) + 2 * slack
+            near = part <= bound[:, None]
+            full += near.size
+        rows, cols = np.nonzero(near)
         kept = [(rows[:0], cols[:0], np.zeros(0))]
         for at in range(0, len(rows), max(1, _PIECE // dims)):
             r, c = rows[at:at + _PIECE // dims], cols[at:at + _PIECE // dims]
-            longer = part[r, c] + np.square(lead[r, some:more] - turned_b[c, some:more]).sum(axis=1)
-            near = longer <= bound[r]
-            r, c = r[near], c[near]
+            if lead < dims:
+                longer = part[r, c] + np.square(turned[r, some:more] - turned_b[c, some:more]).sum(axis=1)
+                close = longer <= bound[r]
+                r, c = r[close], c[close]
+                full += len(r)
             diff = here[r] - b[c]
             kept.append((r, c, np.sqrt((diff * diff).sum(axis=1))))
-            full += len(r)
         rows, cols, apart = (np.concatenate(x) for x in zip(*kept, strict=True))
         order = np.lexsort((cols, apart, rows))
         rows, cols, apart = rows[order], cols[order], apart[order]

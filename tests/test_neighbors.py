@@ -39,6 +39,17 @@ def test_most_rows_are_dismissed_early():
     assert blind > 2 * full
 
 
+def test_even_vectors_are_not_measured_pair_by_pair(monkeypatch):
+    """Where leading axes tell little, a product leaves little more than the k closest to plain differences and sorting."""
+    rng = np.random.default_rng(9)
+    a, b = rng.normal(size=(300, 64)), rng.normal(size=(8000, 64))
+    left, sort = [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: left.append(len(keys[0])) or sort(keys))
+    rows, cols, apart, _ = closest_pruned(a, b, 15, principal_axes(b))
+    assert sum(left) < 2 * 15 * len(a)
+    assert list(zip(rows.tolist(), cols.tolist(), apart.tolist(), strict=True)) == plain(a, b, 15)
+
+
 def test_values_far_from_zero():
     a, b = decaying(7, 30) + 1e6, decaying(8, 400) + 1e6
     rows, cols, apart, _ = closest_pruned(a, b, 5, principal_axes(b))
