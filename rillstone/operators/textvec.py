@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillstone.session import stage
+from rillstone.session import in_parts, stage
+
+ROWS_OF_A_PART = 2_000  # some million terms of words and pairs
 
 
 def terms_long(df: DataFrame, key: str, terms: Column) -> DataFrame:
@@ -27,10 +29,13 @@ def bag_of_words(df: DataFrame, key: str, terms: Column) -> DataFrame:
 def document_frequency(df: DataFrame, key: str, terms: Column, max_share: float = 1.0) -> DataFrame:
     """Number of documents per term, without terms in more than ``max_share`` of them.
 
-    Repeats are removed inside each document before anything is shuffled.
+    Repeats are removed inside each document before anything is counted. The
+    documents are dealt to parts of ``ROWS_OF_A_PART`` first: a task counts its
+    terms in a table in memory, which in a task of the whole of a large split
+    outgrows that and is sorted and spilled.
     """
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    counts = terms_long(df, key, F.array_distinct(terms)).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    counts = terms_long(in_parts(df, ROWS_OF_A_PART), key, F.array_distinct(terms)).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return counts.filter(F.col("df") <= total * max_share)
 
 

@@ -77,3 +77,16 @@ def test_terms_are_numbered_and_counted_in_one_join(spark):
     index = spark.createDataFrame([("aa", 0, 2), ("bb", 1, 1)], "term string, code long, docs long")
     got = ti.coded(rows, ti.text_terms("text"), index, "id", "docs")
     assert sorted(map(tuple, got.collect())) == [(1, 0, 2), (1, 1, 1), (2, 0, 2)]
+
+
+def test_documents_are_dealt_to_parts_before_their_terms_are_counted(spark, monkeypatch):
+    """One part holding all documents would count its terms in one table that outgrows memory."""
+    from rillstone.operators import textvec as tv
+
+    monkeypatch.setattr(tv, "ROWS_OF_A_PART", 50)
+    part = F.concat(F.lit("part "), F.spark_partition_id().cast("string"))
+    rows = spark.range(2000).coalesce(1).select(F.col("id").alias("doc_id"))
+    found = {r["term"]: r["df"] for r in tv.document_frequency(
+        rows, "doc_id", F.array(F.lit("all"), part, part)).collect()}
+    assert found.pop("all") == 2000
+    assert sum(found.values()) == 2000 and len(found) == 40 and max(found.values()) < 200
