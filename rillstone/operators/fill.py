@@ -113,6 +113,23 @@ def _scan(
     )
 
 
+def _scan_both(rows: DataFrame, kept: list[str], measures: list[str], level: int, keys: list[str]) -> DataFrame:
+    """Give the measures still unknown the nearest value so far, else the nearest onward, with one sort.
+
+    A row with nothing known up to it has the first known value of its entity
+    as the nearest onward, and that is one value for all such rows.
+    """
+    entity = ", ".join([BLOCK, *[f"`{k}`" for k in keys]])
+    over = f"over (partition by {entity} order by {POSITION} rows between unbounded preceding and"
+    others = [f"`{c}`" for c in rows.columns if c not in kept and c.removeprefix("_got_") not in measures]
+    known = {m: f"if({LEVEL} in (-1, {level}), `{m}`, null)" for m in measures}
+    return rows.selectExpr(
+        *[f"`{c}`" for c in kept], *others,
+        *[f"coalesce(`_got_{m}`, last({known[m]}, true) {over} current row), "
+          f"first({known[m]}, true) {over} unbounded following)) as `_got_{m}`" for m in measures],
+    )
+
+
 def _filled(
     df: DataFrame, measures: list[str], levels: list[list[str]], order: list[str], blocks: int | None,
     scans: tuple[bool, ...], own_first: bool,
@@ -128,6 +145,9 @@ def _filled(
     found = "`{}`" if own_first else "null"
     parts = parts.selectExpr("*", *[f"{found.format(m)} as `_got_{m}`" for m in measures])
     for level, keys in enumerate(levels):
+        if wanted[level] and len(scans) > 1:
+            parts = _scan_both(parts, kept, wanted[level], level, keys)
+            continue
         for back in scans if wanted[level] else ():
             parts = _scan(parts, kept, wanted[level], level, keys, back)
     return parts.filter(F.col(POSITION).between(FIRST + 1, LAST - 1)).selectExpr(

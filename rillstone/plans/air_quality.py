@@ -29,6 +29,8 @@ GASEOUS = ["so2_avg", "no2_avg", "o3_avg", "co_avg", "nh3_avg"]
 STATION_KEYS = ["country", "state", "city", "station", "latitude", "longitude"]
 # a gap is filled from the first of these that knows a value; the order is unique within each
 FILL_LEVELS = [["station"], ["city"], ["state"], []]
+CITY_DAY, STATE_MONTH = ["state", "city", "year", "month", "day"], ["state", "year", "month"]
+_AVERAGED = ["aqi", *MEASURES]
 FILL_ORDER = ["record_ts", "station", "latitude", "longitude", "city", "state", "country"]
 
 # State name in the readings -> name on the map; other names have no match.
@@ -111,8 +113,10 @@ def location_dim(clean: DataFrame) -> DataFrame:
     """One row per coordinate pair, holding the attributes of its latest reading."""
     names = ["country", "state", "city", "station"]
     latest = F.max_by(F.struct(*names), F.struct("record_ts", *names))
+    # a time is compared in a hash table, names only by sorting: so these wait until a station is one row
+    stations = clean.groupBy("latitude", "longitude", *names).agg(F.max("record_ts").alias("record_ts"))
     return (
-        clean.groupBy("latitude", "longitude").agg(latest.alias("a"))
+        stations.groupBy("latitude", "longitude").agg(latest.alias("a"))
         .select(hash_key("latitude", "longitude").alias("location_pk"), "a.*", "latitude", "longitude")
     )
 
@@ -137,28 +141,46 @@ def _mean(column: str) -> Column:
     return F.round(F.avg(F.col(column).cast("decimal(18,6)")), 0).cast("double").alias(column)
 
 
-def _mart(fact: DataFrame, times: DataFrame, locations: DataFrame, keys: list[str], label_max: bool) -> DataFrame:
-    joined = star(fact, (times, "date_fk", "date_pk"), (locations, "location_fk", "location_pk")).select(
+def _joined(fact: DataFrame, times: DataFrame, locations: DataFrame) -> DataFrame:
+    return star(fact, (times, "date_fk", "date_pk"), (locations, "location_fk", "location_pk")).select(
         *MEASURES, "aqi", "prominent_pollutant", "aqi_category", "state", "city",
         F.col("aqi_year").alias("year"), F.col("aqi_month").alias("month"), F.col("aqi_day").alias("day"),
     )
-    means = [_mean("aqi"), *[_mean(m) for m in MEASURES]]
+
+
+def mart_sums(fact: DataFrame, times: DataFrame, locations: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums and counts per key and leading pollutant, exact in any order."""
+    return _joined(fact, times, locations).groupBy(*keys, "prominent_pollutant").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(F.col(c).cast("decimal(18,6)")).alias(f"{c}_s") for c in _AVERAGED],
+        *[F.count(c).alias(f"{c}_c") for c in _AVERAGED],
+    )
+
+
+def _of_sums(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Means and the most frequent pollutant from sums, of which a key may have several per pollutant."""
+    sums = [F.sum(f"{c}_s").cast("decimal(38,6)").alias(f"{c}_s") for c in _AVERAGED]
+    parts = parts.groupBy(*keys, "prominent_pollutant").agg(
+        F.sum("_n").alias("_n"), *sums, *[F.sum(f"{c}_c").alias(f"{c}_c") for c in _AVERAGED])
+    return _voted(parts, keys)
+
+
+def _mart(fact: DataFrame, times: DataFrame, locations: DataFrame, keys: list[str], label_max: bool) -> DataFrame:
     if label_max:
+        means = [_mean("aqi"), *[_mean(m) for m in MEASURES]]
         labels = [F.max("prominent_pollutant").alias("prominent_pollutant"), F.max("aqi_category").alias("aqi_category")]
-        return joined.groupBy(*keys).agg(*means, *labels)
+        return _joined(fact, times, locations).groupBy(*keys).agg(*means, *labels)
 
     # Sums and counts per (key, pollutant) first: the most frequent pollutant then falls out of
     # the same shuffle as the means, and no group is held in one place.
-    cols = ["aqi", *MEASURES]
-    parts = joined.groupBy(*keys, "prominent_pollutant").agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.sum(F.col(c).cast("decimal(18,6)")).alias(f"{c}_s") for c in cols],
-        *[F.count(c).alias(f"{c}_c") for c in cols],
-    )
+    return _voted(mart_sums(fact, times, locations, keys), keys)
+
+
+def _voted(parts: DataFrame, keys: list[str]) -> DataFrame:
     votes = F.when(F.col("prominent_pollutant").isNotNull(), F.struct(-F.col("_n"), F.col("prominent_pollutant")))
     mart = parts.groupBy(*keys).agg(
         *[F.round(F.try_divide(F.sum(f"{c}_s").cast("decimal(38,6)"), F.sum(f"{c}_c")), 0).cast("double").alias(c)
-          for c in cols],
+          for c in _AVERAGED],
         F.min_by("prominent_pollutant", votes).alias("prominent_pollutant"),
     )
     return mart.withColumn("aqi_category", air_index.index_category(F.col("aqi")))
@@ -169,14 +191,26 @@ def monthly_by_state(fact: DataFrame, times: DataFrame, locations: DataFrame, la
 
     ``label_max`` takes the alphabetical maximum of both labels instead.
     """
-    mart = _mart(fact, times, locations, ["state", "year", "month"], label_max)
-    return mart.withColumn("record_pk", hash_key("state", "year", "month"))
+    return _keyed(_mart(fact, times, locations, STATE_MONTH, label_max), STATE_MONTH)
 
 
 def daily_by_city(fact: DataFrame, times: DataFrame, locations: DataFrame, label_max: bool = False) -> DataFrame:
     """Daily means per city; the key holds the state, so equal city names stay apart."""
-    mart = _mart(fact, times, locations, ["state", "city", "year", "month", "day"], label_max)
-    return mart.withColumn("record_pk", hash_key("state", "city", "year", "month", "day"))
+    return _keyed(_mart(fact, times, locations, CITY_DAY, label_max), CITY_DAY)
+
+
+def _keyed(mart: DataFrame, keys: list[str]) -> DataFrame:
+    return mart.withColumn("record_pk", hash_key(*keys))
+
+
+def monthly_of_sums(sums: DataFrame) -> DataFrame:
+    """``monthly_by_state`` from the sums by city and day."""
+    return _keyed(_of_sums(sums, STATE_MONTH), STATE_MONTH)
+
+
+def daily_of_sums(sums: DataFrame) -> DataFrame:
+    """``daily_by_city`` from the sums by city and day."""
+    return _keyed(_voted(sums, CITY_DAY), CITY_DAY)
 
 
 # ---------------------------------------------------------------- chart tables over the monthly mart

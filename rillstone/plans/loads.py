@@ -34,13 +34,22 @@ _ENTITY = ["_gid", "station", "city", "state"]
 
 def day_edges(pivoted: DataFrame) -> DataFrame:
     """Per day and station: its last time, and the first and last known value of each measure with their times."""
-    def known(m: str) -> Column:
-        return F.when(F.col(m).isNotNull(), F.struct("record_ts", F.col(m).alias("value")))
+    def at(m: str) -> Column:
+        return F.when(F.col(m).isNotNull(), F.col("record_ts"))
 
-    return pivoted.groupBy(F.to_date("record_ts").alias("day"), *aq.STATION_KEYS).agg(
+    def known(m: str, side: str) -> Column:
+        ts, value = F.col(f"{m}_{side}_ts"), F.col(f"{m}_{side}_value")
+        return F.when(ts.isNotNull(), F.struct(ts.alias("record_ts"), value.alias("value"))).alias(f"{m}_{side}")
+
+    # a station has one row a time, so no two values compete; times and numbers, unlike structs of them, are hashed
+    days = pivoted.groupBy(F.to_date("record_ts").alias("day"), *aq.STATION_KEYS).agg(
         F.max("record_ts").alias("record_ts"),
-        *[F.min(known(m)).alias(f"{m}_first") for m in aq.MEASURES],
-        *[F.max(known(m)).alias(f"{m}_last") for m in aq.MEASURES])
+        *[F.min(at(m)).alias(f"{m}_first_ts") for m in aq.MEASURES],
+        *[F.min_by(m, at(m)).alias(f"{m}_first_value") for m in aq.MEASURES],
+        *[F.max(at(m)).alias(f"{m}_last_ts") for m in aq.MEASURES],
+        *[F.max_by(m, at(m)).alias(f"{m}_last_value") for m in aq.MEASURES])
+    return days.select("day", *aq.STATION_KEYS, "record_ts",
+                       *[known(m, "first") for m in aq.MEASURES], *[known(m, "last") for m in aq.MEASURES])
 
 
 def carried(edges: DataFrame) -> DataFrame:
@@ -55,9 +64,14 @@ def carried(edges: DataFrame) -> DataFrame:
 def _first_known(edges: DataFrame) -> DataFrame:
     """Per entity of every fill level: its first day, and the first known value of each measure in fill order."""
     place = [F.col(c) for c in aq.FILL_ORDER[1:]]
-    firsts = edges.select("day", "station", "city", "state", *[
-        F.when(F.col(f"{m}_first").isNotNull(), F.struct(
-            F.col(f"{m}_first.record_ts").alias("ts"), *place, F.col(f"{m}_first.value").alias("value"))).alias(m)
+    # one row a station first: only these are copied for every level
+    stations = edges.groupBy(*aq.STATION_KEYS).agg(
+        F.min("day").alias("day"),
+        *[F.min(f"{m}_first.record_ts").alias(f"{m}_ts") for m in aq.MEASURES],
+        *[F.min_by(f"{m}_first.value", f"{m}_first.record_ts").alias(f"{m}_value") for m in aq.MEASURES])
+    firsts = stations.select("day", "station", "city", "state", *[
+        F.when(F.col(f"{m}_ts").isNotNull(), F.struct(
+            F.col(f"{m}_ts").alias("ts"), *place, F.col(f"{m}_value").alias("value"))).alias(m)
         for m in aq.MEASURES])
     return firsts.groupingSets(aq.FILL_LEVELS, "station", "city", "state").agg(
         F.grouping_id().alias("_gid"), F.min("day").alias("day"), *[F.min(m).alias(m) for m in aq.MEASURES])
@@ -130,11 +144,13 @@ def load(spark: SparkSession, readings: DataFrame, warehouse: str, whole: bool =
         shown = first if earliest is None else min(first, earliest)
 
     month = shown.replace(day=1)
+    # both marts are sums over the same sums by city, day and pollutant
     fact, times = since("fact_index", month).drop("day"), since("dim_time", month).drop("day")
-    monthly = aq.monthly_by_state(fact, times, places).withColumn("mart_month", F.make_date("year", "month", F.lit(1)))
+    sums = stage(aq.mart_sums(fact, times, places, aq.CITY_DAY))
+    monthly = aq.monthly_of_sums(sums).withColumn("mart_month", F.make_date("year", "month", F.lit(1)))
     _write_days(monthly.repartition("mart_month"), path("monthly_by_state"), "mart_month")
-    fact, times = since("fact_index", shown).drop("day"), since("dim_time", shown).drop("day")
-    daily = aq.daily_by_city(fact, times, places).withColumn("mart_day", F.make_date("year", "month", "day"))
+    daily = aq.daily_of_sums(sums).withColumn("mart_day", F.make_date("year", "month", "day"))
+    daily = daily.filter(F.col("mart_day") >= F.lit(shown))
     _write_days(daily.repartition("mart_day"), path("daily_by_city"), "mart_day")
     table.replace(places)
     _write_days(edges.repartitionByRange("day", "station"), path("edges"), "day")
