@@ -416,7 +416,9 @@ _TERMS = r"list_distinct(list_concat(w, list_transform(range(1, len(w)), lambda
 def term_index(spark, sf):
     """Each document's terms by their numbers in the index, the common ones left out."""
     docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
-    index = ti.term_index(docs, ti.text_terms("text"), min_docs=2)
-    codes = ti.coded(docs, ti.text_terms("text"), index, "doc_id", "docs")
+    terms = ti.text_terms("text")
+    held = ti.postings(docs, terms, "doc_id")
+    index = ti.term_index(docs, terms, min_docs=2, held=held)
+    codes = ti.coded(docs, terms, index, "doc_id", "docs", held=held)
     return codes.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("terms"), F.min("code").alias("first_code"), F.max("code").alias("last_code"), F.sum("docs").alias("docs"))

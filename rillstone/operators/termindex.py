@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from rillstone.functions.text import WORDS_WITH_APOSTROPHE, tokens, with_bigrams
 from rillstone.operators.evaluate import accuracy, regression_metrics
 from rillstone.operators.numbering import number_rows
+from rillstone.operators.postings import count_terms, look_up, postings, row_count
 from rillstone.session import stage
 
 
@@ -26,16 +27,23 @@ def text_terms(text: str) -> Column:
     return F.array_distinct(with_bigrams(F.coalesce(tokens(text, WORDS_WITH_APOSTROPHE), F.array().cast("array<string>"))))
 
 
-def term_index(df: DataFrame, terms: Column, max_share: float = 0.02, min_docs: int = 1) -> DataFrame:
-    """``term, code, docs``: terms in at least ``min_docs`` rows and at most ``max_share`` of them, numbered from 0. Stored."""
-    rows = df.count()
-    counts = df.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
-    held = stage(counts.filter((F.col("docs") >= min_docs) & (F.col("docs") <= rows * max_share)))
-    return stage(number_rows(held, ["term"], "code", start=0).select("term", "code", "docs"))
+def term_index(df: DataFrame, terms: Column, max_share: float = 0.02, min_docs: int = 1, held: DataFrame | None = None) -> DataFrame:
+    """``term, code, docs``: terms in at least ``min_docs`` rows and at most ``max_share`` of them, numbered from 0. Stored.
+
+    ``held`` are the rows' ``postings``, if their terms were taken apart before.
+    """
+    held = postings(df, terms, F.lit(0)) if held is None else held
+    counts = stage(count_terms(held, min_docs, row_count(held) * max_share))
+    return stage(number_rows(counts, ["term"], "code", start=0).select("term", "code", "docs"))
 
 
-def coded(df: DataFrame, terms: Column, index: DataFrame, key: str, *more: str) -> DataFrame:
-    """``key, code`` and ``more`` of the index: one row for each indexed term of each row; terms beyond the index are lost in the join."""
+def coded(df: DataFrame, terms: Column, index: DataFrame, key: str, *more: str, held: DataFrame | None = None) -> DataFrame:
+    """``key, code`` and ``more`` (whole numbers) of the index: one row for each indexed term of each row; terms beyond the index are lost.
+
+    ``held`` are the rows' ``postings`` by ``key``, if their terms were taken apart before; else the terms are joined one by one.
+    """
+    if held is not None:
+        return look_up(held, index, key, "code", *more)
     known = index.select("term", "code", *more)
     return df.select(key, F.explode(terms).alias("term")).join(known, "term").select(key, "code", *more)
 
