@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillstone.functions.text import WORDS_WITH_APOSTROPHE, tokens, with_bigrams
+from rillstone.operators import widesvm
 from rillstone.operators.evaluate import accuracy, regression_metrics
 from rillstone.operators.numbering import number_rows
 from rillstone.operators.postings import count_terms, look_up, postings, row_count
 from rillstone.session import stage
 
+DENSE_TERMS = 1 << 18  # weights that training holds in each task and on the driver
 
 def text_terms(text: str) -> Column:
     """Distinct words and word pairs of a text; NULL has none."""
@@ -64,8 +66,9 @@ def term_vectors(df: DataFrame, terms: Column, index: DataFrame, size: int, outp
 class TextClassifier:
     """Linear support-vector machine over word and word-pair presence.
 
-    Training keeps one dense weight per term on the driver; scoring joins terms
-    with their weights and adds up, inside the JVM, whatever the vocabulary.
+    Training keeps one dense weight per term on the driver up to ``DENSE_TERMS``
+    terms, and one multiplier per row beyond (``widesvm``). Scoring joins terms
+    with their weights and adds up, whatever the vocabulary.
     """
 
     def __init__(self, weights: DataFrame, intercept: float, text: str):
@@ -76,10 +79,13 @@ class TextClassifier:
         cls, train: DataFrame, text: str, label: str, max_share: float = 0.02, min_docs: int = 1, **params,
     ) -> TextClassifier:
         spark = train.sparkSession
-        index = term_index(train, text_terms(text), max_share, min_docs)
+        held = postings(train, text_terms(text), label)
+        index = term_index(train, text_terms(text), max_share, min_docs, held)
         size = index.count()
         if not size:
             raise ValueError("no term lies between the least and the largest share")
+        if size > DENSE_TERMS and params.get("regParam") and set(params) <= {"regParam", "maxIter", "tol", "standardization"}:
+            return cls(*widesvm.fit(held, index, **params), text)
         rows = term_vectors(train.select(label, text), text_terms(text), index, size).select(label, "features")
         model = LinearSVC(labelCol=label, **params).fit(rows)
         weights = pd.DataFrame({"code": np.arange(size, dtype=np.int64), "weight": model.coefficients.toArray()})
@@ -89,8 +95,11 @@ class TextClassifier:
     def transform(self, df: DataFrame) -> DataFrame:
         """Rows with the sum of their terms' weights, ``margin``, and the ``prediction``."""
         rows = stage(df.withColumn("_row", F.monotonically_increasing_id()))
-        each = rows.select("_row", F.explode(text_terms(self.text)).alias("term"))
-        sums = each.join(self.weights, "term").groupBy("_row").agg(F.sum("weight").alias("_sum"))
+        if self.weights.count() > DENSE_TERMS:
+            each = look_up(postings(rows, text_terms(self.text), "_row"), self.weights, "_row", "weight")
+        else:
+            each = rows.select("_row", F.explode(text_terms(self.text)).alias("term")).join(self.weights, "term")
+        sums = each.groupBy("_row").agg(F.sum("weight").alias("_sum"))
         margin = F.coalesce("_sum", F.lit(0.0)) + self.intercept
         return rows.join(sums, "_row", "left").withColumn("margin", margin).withColumn(
             "prediction", (F.col("margin") > 0).cast("double")).drop("_row", "_sum")
