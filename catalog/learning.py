@@ -416,8 +416,7 @@ _TERMS = r"list_distinct(list_concat(w, list_transform(range(1, len(w)), lambda
 def term_index(spark, sf):
     """Each document's terms by their numbers in the index, the common ones left out."""
     docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
-    terms = ti.text_terms("text")
-    held = ti.postings(docs, terms, "doc_id")
+    terms, held = ti.text_terms("text"), ti.text_postings(docs, "text", "doc_id")
     index = ti.term_index(docs, terms, min_docs=2, held=held)
     codes = ti.coded(docs, terms, index, "doc_id", "docs", held=held)
     return codes.groupBy("doc_id").agg(

@@ -78,18 +78,48 @@ def _table(columns: list, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if c.type == f.type else c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def _part(number: int, keys: list, sizes: list, terms: list, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def first_of(held: np.ndarray) -> np.ndarray:
+    """Marks the first of each run of equal values."""
+    return np.concatenate([[True], held[1:] != held[:-1]]) if len(held) else np.empty(0, bool)
+
+
+def _distinct(held: np.ndarray) -> np.ndarray:
+    held = np.sort(held)  # ten times as fast as np.unique, which hashes
+    return held[first_of(held)]
+
+
+def _with_pairs(words: pa.Array, at: np.ndarray, rows: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The words and the pairs of neighbours in a row, joined by a space, and each once for each row that has it."""
+    near = rows[1:] == rows[:-1]
+    pairs = (at[:-1] * len(words) + at[1:])[near]
+    if len(words) > 1 << 23:  # a pair and a row would not fit in 63 bits
+        found, pairs = np.unique(pairs, return_inverse=True)
+    else:
+        found = None
+    single = _distinct((at << 16) | rows)
+    double = _distinct((pairs << 16) | rows[1:][near])
+    number = double >> 16
+    new = first_of(number)
+    which = number[new] if found is None else found[number[new]]
+    joined = pc.binary_join_element_wise(words.take(pa.array(which // len(words))), words.take(pa.array(which % len(words))), " ")
+    places = np.concatenate([single >> 16, len(words) - 1 + np.cumsum(new)])
+    return pa.concat_arrays([words, _flat(joined)]), places, np.concatenate([single, double]) & 0xFFFF
+
+
+def _part(number: int, keys: list, sizes: list, terms: list, pairs: bool, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     held = pa.concat_arrays(keys)
     yield _table([pa.array([number]), pa.array([-1]), pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held),
                   *[pa.nulls(1)] * 4], schema)
     coded = pa.concat_arrays(terms).dictionary_encode()
     if not len(coded):
         return
-    order, bounds, blobs = _by_bucket(coded.dictionary)
-    at = coded.indices.to_numpy()
+    terms, at = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+    rows = np.repeat(np.arange(len(held)), np.concatenate(sizes))
+    if pairs:
+        terms, at, rows = _with_pairs(terms, at, rows)
+    order, bounds, blobs = _by_bucket(terms)
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    rows = np.repeat(np.arange(len(held)), np.concatenate(sizes))
     posts = np.sort((place[at] << 16) | rows)
     counts = np.bincount(place[at], minlength=len(order)).astype(np.int32)
     ends = np.concatenate([[0], np.cumsum(counts.astype(np.int64))])
@@ -100,9 +130,12 @@ def _part(number: int, keys: list, sizes: list, terms: list, schema: pa.Schema)
     yield _table([pa.array(np.full(len(used), number)), pa.array(used), *[_flat(c) for c in out.columns]], schema)
 
 
-def postings(df: DataFrame, terms: Column, key: str | Column) -> DataFrame:
+def postings(df: DataFrame, terms: Column, key: str | Column, pairs: bool = False) -> DataFrame:
     """The rows' terms by part and bucket. Stored. A row's terms should be distinct, and none NULL.
 
+    With ``pairs`` they are words in the order of a text, without spaces, and
+    the terms are the distinct ones and the distinct pairs of neighbours.
+
     ``part, bucket, keys, lens, data, counts, posts``: the row of bucket -1 has the
     keys of the part's rows, the others the terms of a bucket (lengths and bytes), in
     how many rows each is, and which.
@@ -112,6 +145,8 @@ def postings(df: DataFrame, terms: Column, key: str | Column) -> DataFrame:
     fields = [T.StructField("part", T.LongType()), T.StructField("bucket", T.IntegerType()), T.StructField("keys", T.ArrayType(df.schema["key"].dataType)),
               *[T.StructField(n, T.BinaryType()) for n in ("lens", "data", "counts", "posts")]]
 
+    most = PART_TERMS // 2 if pairs else PART_TERMS
+
     def deal(batches):
         number, keys, sizes, held, count, room, rows = TaskContext.get().partitionId() << 24, [], [], [], 0, 0, 0
         schema = None
@@ -120,20 +155,20 @@ def postings(df: DataFrame, terms: Column, key: str | Column) -> DataFrame:
             schema = schema or pa.schema([("part", pa.int64()), ("bucket", pa.int32()), ("keys", pa.list_(k.type)), *[(n, pa.binary()) for n in ("lens", "data", "counts", "posts")]])
             size = pc.fill_null(pc.list_value_length(t), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             # pieces of a batch that fill a part by their terms or their rows
-            piece, i = (np.cumsum(size) - size) // PART_TERMS, 0
+            piece, i = (np.cumsum(size) - size) // most, 0
             while i < len(size):
                 j = min(int(np.searchsorted(piece, piece[i], "right")), i + PART_ROWS)
                 n, values = int(size[i:j].sum()), t.slice(i, j - i).flatten().cast(pa.string())
                 length = int(pc.sum(pc.binary_length(values)).as_py() or 0)
-                if rows and (rows + j - i > PART_ROWS or count + n > PART_TERMS or room + length > PART_BYTES):
-                    yield from _part(number, keys, sizes, held, schema)
+                if rows and (rows + j - i > PART_ROWS or count + n > most or room + length > PART_BYTES):
+                    yield from _part(number, keys, sizes, held, pairs, schema)
                     number, keys, sizes, held, count, room, rows = number + 1, [], [], [], 0, 0, 0
                 keys.append(k.slice(i, j - i))
                 sizes.append(size[i:j])
                 held.append(values)
                 count, room, rows, i = count + n, room + length, rows + j - i, j
         if rows:
-            yield from _part(number, keys, sizes, held, schema)
+            yield from _part(number, keys, sizes, held, pairs, schema)
 
     return stage(df.mapInArrow(deal, T.StructType(fields)))
 

@@ -24,9 +24,19 @@ from rillstone.session import stage
 
 DENSE_TERMS = 1 << 18  # weights that training holds in each task and on the driver
 
+def text_words(text: str) -> Column:
+    """Words of a text, in its order; NULL has none."""
+    return F.coalesce(tokens(text, WORDS_WITH_APOSTROPHE), F.array().cast("array<string>"))
+
+
 def text_terms(text: str) -> Column:
     """Distinct words and word pairs of a text; NULL has none."""
-    return F.array_distinct(with_bigrams(F.coalesce(tokens(text, WORDS_WITH_APOSTROPHE), F.array().cast("array<string>"))))
+    return F.array_distinct(with_bigrams(text_words(text)))
+
+
+def text_postings(df: DataFrame, text: str, key: str) -> DataFrame:
+    """``postings`` of ``text_terms``, with the pairs made once a part and not once a text."""
+    return postings(df, text_words(text), key, pairs=True)
 
 
 def term_index(df: DataFrame, terms: Column, max_share: float = 0.02, min_docs: int = 1, held: DataFrame | None = None) -> DataFrame:
@@ -79,7 +89,7 @@ class TextClassifier:
         cls, train: DataFrame, text: str, label: str, max_share: float = 0.02, min_docs: int = 1, **params,
     ) -> TextClassifier:
         spark = train.sparkSession
-        held = postings(train, text_terms(text), label)
+        held = text_postings(train, text, label)
         index = term_index(train, text_terms(text), max_share, min_docs, held)
         size = index.count()
         if not size:
@@ -96,7 +106,7 @@ class TextClassifier:
         """Rows with the sum of their terms' weights, ``margin``, and the ``prediction``."""
         rows = stage(df.withColumn("_row", F.monotonically_increasing_id()))
         if self.weights.count() > DENSE_TERMS:
-            each = look_up(postings(rows, text_terms(self.text), "_row"), self.weights, "_row", "weight")
+            each = look_up(text_postings(rows, self.text, "_row"), self.weights, "_row", "weight")
         else:
             each = rows.select("_row", F.explode(text_terms(self.text)).alias("term")).join(self.weights, "term")
         sums = each.groupBy("_row").agg(F.sum("weight").alias("_sum"))

@@ -19,12 +19,12 @@ def terms(text):
     return set(words) | {f"{a} {b}" for a, b in zip(words, words[1:], strict=False)}
 
 
-@pytest.mark.parametrize("parts", [1, 5])
-def test_found_terms_are_those_of_a_join(spark, parts):
+@pytest.mark.parametrize("parts, words", [(1, True), (5, True), (5, False)])
+def test_found_terms_are_those_of_a_join(spark, parts, words):
     # keys repeat and may be NULL; texts repeat
     rows = [(None if i == 3 else i % 7, t) for i, t in enumerate(TEXTS * 3)]
     docs = spark.createDataFrame(rows, "id int, text string").repartition(parts)
-    held = ti.postings(docs, ti.text_terms("text"), "id")
+    held = ti.text_postings(docs, "text", "id") if words else ti.postings(docs, ti.text_terms("text"), "id")
     assert po.row_count(held) == len(rows)
     index = ti.term_index(docs, ti.text_terms("text"), 0.6, 4, held=held)
     counts = Counter(t for _, text in rows for t in terms(text))
